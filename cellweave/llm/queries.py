@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from cellweave.llm import exact_dedup, mixing, secrets, simhash
+from cellweave.llm import exact_dedup, mixing, quality_rules, secrets, simhash
 
 QUERIES = {
     "op1_secret_ownership": secrets.op1_secret_ownership,
     "op2_simhash_ball": simhash.op2_simhash_ball,
     "op4_source_mix": mixing.op4_source_mix,
+    "op7_compression_bands": quality_rules.op7_compression_bands,
     "op9_chunk_recipes": exact_dedup.op9_chunk_recipes,
 }
 ORACLE_SQL = {
