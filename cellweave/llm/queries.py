@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from cellweave.llm import exact_dedup, mixing, quality_rules, secrets, simhash
+from cellweave.llm import exact_dedup, mixing, packing, quality_rules, secrets, simhash
 
 QUERIES = {
     "op1_secret_ownership": secrets.op1_secret_ownership,
     "op2_simhash_ball": simhash.op2_simhash_ball,
     "op4_source_mix": mixing.op4_source_mix,
+    "op5_packed_ids": packing.op5_packed_ids,
     "op7_compression_bands": quality_rules.op7_compression_bands,
     "op9_chunk_recipes": exact_dedup.op9_chunk_recipes,
+    "op10_best_fit": packing.op10_best_fit,
 }
 ORACLE_SQL = {
     "op1_secret_ownership": secrets.ORACLE,
