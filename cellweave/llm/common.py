@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +49,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("bigint")
+
+
+def reachable(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The query, with this package's folder on the path of the session's Python workers, whatever folder the driver runs in."""
+    root = str(Path(__file__).resolve().parents[2])
+
+    @wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        env = spark.sparkContext.environment
+        if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+            env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+        return query(spark, *args)
+
+    return run

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cellweave.llm import exact_dedup, mixing, packing, quality_rules, secrets, simhash
+from cellweave.llm.common import reachable
 
 QUERIES = {
     "op1_secret_ownership": secrets.op1_secret_ownership,
@@ -13,6 +14,7 @@ QUERIES = {
     "op9_chunk_recipes": exact_dedup.op9_chunk_recipes,
     "op10_best_fit": packing.op10_best_fit,
 }
+QUERIES = {name: reachable(query) for name, query in QUERIES.items()}
 ORACLE_SQL = {
     "op1_secret_ownership": secrets.ORACLE,
     "op4_source_mix": mixing.ORACLE,
