@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cellweave.llm import exact_dedup, mixing, packing, quality_rules, secrets, simhash
+from cellweave.llm import exact_dedup, mixing, packing, quality_lm, quality_rules, secrets, simhash
 from cellweave.llm.common import reachable
 
 QUERIES = {
@@ -10,6 +10,7 @@ QUERIES = {
     "op2_simhash_ball": simhash.op2_simhash_ball,
     "op4_source_mix": mixing.op4_source_mix,
     "op5_packed_ids": packing.op5_packed_ids,
+    "op6_kneser_ney": quality_lm.op6_kneser_ney,
     "op7_compression_bands": quality_rules.op7_compression_bands,
     "op9_chunk_recipes": exact_dedup.op9_chunk_recipes,
     "op10_best_fit": packing.op10_best_fit,
