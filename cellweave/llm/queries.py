@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cellweave.llm import exact_dedup, mixing, packing, quality_lm, quality_rules, secrets, simhash
+from cellweave.llm import exact_dedup, mixing, packing, quality_lm, quality_rules, secrets, simhash, toxicity
 from cellweave.llm.common import reachable
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_packed_ids": packing.op5_packed_ids,
     "op6_kneser_ney": quality_lm.op6_kneser_ney,
     "op7_compression_bands": quality_rules.op7_compression_bands,
+    "op8_clause_grammar": toxicity.op8_clause_grammar,
     "op9_chunk_recipes": exact_dedup.op9_chunk_recipes,
     "op10_best_fit": packing.op10_best_fit,
 }
