@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from cellweave.llm import exact_dedup, mixing, packing, quality_lm, quality_rules, secrets, simhash, toxicity
+from cellweave.llm import chat, exact_dedup, mixing, packing, quality_lm, quality_rules, secrets, simhash, toxicity
 from cellweave.llm.common import reachable
 
 QUERIES = {
     "op1_secret_ownership": secrets.op1_secret_ownership,
     "op2_simhash_ball": simhash.op2_simhash_ball,
+    "op3_prefix_rendering": chat.op3_prefix_rendering,
     "op4_source_mix": mixing.op4_source_mix,
     "op5_packed_ids": packing.op5_packed_ids,
     "op6_kneser_ney": quality_lm.op6_kneser_ney,
