@@ -47,6 +47,18 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """One key of a row by its id and text, never null: joins and groupings on it share one shuffle."""
+    said = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("-"))
+    return F.sha2(F.concat_ws(":", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256), said), 256)
+
+
+def rows_of(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs whose row_key is in keys (__stay), a repeated row once, with all their columns. Texts are shuffled once."""
+    marked = docs.withColumn("__row", row_key(id_col, text_col))
+    return marked.join(keys, F.col("__row") == F.col("__stay"), "left_semi").dropDuplicates(["__row"]).drop("__row")
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("bigint")
 

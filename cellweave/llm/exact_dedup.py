@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import materialize
+from cellweave.llm.common import materialize, rows_of
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
 SALTS = 8
@@ -75,10 +75,10 @@ def mark_duplicates(docs: DataFrame, id_col: str, text_col: str, hashed: Callabl
 
 def deduplicate(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
-    stay = mark_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__stay"), F.col("text_sha256").alias("__sha")).distinct()
-    mark = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    kept = docs.join(stay, F.col(id_col).eqNullSafe(F.col("__stay")) & (mark == F.col("__sha")), "left_semi")
-    return kept.dropDuplicates([id_col, text_col])
+    marked = mark_duplicates(docs, id_col, text_col)
+    said = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("-"))
+    stay = marked.where("kept").select(F.sha2(F.concat_ws(":", "text_sha256", said), 256).alias("__stay")).distinct()
+    return rows_of(docs, stay, id_col, text_col)
 
 
 def op9_chunk_recipes(spark, sf_dir: str) -> DataFrame:

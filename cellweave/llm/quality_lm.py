@@ -40,8 +40,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cellweave.llm.common import materialize, session_of
+from cellweave.llm.common import materialize, row_key, session_of
 
 ORDER, SYMBOL_BITS = 5, 12
 SYMBOLS = 1 << SYMBOL_BITS
@@ -182,8 +183,8 @@ def log_probabilities(grams: np.ndarray, tables: list[tuple[HashTable, HashTable
     return out
 
 
-def _score_here(docs: DataFrame, grams: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(__id, __lang, nll, n) of each row of docs (__id, __lang, __text), with the model in each process."""
+def _score_here(docs: DataFrame, grams: DataFrame, contexts: DataFrame, text_col: str = "__text") -> DataFrame:
+    """docs with nll and n for its text column, with the model in each process; no row moves."""
     tables = []
     model, weights = grams.toArrow(), contexts.toArrow()
     for k in range(1, ORDER + 1):
@@ -191,23 +192,23 @@ def _score_here(docs: DataFrame, grams: DataFrame, contexts: DataFrame) -> DataF
         two = weights.filter(pc.equal(weights["k"], k))
         tables.append((one["g"].to_numpy(), one["logp"].to_numpy().astype(np.float32), two["h"].to_numpy(), two["back"].to_numpy().astype(np.float32)))
     sent = session_of(docs).sparkContext.broadcast(tables)
-    built: list = []
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not built:
-            built.extend((HashTable(a, b), HashTable(c, d)) for a, b, c, d in sent.value)
+        built = [(HashTable(a, b), HashTable(c, d)) for a, b, c, d in sent.value]
         for batch in batches:
             nll, n = np.zeros(len(batch)), np.zeros(len(batch), np.int64)
-            for g, who in grams_of([t or "" for t in batch.column(2).to_pylist()]):
+            for g, who in grams_of([t or "" for t in batch.column(at).to_pylist()]):
                 nll -= np.bincount(who, log_probabilities(g, built), len(batch))
                 n += np.bincount(who, minlength=len(batch))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nll), pa.array(n)], names=["__id", "__lang", "nll", "n"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nll), pa.array(n)], names=[*batch.schema.names, "__nll", "__n"])
 
-    return docs.mapInArrow(run, f"__id {docs.schema['__id'].dataType.simpleString()}, __lang string, nll double, n bigint")
+    schema = T.StructType([*docs.schema.fields, T.StructField("__nll", T.DoubleType()), T.StructField("__n", T.LongType())])
+    return docs.mapInArrow(run, schema)
 
 
 def _score_sharded(docs: DataFrame, grams: DataFrame, contexts: DataFrame) -> DataFrame:
-    """The same by joins: rows of (document, n-gram, times) meet the model's shards, order by order; frequent n-grams are split by the join."""
+    """(__id, __lang, __key, __nll, __n) of docs (__id, __lang, __text, __key), by joins: rows of (document, n-gram, times) meet the model's shards, order by order; frequent n-grams are split by the join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,8 +218,7 @@ def _score_sharded(docs: DataFrame, grams: DataFrame, contexts: DataFrame) -> Da
                 at = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (who[1:] != who[:-1]))))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(who[at])), pa.array(g[at]), pa.array(np.diff(np.append(at, len(g))))], names=["__doc", "g", "times"])
 
-    key = F.xxhash64("__id", "__lang", "__text")
-    rows = docs.select(key.alias("__doc"), "__text").mapInArrow(run, "__doc bigint, g bigint, times bigint").withColumn("so_far", F.lit(0.0))
+    rows = docs.select(F.col("__key").alias("__doc"), "__text").mapInArrow(run, "__doc string, g bigint, times bigint").withColumn("so_far", F.lit(0.0))
     sums = None
     for k in range(ORDER, 0, -1):
         own = grams.where(F.col("k") == k).select(F.col("g").alias("own"), F.col("logp").cast("float").alias("logp"))
@@ -230,15 +230,15 @@ def _score_sharded(docs: DataFrame, grams: DataFrame, contexts: DataFrame) -> Da
         rows = rows.select("__doc", suffix(F.col("g"), k - 1).alias("g"), "times", (F.col("so_far") + F.coalesce("back", F.lit(0.0))).alias("so_far"))
     sums = sums.unionByName(rows.select("__doc", (F.col("times") * (F.col("so_far") - float(np.log(SYMBOLS)))).alias("x"), "times"))
     per = sums.groupBy("__doc").agg(F.sum("x").alias("x"), F.sum("times").alias("n"))
-    copies = docs.groupBy(key.alias("__doc")).agg(F.count("*").alias("copies"))
+    copies = docs.groupBy(F.col("__key").alias("__doc")).agg(F.count("*").alias("copies"))
     per = per.join(copies, "__doc").select("__doc", (-F.col("x") / F.col("copies")).alias("nll"), (F.col("n") / F.col("copies")).cast("bigint").alias("n"))
-    out = docs.select("__id", "__lang", key.alias("__key")).join(per, F.col("__key") == F.col("__doc"), "left")
-    return out.select("__id", "__lang", F.coalesce("nll", F.lit(0.0)).alias("nll"), F.coalesce("n", F.lit(0)).alias("n"))
+    out = docs.select("__id", "__lang", "__key").join(per, F.col("__key") == F.col("__doc"), "left")
+    return out.select("__id", "__lang", "__key", F.coalesce("nll", F.lit(0.0)).alias("__nll"), F.coalesce("n", F.lit(0)).alias("__n"))
 
 
 def limits(scored: DataFrame) -> DataFrame:
-    """(lang, mean, limit) of held-out trusted documents (__lang, nll, n): sums and a histogram by language, whatever their number."""
-    both = scored.where("n > 0").select(F.explode(F.array(F.col("__lang"), F.lit(None))).alias("lang"), "nll", "n")
+    """(lang, held, mean, limit) of held-out trusted documents (__lang, __nll, __n); lang null: of all languages: sums and a histogram by language, whatever their number."""
+    both = scored.where("__n > 0").select(F.explode(F.array(F.col("__lang"), F.lit(None))).alias("lang"), F.col("__nll").alias("nll"), F.col("__n").alias("n"))
     means = both.groupBy(F.col("lang").alias("m_lang")).agg((F.sum("nll") / F.sum("n")).alias("mean"), F.count("*").alias("held"))
     binned = both.join(means, F.col("lang").eqNullSafe(F.col("m_lang"))).select("lang", "mean", "held", F.ceil(smoothed(F.col("nll"), F.col("n"), F.col("mean")) / BIN).alias("bin"))
     counts = binned.groupBy("lang", "mean", "held", "bin").agg(F.count("*").alias("c"))
@@ -251,39 +251,60 @@ def smoothed(nll: Column, n: Column, mean: Column) -> Column:
     return (nll + SMOOTHING * mean) / (n + SMOOTHING)
 
 
+class Judge:
+    """The model and the limits that trusted documents set."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, broadcast_entries: int = BROADCAST_ENTRIES):
+        self.id_col, self.text_col, self.lang_col = id_col, text_col, lang_col
+        rows = self.rows(docs)
+        known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__labelled")).agg(F.min(label_col).alias("__good"))
+        trusted = known.where("__good = 1").select("__labelled")
+        trusted_rows = rows.join(trusted, F.col("__id") == F.col("__labelled"), "left_semi")
+        fold = F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(FOLDS))
+        self.grams, self.contexts = train(trusted_rows.where(fold < FOLDS - 1), "__text")
+        self.here = self.grams.count() + self.contexts.count() <= broadcast_entries
+        held = self.scored(trusted_rows.where(fold == FOLDS - 1)).select("__lang", "__nll", "__n")
+        self.limits = materialize(limits(held), "limits")
+
+    def rows(self, docs: DataFrame) -> DataFrame:
+        return docs.select(F.col(self.id_col).alias("__id"), F.coalesce(F.col(self.lang_col).cast("string"), F.lit("unknown")).alias("__lang"), F.col(self.text_col).cast("string").alias("__text"), row_key(self.id_col, self.text_col).alias("__key"))
+
+    def scored(self, rows: DataFrame) -> DataFrame:
+        return _score_here(rows, self.grams, self.contexts).drop("__text") if self.here else _score_sharded(rows, self.grams, self.contexts)
+
+    def judged(self, scored: DataFrame) -> DataFrame:
+        """scored with __limit (of the logarithm) and __rejected; limits are one row a language, and one for all."""
+        every = self.limits.where("lang IS NULL").select(F.col("mean").alias("__all_mean"), F.col("limit").alias("__all_limit"), F.lit(1).alias("__one"))
+        per = self.limits.where(F.col("lang").isNotNull() & (F.col("held") >= MIN_CALIBRATION)).select(F.col("lang").alias("__own_lang"), F.col("mean").alias("__mean"), F.col("limit").alias("__own_limit"))
+        out = scored.join(per, F.col("__lang") == F.col("__own_lang"), "left").join(every, F.lit(1) == F.col("__one"), "left")
+        out = out.withColumn("__limit", F.coalesce("__own_limit", "__all_limit"))
+        beyond = F.coalesce(smoothed(F.col("__nll"), F.col("__n"), F.coalesce("__mean", "__all_mean")) > F.col("__limit"), F.lit(False))
+        return out.withColumn("__rejected", beyond | (F.col("__n") == 0))
+
+
 def score(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
     """(id, lang, n_symbols, perplexity, limit, rejected) of each row. labels: (id_col, label_col)."""
-    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("unknown")).alias("__lang"), F.col(text_col).cast("string").alias("__text"))
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__labelled")).agg(F.min(label_col).alias("__good"))
-    trusted = known.where("__good = 1").select("__labelled")
-    fold = F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(FOLDS))
-    training = rows.where(fold < FOLDS - 1).join(trusted, F.col("__id") == F.col("__labelled"), "left_semi")
-    grams, contexts = train(training, "__text")
-    entries = grams.count() + contexts.count()
-    scored = (_score_here if entries <= broadcast_entries else _score_sharded)(rows, grams, contexts)
-    scored = materialize(scored, "scored")
-    held = scored.where(fold == FOLDS - 1).join(trusted, F.col("__id") == F.col("__labelled"), "left_semi")
-    found = materialize(limits(held), "limits")
-    every = found.where("lang IS NULL").select(F.col("mean").alias("all_mean"), F.col("limit").alias("all_limit"))
-    per = found.where(F.col("lang").isNotNull() & (F.col("held") >= MIN_CALIBRATION)).select(F.col("lang").alias("own_lang"), "mean", "limit")
-    # one row a language, and one row: joined to the scores, not crossed with texts
-    out = scored.join(per, F.col("__lang") == F.col("own_lang"), "left").join(every.withColumn("__one", F.lit(1)), F.lit(1) == F.col("__one"), "left")
-    limit, mean = F.coalesce("limit", "all_limit"), F.coalesce("mean", "all_mean")
-    beyond = F.coalesce(smoothed(F.col("nll"), F.col("n"), mean) > limit, F.lit(False))
+    judge = Judge(docs, labels, id_col, text_col, lang_col, label_col, broadcast_entries)
+    out = judge.judged(judge.scored(judge.rows(docs)))
     return out.select(
         F.col("__id").alias(id_col),
         F.col("__lang").alias("lang"),
-        F.col("n").alias("n_symbols"),
-        F.when(F.col("n") > 0, F.exp(F.col("nll") / F.col("n"))).alias("perplexity"),
-        F.exp(limit).alias("limit"),
-        (beyond | (F.col("n") == 0)).alias("rejected"),
+        F.col("__n").alias("n_symbols"),
+        F.when(F.col("__n") > 0, F.exp(F.col("__nll") / F.col("__n"))).alias("perplexity"),
+        F.exp("__limit").alias("limit"),
+        F.col("__rejected").alias("rejected"),
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str) -> DataFrame:
-    """The rows of docs that aren't rejected, with all their columns; rows of one id and different texts stay if one of them does."""
-    stay = score(docs, labels, id_col, text_col, lang_col, label_col).where(~F.col("rejected")).select(F.col(id_col).alias("__stay")).distinct()
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("__stay")), "left_semi")
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
+    """The rows of docs that aren't rejected, with all their columns. With the model in each process no text is shuffled."""
+    judge = Judge(docs, labels, id_col, text_col, lang_col, label_col, broadcast_entries)
+    if judge.here:
+        marked = docs.withColumn("__lang", F.coalesce(F.col(lang_col).cast("string"), F.lit("unknown")))
+        judged = judge.judged(_score_here(marked, judge.grams, judge.contexts, text_col))
+        return judged.where(~F.col("__rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stay = judge.judged(judge.scored(judge.rows(docs))).where(~F.col("__rejected")).select(F.col("__key").alias("__stay")).distinct()
+    return docs.withColumn("__row", row_key(id_col, text_col)).join(stay, F.col("__row") == F.col("__stay"), "left_semi").drop("__row")
 
 
 def op6_kneser_ney(spark, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import materialize
+from cellweave.llm.common import materialize, row_key, rows_of
 
 BITS = 64
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -77,10 +77,10 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch], shingle: int, seed:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(__id, __print, __key) of each row; __print has the fingerprint's 64 bits as a signed number, __key is a hash of the text."""
+    """(__id, __print, __key) of each row; __print has the fingerprint's 64 bits as a signed number, __key its row_key."""
     kind = docs.schema[id_col].dataType.simpleString()
-    narrow = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("binary").alias("__text"), F.xxhash64(text_col).alias("__key"))
-    return narrow.mapInArrow(partial(_fingerprint_batches, shingle=shingle, seed=seed), f"__id {kind}, __print bigint, __key bigint")
+    narrow = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("binary").alias("__text"), row_key(id_col, text_col).alias("__key"))
+    return narrow.mapInArrow(partial(_fingerprint_batches, shingle=shingle, seed=seed), f"__id {kind}, __print bigint, __key string")
 
 
 def flips(bits: int, most: int) -> np.ndarray:
@@ -211,10 +211,10 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
 
 
 def deduplicate(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs of which none of the same component has a smaller id, with all their columns; of repeated ids one row."""
+    """The rows of docs of which none of the same component has a smaller id, with all their columns; a repeated row once."""
     found = near_duplicates(docs, id_col, text_col, shingle, radius)
-    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__stay"), "__key").distinct()
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("__stay")) & (F.xxhash64(text_col) == F.col("__key")), "left_semi").dropDuplicates([id_col, text_col])
+    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col("__key").alias("__stay")).distinct()
+    return rows_of(docs, stay, id_col, text_col)
 
 
 def op2_simhash_ball(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from cellweave.llm import quality_lm as q
 
 TEXTS = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "日本 the mat\n\ttabs", "the the the", ""]
-SCHEMA = "doc_id bigint, text string, lang string, n bigint, __id string, perplexity string"
+SCHEMA = "doc_id bigint, text string, lang string, n bigint, limit string, perplexity string"
 
 
 def brute(texts):
@@ -62,9 +62,9 @@ def model(spark):
 def test_both_ways_of_scoring_follow_the_definition(spark, model):
     p, pad = brute(TEXTS)
     new = [*TEXTS[:3], "a new cat", "ZZ 🙂 日", None, "the mat" * 50, "a new cat"]
-    docs = spark.createDataFrame([(i, "x", t) for i, t in enumerate(new)], "__id bigint, __lang string, __text string")
+    docs = spark.createDataFrame([(i, "x", t, f"{t}") for i, t in enumerate(new)], "__id bigint, __lang string, __text string, __key string")
     for way in (q._score_here, q._score_sharded):
-        got = {r["__id"]: (r.nll, r.n) for r in way(docs, *model).collect()}
+        got = {r["__id"]: (r['__nll'], r['__n']) for r in way(docs, *model).collect()}
         assert len(got) == len(new)
         for i, t in enumerate(new):
             nll, n = perplexity(p, pad, t or "")
@@ -99,8 +99,11 @@ def test_every_kind_of_row(spark):
     rows = [(1, None, "en", 1, "", ""), (2, "", None, 1, "", ""), (None, "the cat", "en", 1, "", ""), (3, "word " * 30_000, "fr", 1, "", ""), (3, "word " * 30_000, "fr", 1, "", "")]
     docs = spark.createDataFrame(rows, SCHEMA)
     for labels in ([], [(3, 1), (None, 1), (1, None), (3, 1)]):
-        got = q.score(docs, spark.createDataFrame(labels, "doc_id bigint, quality int"), "doc_id", "text", "lang", "quality").collect()
-        assert len(got) == 5 and {r.doc_id for r in got if r.rejected} == {1, 2}
+        for entries in (q.BROADCAST_ENTRIES, 0):
+            args = spark.createDataFrame(labels, "doc_id bigint, quality int"), "doc_id", "text", "lang", "quality", entries
+            got = q.score(docs, *args).collect()
+            assert len(got) == 5 and {r.doc_id for r in got if r.rejected} == {1, 2}
+            assert sorted(r.doc_id or 0 for r in q.keep_good(docs, *args).collect()) == [0, 3, 3]
     assert q.score(docs.limit(0), spark.createDataFrame([], "doc_id bigint, quality int"), "doc_id", "text", "lang", "quality").collect() == []
 
 
