@@ -49,6 +49,8 @@ SYMBOLS = 1 << SYMBOL_BITS
 START = SYMBOLS - 1
 AT_ONCE = 1_000_000
 BROADCAST_ENTRIES = 3_000_000
+#: Ids of trusted documents that are sent to all tasks, about 16 bytes each; more are joined by a shuffle.
+BROADCAST_LABELS = 1_000_000
 #: Folds by hash of the id; the last one calibrates, the others train.
 FOLDS = 5
 QUANTILE, MARGIN, SMOOTHING, MIN_CALIBRATION = 0.995, 0.15, 200, 50
@@ -254,11 +256,13 @@ def smoothed(nll: Column, n: Column, mean: Column) -> Column:
 class Judge:
     """The model and the limits that trusted documents set."""
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, broadcast_entries: int = BROADCAST_ENTRIES):
+    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, broadcast_entries: int = BROADCAST_ENTRIES, broadcast_labels: int = BROADCAST_LABELS):
         self.id_col, self.text_col, self.lang_col = id_col, text_col, lang_col
         rows = self.rows(docs)
         known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__labelled")).agg(F.min(label_col).alias("__good"))
-        trusted = known.where("__good = 1").select("__labelled")
+        trusted = materialize(known.where("__good = 1").select("__labelled"), "trusted")
+        if trusted.count() <= broadcast_labels:  # else the join shuffles the texts of labelled documents
+            trusted = F.broadcast(trusted)
         trusted_rows = rows.join(trusted, F.col("__id") == F.col("__labelled"), "left_semi")
         fold = F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(FOLDS))
         self.grams, self.contexts = train(trusted_rows.where(fold < FOLDS - 1), "__text")
@@ -274,11 +278,11 @@ class Judge:
 
     def judged(self, scored: DataFrame) -> DataFrame:
         """scored with __limit (of the logarithm) and __rejected; limits are one row a language, and one for all."""
-        every = self.limits.where("lang IS NULL").select(F.col("mean").alias("__all_mean"), F.col("limit").alias("__all_limit"), F.lit(1).alias("__one"))
+        mean, limit = next(((r["mean"], r["limit"]) for r in self.limits.where("lang IS NULL").collect()), (None, None))
         per = self.limits.where(F.col("lang").isNotNull() & (F.col("held") >= MIN_CALIBRATION)).select(F.col("lang").alias("__own_lang"), F.col("mean").alias("__mean"), F.col("limit").alias("__own_limit"))
-        out = scored.join(per, F.col("__lang") == F.col("__own_lang"), "left").join(every, F.lit(1) == F.col("__one"), "left")
-        out = out.withColumn("__limit", F.coalesce("__own_limit", "__all_limit"))
-        beyond = F.coalesce(smoothed(F.col("__nll"), F.col("__n"), F.coalesce("__mean", "__all_mean")) > F.col("__limit"), F.lit(False))
+        out = scored.join(per, F.col("__lang") == F.col("__own_lang"), "left")
+        out = out.withColumn("__limit", F.coalesce("__own_limit", F.lit(limit).cast("double")))
+        beyond = F.coalesce(smoothed(F.col("__nll"), F.col("__n"), F.coalesce("__mean", F.lit(mean).cast("double"))) > F.col("__limit"), F.lit(False))
         return out.withColumn("__rejected", beyond | (F.col("__n") == 0))
 
 
