@@ -646,3 +646,21 @@ def stream_running_argmax(spark, d):
 
     out = windows.drain(windows.running_best(_stream(spark, d), "ts", "1 day", "60 days", ["user_id"], ["event_id"], "value"), "stream_running_argmax", "complete")
     return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "user_id", "value", "event_id")
+
+
+@query(f"""WITH {LOOKS_SQL}, a AS (SELECT *, CASE WHEN epoch < 1998 THEN '1996-01-01' ELSE '1998-01-01' END AS period FROM looks WHERE acquired >= TIMESTAMP '1996-01-01' AND acquired < TIMESTAMP '2000-01-01'),
+w AS (SELECT * FROM a WHERE valid QUALIFY row_number() OVER (PARTITION BY cell, epoch ORDER BY score DESC, acquired, oid, line) = 1),
+o AS (SELECT cell, period, count(DISTINCT epoch) AS n_observed FROM a GROUP BY 1, 2)
+SELECT o.cell, o.period, first(w.cls ORDER BY w.score DESC, w.epoch) FILTER (w.cell IS NOT NULL) AS kind, round(avg(w.value), 7) AS price, count(w.cell) AS price_n, count(w.cell) AS n_epochs, max(n_observed) AS n_observed
+FROM o LEFT JOIN w USING (cell, period) GROUP BY 1, 2""")
+def deliver_run(spark, d):
+    from cellweave.plans.manifest import Manifest, deliver
+
+    doc = {
+        "run_id": "two-years",
+        "box": (-10, -10, 10, 10),
+        "time": {"start": datetime(1996, 1, 1), "end": datetime(2000, 1, 1), "epoch": "P1Y", "deliver_every": "P2Y"},
+        "layers": [{"name": "kind", "kind": "categorical", "source": "cls", "aggregate": "best"}, {"name": "price", "kind": "continuous", "source": "value", "aggregate": "mean"}],
+    }
+    out = deliver(Manifest.from_document(doc), looks(spark, d))
+    return out.withColumn("period", F.date_format("period", "yyyy-MM-dd")).withColumn("price", F.round("price", 7))
