@@ -81,6 +81,7 @@ def mark_duplicates(docs: DataFrame, id_col: str, text_col: str, hashed: Callabl
     """(id, keep_id, group_size, kept, text_sha256) of each row; of equal texts the row with the largest id stays."""
     own = materialize(recipes(docs, id_col, text_col, hashed), "recipes")
     groups = own.groupBy("recipe").agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size"))
+    groups = materialize(groups, "groups")  # so that the join stands on two plain exchanges, and Spark can split a hot group
     out = own.join(groups, "recipe")
     return out.select(id_col, "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 

@@ -110,6 +110,7 @@ def scan_secrets(docs: DataFrame, id_col: str, text_col: str, owner_col: str, re
     owned = spans.groupBy("__value", "__owner", "__repo").agg(F.count("*").alias("n"))
     by_owner = owned.groupBy("__value", "__owner").agg(F.count("*").alias("repos"))
     counts = by_owner.groupBy("__value").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
+    counts = materialize(counts, "owners")  # so that the join stands on two plain exchanges, and Spark can split a hot value
     live = _live_looking(F.col("s.value"))
     known = spans.join(counts, "__value").select(
         "__id",

@@ -206,6 +206,7 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
     roots = linked.groupBy("root").agg(F.min("__least").alias("__all"))
     linked = linked.join(roots, "root").select(F.col("__print").alias("__p"), "__all")
     per = per.join(linked, F.col("__print") == F.col("__p"), "left").select(F.col("__print").alias("__p"), F.coalesce("__all", "__least").alias("component_id"))
+    per = materialize(per, "components")  # so that the join stands on two plain exchanges, and Spark can split a hot fingerprint
     out = own.join(per, F.col("__print") == F.col("__p"))
     return out.select(F.col("__id").alias(id_col), F.lower(F.lpad(F.hex("__print"), 16, "0")).alias("fingerprint"), "component_id", "__key")
 
