@@ -98,11 +98,11 @@ def version_pin(spark, d):
     return catalog.pin_versions(index(spark, d), {"F": "1-URGENT", "O": "2-HIGH", "P": "3-MEDIUM"}).select("granule_id", "collection_version")
 
 
-@query(INDEX + "SELECT granule_id, price FROM idx WHERE granule_id % 3 <> 0 AND granule_id % 5 <> 0 UNION ALL SELECT granule_id, price + 1 FROM idx WHERE granule_id % 5 = 0")
+@query(INDEX + "SELECT granule_id, price FROM idx WHERE collection <> 'P' AND collection_version <> '1-URGENT' UNION ALL SELECT granule_id, price + 1 FROM idx WHERE collection_version = '1-URGENT'")
 def upsert_merge(spark, d):
     rows = index(spark, d).select(*catalog.ROW_KEY, "price")
-    delta = rows.where("granule_id % 5 = 0").withColumn("price", F.col("price") + 1)
-    return catalog.upsert(rows.where("granule_id % 3 <> 0"), delta).select("granule_id", "price")
+    delta = rows.where("collection_version = '1-URGENT'").withColumn("price", F.col("price") + 1)
+    return catalog.upsert(rows.where("collection <> 'P'"), delta).select("granule_id", "price")
 
 
 @query(INDEX + """, own AS (SELECT collection, min(west) AS w, max(east) AS e, min(acquired) AS t0, max(acquired) AS t1 FROM idx GROUP BY 1)
@@ -227,9 +227,9 @@ def gather_equi(spark, d):
     return resolve.gather(lookup, pixels, ["depth"], ("granule", "s_col")).select(F.col("granule").alias("cell"), F.col("found").alias("s_col"), "depth", "valid")
 
 
-@query(f"WITH {INDEX_SQL}, {_TILES_SQL} SELECT granule_id FROM idx WHERE EXISTS (SELECT 1 FROM tiles WHERE tile % 7 = 0 AND west < e AND east > w AND south < n AND north > s)")
+@query(f"WITH {INDEX_SQL}, {_TILES_SQL} SELECT granule_id FROM idx WHERE EXISTS (SELECT 1 FROM tiles WHERE w BETWEEN -60 AND 59 AND s >= 0 AND west < e AND east > w AND south < n AND north > s)")
 def semi_join_tile(spark, d):
-    return lattice.box_semi_join(index(spark, d), _tiles(spark).where("tile % 7 = 0"), 30.0, ["granule_id"]).select("granule_id")
+    return lattice.box_semi_join(index(spark, d), _tiles(spark).where("r_west BETWEEN -60 AND 59 AND r_south >= 0"), 30.0, ["granule_id"]).select("granule_id")
 
 
 @query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
@@ -547,10 +547,10 @@ def band_depth(spark, d):
 
 def _cube(spark, d) -> DataFrame:
     k = F.col("vec_id")
-    return table(spark, d, "embeddings").select((k % 2).alias("granule"), F.floor(k / 40).alias("row"), (k % 40).alias("col"), F.floor(k / 40).alias("s_row"), (k % 40).alias("s_col"), F.slice("embedding", 1, 8).alias("reflectance"))
+    return table(spark, d, "embeddings").select((k % 2).alias("granule"), F.floor(k / 40).alias("row"), (k % 40).alias("col"), F.floor(k / 40).alias("s_row"), (k % 40).alias("s_col"), F.col("embedding").alias("reflectance"))
 
 
-_TARGET = [0.5, -0.2, 0.3, 0.1, -0.4, 0.2, 0.0, 0.6]
+_TARGET = [(k * 7 % 11 - 5) / 10 for k in range(64)]
 
 
 @query()
