@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -35,7 +37,9 @@ def scratch_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
-        _OWN_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="cellweave-")
+        own = tempfile.mkdtemp(prefix="cellweave-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _OWN_DIRS[app] = "file://" + own
     return _OWN_DIRS[app]
 
 
