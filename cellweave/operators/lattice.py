@@ -52,16 +52,18 @@ def nearest_pixels(cells: DataFrame, pixels: DataFrame, size: float, max_distanc
     its nearest pixel, marked far. Each round joins on the bin, so no cell meets all pixels.
     """
     inside = pixels.groupBy("granule").agg(F.min("px").alias("x0"), F.max("px").alias("x1"), F.min("py").alias("y0"), F.max("py").alias("y1"))
-    todo = cells.join(inside, "granule").where(F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))).drop("x0", "x1", "y0", "y1")
+    todo = cells.join(inside, "granule").where(F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1")))
     binned = pixels.withColumn("bx", F.floor(F.col("px") / size)).withColumn("by", F.floor(F.col("py") / size))
     done, rings = None, 1
     while True:
         around = todo.withColumn("cx", F.floor(F.col("x") / size)).withColumn("cy", F.floor(F.col("y") / size))
-        for axis, at in (("bx", "cx"), ("by", "cy")):
-            around = around.withColumn(axis, F.explode(F.sequence(F.col(at) - rings, F.col(at) + rings)))
+        for axis, at, lo, hi in (("bx", "cx", "x0", "x1"), ("by", "cy", "y0", "y1")):  # no bins beyond the pixels' box
+            first, last = F.greatest(F.col(at) - rings, F.floor(F.col(lo) / size)), F.least(F.col(at) + rings, F.floor(F.col(hi) / size))
+            around = around.withColumn(axis, F.explode(F.sequence(first, last)))
         met = around.join(binned, ["granule", "bx", "by"])
         d2 = (F.col("x") - F.col("px")) ** 2 + (F.col("y") - F.col("py")) ** 2
         best = met.groupBy("granule", "row", "col", "x", "y").agg(F.min(F.struct(d2.alias("d2"), "s_row", "s_col")).alias("b"))
+        best = best.persist()  # the next round and the result both read it; lost parts are made anew
         settled = best.where(F.col("b.d2") <= (rings * size) ** 2).select("granule", "row", "col", "b.s_row", "b.s_col", "b.d2")
         done = settled if done is None else done.unionByName(settled)
         todo = todo.join(settled.select("granule", "row", "col"), ["granule", "row", "col"], "left_anti")

@@ -197,7 +197,7 @@ def _hits(spark, d) -> DataFrame:
     pixels = table(spark, d, "supplier").select((k % 3).alias("granule"), F.floor(k / 16).alias("s_row"), (k % 16).alias("s_col"), ((k * 37 % 211) / 211 * 20).alias("px"), ((k * 53 % 197) / 197 * 20).alias("py"))
     i = F.col("id")
     cells = spark.range(1200).select(F.floor(i / 400).alias("granule"), F.floor(i % 400 / 20).alias("row"), (i % 20).alias("col"), (i % 20 + 0.5).cast("double").alias("x"), (F.floor(i % 400 / 20) + 0.5).cast("double").alias("y"))
-    return lattice.nearest_pixels(cells, pixels, 1.0, 1.5)
+    return lattice.nearest_pixels(cells, pixels, 3.0, 1.5)
 
 
 @query(f"WITH {_PIXELS_SQL} SELECT granule, row, col, s_row, s_col, far FROM hits")
