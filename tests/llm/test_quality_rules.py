@@ -58,3 +58,18 @@ def test_clean_documents_stay(spark):
         assert tuple(got[k])[1:6] == plain(t)
     good = {r.doc_id for r in spark.read.parquet("/root/testdata/sf0.001/labels.parquet").where("quality = 1").collect()}
     assert all(got[k].kept for k in good if not got[k].base_failed)
+
+
+def test_bands_reject_documents_that_pass_the_base_rules(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = {0: [], 1: []}
+    for r in q.op7_compression_bands(spark, sf).collect():
+        if r.doc_id in labels and not r.base_failed:
+            got[labels[r.doc_id]].append(r.kept)
+    assert sum(not k for k in got[0]) >= 0.5 * len(got[0]) > 0 and sum(got[1]) >= 0.99 * len(got[1]) > 0
+
+
+def test_a_band_depends_on_length_and_language():
+    assert q.band(100) == (0.0, 9.0) and q.band(10**9) == q.band(q.KNOTS[-1]) and q.band(5000, "xx") == q.band(5000)
+    assert q.band(1000, "de")[0] > q.band(3000, "de")[0] > q.band(20_000, "de")[0] and q.band(1000, "de") != q.band(1000, "es")
