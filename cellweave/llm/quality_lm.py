@@ -53,7 +53,7 @@ BROADCAST_ENTRIES = 3_000_000
 BROADCAST_LABELS = 1_000_000
 #: Folds by hash of the id; the last one calibrates, the others train.
 FOLDS = 5
-QUANTILE, MARGIN, SMOOTHING, MIN_CALIBRATION = 0.995, 0.15, 200, 50
+QUANTILE, SMOOTHING, MIN_CALIBRATION = 0.995, 200, 50
 #: Perplexities are counted in bins of this width of their logarithm.
 BIN = 0.001
 
@@ -246,7 +246,7 @@ def limits(scored: DataFrame) -> DataFrame:
     counts = binned.groupBy("lang", "mean", "held", "bin").agg(F.count("*").alias("c"))
     upto = F.sum("c").over(Window.partitionBy("lang").orderBy("bin"))
     found = counts.withColumn("upto", upto).where(F.col("upto") >= QUANTILE * F.col("held"))
-    return found.groupBy("lang").agg(F.first("mean").alias("mean"), F.first("held").alias("held"), (F.min("bin") * BIN + MARGIN).alias("limit"))
+    return found.groupBy("lang").agg(F.first("mean").alias("mean"), F.first("held").alias("held"), (F.min("bin") * BIN).alias("limit"))
 
 
 def smoothed(nll: Column, n: Column, mean: Column) -> Column:

@@ -114,3 +114,19 @@ def test_good_documents_stay_and_junk_goes(spark):
     assert len(got) == 1000
     good, bad = [got[d] for d, y in labels.items() if y == 1], [got[d] for d, y in labels.items() if y == 0]
     assert sum(good) <= 0.01 * len(good) and sum(bad) >= 0.7 * len(bad)
+
+
+def test_the_limit_is_the_quantile_and_no_more(spark):
+    rows = [("en", 1.5 * 1000 + k, 1000) for k in range(400)]
+    mean = sum(r[1] for r in rows) / sum(r[2] for r in rows)
+    want = sorted((nll + q.SMOOTHING * mean) / (n + q.SMOOTHING) for _, nll, n in rows)[math.ceil(q.QUANTILE * len(rows)) - 1]
+    for r in q.limits(spark.createDataFrame(rows, "__lang string, __nll double, __n bigint")).collect():
+        assert r.held == 400 and want <= r.limit <= want + 1.01 * q.BIN
+
+
+def test_junk_goes_where_languages_have_their_own_limits(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = {r.doc_id: r.rejected for r in q.op6_kneser_ney(spark, sf).collect()}
+    good, bad = [got[d] for d, y in labels.items() if y == 1], [got[d] for d, y in labels.items() if y == 0]
+    assert sum(good) <= 0.01 * len(good) and sum(bad) >= 0.94 * len(bad)
