@@ -43,8 +43,10 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]{12,}", 0, 16),
     ("hex", r"[0-9a-f]{32,}", 0, 32),
 )
+#: A whole private key; its value is the body, so that two keys are two values. Without its last line a key still counts.
+PEM = r"-----BEGIN [A-Z ]*PRIVATE KEY-----((?:[\x20\x09-\x0D]*(?:Proc-Type|DEK-Info):[^\x0A\x0D]*)*[\x20\x09-\x0D\\nr]*[A-Za-z0-9+/]{40,}[A-Za-z0-9+/=\\\x20\x09-\x0D]*)(?:-----END [A-Z ]*PRIVATE KEY-----)?"
 ADDED = (
-    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("pem", PEM, 1, 40),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
     ("vendor", r"(?:gh[pousr]_|sk_live_|xox[abprs]-|AIza)[A-Za-z0-9_-]{16,}", 0, 1),
     ("urlcred", r"://[^\x20\x09-\x0D:@/]+:[^\x20\x09-\x0D@/]+@", 0, 1),
@@ -54,6 +56,9 @@ ADDED = (
 MAX_OWNERS = 1
 #: A live-looking value has at least so many different characters, so many digits and so many letters.
 LIVE_DISTINCT, LIVE_DIGITS, LIVE_LETTERS = 10, 3, 3
+#: A private key is live by its form. Of urlcred the password is judged: people choose it, so it needs no digits, but so many different characters and no placeholder's form.
+PASSWORD, PASSWORD_DISTINCT = r"://[^:]+:(.+)@", 5
+PLACEHOLDER = r"^(?:[$<{\[%].*|.*(?:password|passwd|secret|example|changeme).*)$"
 
 
 def _spans(text: Column, rank: int, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -73,13 +78,16 @@ def _spans(text: Column, rank: int, kind: str, pattern: str, group: int, least:
     return F.when(text.rlike(pattern), F.filter(placed, lambda s: F.length(s["value"]) >= least)).otherwise(none)
 
 
-def _live_looking(value: Column) -> Column:
+def _live_looking(kind: Column, value: Column) -> Column:
     chars = F.split(value, "")
-    return (
+    password = F.regexp_extract(value, PASSWORD, 1)
+    chosen = (F.size(F.array_distinct(F.split(password, ""))) >= PASSWORD_DISTINCT) & ~F.lower(password).rlike(PLACEHOLDER)
+    random = (
         (F.size(F.array_distinct(chars)) >= LIVE_DISTINCT)
         & (F.regexp_count(value, F.lit("[0-9]")) >= LIVE_DIGITS)
         & (F.regexp_count(value, F.lit("[A-Za-z]")) >= LIVE_LETTERS)
     )
+    return F.when(kind == "pem", True).when(kind == "urlcred", chosen).otherwise(random)
 
 
 def _joined(spans: Column) -> Column:
@@ -89,7 +97,7 @@ def _joined(spans: Column) -> Column:
 def scan_secrets(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_cols: tuple[str, ...], max_owners: int = MAX_OWNERS) -> DataFrame:
     """One row for each row of docs: id, spans array<struct<start, rank, end, kind, value, n_owners, n_repos, class>> sorted by start, then kind.
 
-    class is "copied" (more than max_owners owners), "live" (few owners, looks random) or "weak" (few owners, doesn't).
+    class is "copied" (more than max_owners owners), "live" (few owners, looks live for its kind) or "weak" (few owners, doesn't).
     Only candidate rows are shuffled, never texts: counts are combined before each shuffle, by (value, owner, repository) first,
     so a value that a third of all rows hold costs one row a task.
     """
@@ -111,7 +119,7 @@ def scan_secrets(docs: DataFrame, id_col: str, text_col: str, owner_col: str, re
     by_owner = owned.groupBy("__value", "__owner").agg(F.count("*").alias("repos"))
     counts = by_owner.groupBy("__value").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
     counts = materialize(counts, "owners")  # so that the join stands on two plain exchanges, and Spark can split a hot value
-    live = _live_looking(F.col("s.value"))
+    live = _live_looking(F.col("s.kind"), F.col("s.value"))
     known = spans.join(counts, "__value").select(
         "__id",
         "__key",
@@ -166,9 +174,11 @@ def _sql_spans(rank: int, kind: str, pattern: str, group: int, least: int) -> st
     ) WHERE length({value}) >= {least}"""
 
 
+#: The SQL keeps its rule for pem and urlcred, so it answers for texts without those kinds only.
+_SQL_KINDS = [*BASE, ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1), *ADDED[1:]]
 ORACLE = f"""
 WITH texts AS (SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang, coalesce(text, '') AS t FROM documents),
-found AS ({" UNION ALL ".join(_sql_spans(k, *spec) for k, spec in enumerate([*BASE, *ADDED]))}),
+found AS ({" UNION ALL ".join(_sql_spans(k, *spec) for k, spec in enumerate(_SQL_KINDS))}),
 counts AS (SELECT value, count(DISTINCT source) AS n_owners FROM found GROUP BY value),
 known AS (
   SELECT f.*, CASE WHEN n_owners > {MAX_OWNERS} THEN 'copied'
