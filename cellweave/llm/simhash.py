@@ -160,7 +160,12 @@ def _block_links(block: pa.Table, prefix_bits: int, radius: int) -> pa.Table:
 
 
 def links(prints: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
-    """Links (u, v) that connect what is within radius bits; prints: n distinct (__print)."""
+    """Links (u, v) that connect what is within radius bits; prints: n distinct (__print).
+
+    An odd radius is refused: variants within half of it, rounded up, also bring together what is one bit too far, and a star around such a value could hide a link.
+    """
+    if radius < 0 or radius % 2:
+        raise ValueError(f"radius must be even and not negative, not {radius}")
     half = radius // 2
     prefix_bits = 0
     while prefix_bits < MOST_PREFIX_BITS and n * len(flips(prefix_bits, half)) > BLOCK_ROWS << prefix_bits:
@@ -198,26 +203,28 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(id, fingerprint, component_id, __key) of each row; component_id is the smallest id that links reach, itself included."""
+    """(id, fingerprint, component_id, __key, __first) of each row; component_id is the smallest id that links reach, itself included. __first: of a component of null ids only, the least key."""
     own = materialize(fingerprints(docs, id_col, text_col, shingle), "prints")
-    per = materialize(own.groupBy("__print").agg(F.min("__id").alias("__least")), "prints")
+    per = materialize(own.groupBy("__print").agg(F.min("__id").alias("__least"), F.min(F.when(F.col("__id").isNull(), F.col("__key"))).alias("__null")), "prints")
     found = components(links(per.select("__print"), per.count(), radius))
-    linked = per.join(found, per["__print"] == found["node"]).select("__print", "__least", "root")
-    roots = linked.groupBy("root").agg(F.min("__least").alias("__all"))
-    linked = linked.join(roots, "root").select(F.col("__print").alias("__p"), "__all")
-    per = per.join(linked, F.col("__print") == F.col("__p"), "left").select(F.col("__print").alias("__p"), F.coalesce("__all", "__least").alias("component_id"))
+    linked = per.join(found, per["__print"] == found["node"]).select("__print", "__least", "__null", "root")
+    roots = linked.groupBy("root").agg(F.min("__least").alias("__all"), F.min("__null").alias("__all_null"))
+    linked = linked.join(roots, "root").select(F.col("__print").alias("__p"), "__all", "__all_null")
+    per = per.join(linked, F.col("__print") == F.col("__p"), "left").select(F.col("__print").alias("__p"), F.coalesce("__all", "__least").alias("component_id"), F.coalesce("__all_null", "__null").alias("__first"))
+    per = per.withColumn("__first", F.when(F.col("component_id").isNull(), F.col("__first")))
     per = materialize(per, "components")  # so that the join stands on two plain exchanges, and Spark can split a hot fingerprint
     out = own.join(per, F.col("__print") == F.col("__p"))
-    return out.select(F.col("__id").alias(id_col), F.lower(F.lpad(F.hex("__print"), 16, "0")).alias("fingerprint"), "component_id", "__key")
+    return out.select(F.col("__id").alias(id_col), F.lower(F.lpad(F.hex("__print"), 16, "0")).alias("fingerprint"), "component_id", "__key", "__first")
 
 
 def deduplicate(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs of which none of the same component has a smaller id, with all their columns; a repeated row once."""
+    """The rows of docs of which none of the same component has a smaller id, with all their columns; a repeated row once. Of null ids only, the row with the least key."""
     found = near_duplicates(docs, id_col, text_col, shingle, radius)
-    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col("__key").alias("__stay")).distinct()
+    smallest = F.when(F.col("component_id").isNull(), F.col("__key") == F.col("__first")).otherwise(F.col(id_col) == F.col("component_id"))
+    stay = found.where(smallest).select(F.col("__key").alias("__stay")).distinct()
     return rows_of(docs, stay, id_col, text_col)
 
 
 def op2_simhash_ball(spark, sf_dir: str) -> DataFrame:
     """All documents: 4-word shingles, 4 bits."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text").drop("__key")
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text").drop("__key", "__first")

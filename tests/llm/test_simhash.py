@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from cellweave.llm import simhash
@@ -83,3 +84,18 @@ def test_turns_of_the_sort_agree(monkeypatch):
     whole = simhash.forest(len(prints), *simhash._collisions(prints, spent, 64, 2))
     monkeypatch.setattr(simhash, "SORTED_AT_ONCE", 50_000)
     assert (whole == simhash.forest(len(prints), *simhash._collisions(prints, spent, 64, 2))).all()
+
+
+def test_odd_radii_are_refused(spark):
+    prints = spark.createDataFrame([(0,), (7,)], "__print bigint")
+    with pytest.raises(ValueError):
+        simhash.links(prints, 2, 3)
+
+
+def test_one_row_of_near_copies_without_ids_stays(spark):
+    pairs = ((" ".join(words), " ".join([*words[:-1], "other"])) for words in ([f"word{i}" for i in range(n)] for n in range(100, 400)))
+    near = next(p for p in pairs if 1 <= (brute_print(p[0]) ^ brute_print(p[1])).bit_count() <= 4)
+    rows = [(None, near[0]), (None, near[1]), (None, near[0].upper()), (None, "zz yy xx ww vv uu"), (5, "a b c d e"), (None, "a b c d e")]
+    df = spark.createDataFrame([(i, t, "", "") for i, t in rows], SCHEMA)
+    got = [(r.doc_id, r.text) for r in simhash.deduplicate(df, "doc_id", "text").collect()]
+    assert len(got) == 3 and (5, "a b c d e") in got and (None, "zz yy xx ww vv uu") in got
