@@ -9,22 +9,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NODATA_CLASS = 65535
+# FIXED: the palette of classes without a colour of their own.
+GOLDEN, PALETTE_SATURATION, PALETTE_VALUE = 0.618033988749895, 0.65, 0.90
 
 
 def nan_to_null(c: Column) -> Column:
     """NaN sorts above everything in Spark, so it becomes NULL at the door."""
-    return F.when(F.isnan(c), None).otherwise(c)
+    return F.when(~F.isnan(c), c)
 
 
 def clip(c: Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(c, F.lit(lo)), F.lit(hi))
 
 
-def bounded(c: Column, lo: float, hi: float) -> Column:
-    """c as a share of lo..hi, held to 0..1."""
-    return clip((c - lo) / (hi - lo), 0.0, 1.0)
-
-
 def mean_of_present(*cols: Column) -> Column:
     """The mean of those that aren't NULL."""
     n = sum((F.when(c.isNotNull(), 1).otherwise(0) for c in cols), F.lit(0))
@@ -72,9 +69,9 @@ def piecewise(c: Column, stops: Sequence[tuple[float, float]]) -> Column:
 
 
 def id_color(class_id: Column) -> Column:
-    """[r, g, b] of a class id: hues a golden angle apart, at fixed saturation and value."""
-    hue = F.pmod(class_id * 137.50776405003785, F.lit(360.0)) / 60
-    v, s = 0.95, 0.65
+    """[r, g, b] of a class id alone: hues a golden part of the wheel apart, at fixed saturation and value."""
+    hue = F.pmod(class_id * GOLDEN, F.lit(1.0)) * 6
+    v, s = PALETTE_VALUE, PALETTE_SATURATION
 
     def channel(n: int) -> Column:
         k = F.pmod(hue + n, F.lit(6.0))

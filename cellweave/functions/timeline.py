@@ -4,28 +4,30 @@ from __future__ import annotations
 
 import calendar
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
 
 _ISO = re.compile(r"P(?:(\d+)Y)?(?:(\d+)M)?(?:(\d+)W)?(?:(\d+)D)?$")
+ALIGNS = ("exact", "center", "trailing", "leading")
 
 
 @dataclass(frozen=True)
 class Duration:
-    """Whole months, then days."""
+    """Whole months, then days. whole_years tells P1Y from P12M: only the calendar boundary differs."""
 
     months: int = 0
     days: int = 0
+    whole_years: bool = field(default=False, compare=False)
 
     @classmethod
     def parse(cls, text: str) -> Duration:
-        m = _ISO.fullmatch(text)
+        m = _ISO.fullmatch(text.strip())
         if not m or not any(m.groups()):
             raise ValueError(f"not a period of years, months, weeks and days: {text}")
         y, mo, w, d = (int(x or 0) for x in m.groups())
         if not (y or mo or w or d):
             raise ValueError(f"an empty period: {text}")
-        return cls(12 * y + mo, 7 * w + d)
+        return cls(12 * y + mo, 7 * w + d, bool(y and not mo))
 
     def after(self, start: datetime, times: int = 1) -> datetime:
         """start plus so many of it, counted once from start: months first, held to the month's last day."""
@@ -35,14 +37,9 @@ class Duration:
         return start.replace(year=year, month=month, day=day) + timedelta(days=self.days * times)
 
     def parts_of(self, other: Duration) -> int | None:
-        """How many of self make other, if they divide it."""
-        if self.months and not self.days and not other.days:
-            return other.months // self.months if other.months % self.months == 0 else None
-        if self.days and not self.months and not other.months:
-            return other.days // self.days if other.days % self.days == 0 else None
-        if self == other:
-            return 1
-        return None
+        """How many of self make other, if they divide it; months and days never divide each other."""
+        k = other.months // self.months if self.months else 0 if other.months else other.days // self.days
+        return k if k > 0 and (self.months * k, self.days * k) == (other.months, other.days) else None
 
 
 @dataclass(frozen=True)
@@ -61,22 +58,24 @@ def utc(t: datetime) -> datetime:
     return t.replace(tzinfo=UTC) if t.tzinfo is None else t.astimezone(UTC)
 
 
-def _anchor(start: datetime, step: Duration) -> datetime:
-    """The calendar boundary at or before start: years and months begin on their first day, days at midnight."""
+def _boundary(start: datetime, step: Duration) -> datetime:
+    """The calendar boundary at or before start: of the year for whole years, of the month for any months, else midnight."""
     day = start.replace(hour=0, minute=0, second=0, microsecond=0)
-    if step.months:
-        month = (day.month - 1) // min(step.months, 12) * min(step.months, 12) + 1 if 12 % min(step.months, 12) == 0 else day.month
-        return day.replace(month=month, day=1)
-    return day
+    return day.replace(month=1, day=1) if step.whole_years else day.replace(day=1) if step.months else day
 
 
 def epochs(start: datetime, end: datetime, step: Duration, align: str = "start", partial: bool = False) -> list[Span]:
-    """Consecutive steps from start (or the calendar boundary before it). Without partial only those that lie within start..end."""
-    at, out, k = _anchor(start, step) if align == "calendar" else start, [], 0
-    while step.after(at, k) < end:
-        span = Span(step.after(at, k), step.after(at, k + 1))
-        if partial or (span.start >= start and span.end <= end):
-            out.append(span)
+    """Consecutive steps from start, or from the calendar boundary before it, that cover start..end.
+
+    Steps that start or end cuts short are left out, as their votes would rest on less; with partial they are there, cut.
+    """
+    if end <= start:
+        raise ValueError(f"{end} is not after {start}")
+    at, out, k = _boundary(start, step) if align == "calendar" else start, [], 0
+    while (begin := step.after(at, k)) < end:
+        until = step.after(at, k + 1)
+        if until > start and (partial or (begin >= start and until <= end)):
+            out.append(Span(max(begin, start), min(until, end)))
         k += 1
     return out
 
@@ -90,37 +89,35 @@ class Delivery:
     epochs: tuple[Span, ...]
 
 
-def deliveries(all_epochs: list[Span], step: Duration, every: Duration, window: Duration | None = None, align: str = "exact") -> list[Delivery]:
-    """Periods of `every`, each with the epochs of its window.
+def deliveries(start: datetime, end: datetime, step: Duration, every: Duration, window: Duration | None = None, align: str = "exact", epoch_align: str = "start") -> list[Delivery]:
+    """Every period of the time, each with the whole epochs of its window.
 
     exact      the window is the period
     trailing   the window ends with the period
     leading    the window starts with the period
-    center     the window's middle is the period's
-    Windows that epochs divide are placed by counting epochs; others in time. A period whose window lacks an epoch at either end is left out.
+    center     the surplus lies around the period, the odd epoch after it
+    Windows are cut at the first and the last epoch, and a last period may own fewer epochs than the others.
+    An epoch that doesn't divide the period is allowed for exact windows only: such periods are placed in time, and own the epochs that lie within.
     """
     window = window or every
+    if align not in ALIGNS:
+        raise ValueError(f"align is one of {ALIGNS}: {align}")
+    n, w = step.parts_of(every), step.parts_of(window)
+    if n and w and w < n:
+        raise ValueError("a window is no shorter than its period")
     if align == "exact" and window != every:
         raise ValueError("an exact window is the period itself")
-    if not all_epochs:
-        return []
-    out, n, w = [], step.parts_of(every), step.parts_of(window)
+    whole = epochs(start, end, step, epoch_align)
     if n and w:
-        if align == "center" and (w - n) % 2:
-            raise ValueError("a centred window needs as many epochs before the period as after it")
-        lead = {"exact": 0, "leading": 0, "trailing": n - w, "center": (n - w) // 2}[align]
-        for k in range(0, len(all_epochs) - n + 1, n):
-            lo = k + lead
-            if lo >= 0 and lo + w <= len(all_epochs):
-                out.append(Delivery(all_epochs[k].start, all_epochs[k + n - 1].end, tuple(all_epochs[lo : lo + w])))
-        return out
-    first, last, k = all_epochs[0].start, all_epochs[-1].end, 0
-    while every.after(first, k + 1) <= last:
-        start, end = every.after(first, k), every.after(first, k + 1)
-        lo = {"exact": start, "leading": start, "trailing": end - (window.after(start) - start), "center": start + ((end - start) - (window.after(start) - start)) / 2}[align]
-        hi = lo + (window.after(start) - start) if align != "exact" else end
-        owned = tuple(e for e in all_epochs if lo <= e.start and e.end <= hi)
-        if owned and lo >= first and hi <= last:
-            out.append(Delivery(start, end, owned))
+        before = {"exact": 0, "leading": 0, "trailing": w - n, "center": (w - n) // 2}[align]
+        periods = [(whole[k : k + n], whole[max(0, k - before) : max(0, k - before + w)]) for k in range(0, len(whole), n)]
+        return [Delivery(own[0].start, own[-1].end, tuple(drawn)) for own, drawn in periods]
+    if align != "exact":
+        raise ValueError("a rolling window needs a period and a window that are whole multiples of the epoch")
+    out, k = [], 0
+    while (begin := every.after(start, k)) < end:
+        until = every.after(start, k + 1)
+        if own := tuple(e for e in whole if begin <= e.start and e.end <= until):
+            out.append(Delivery(own[0].start, own[-1].end, own))
         k += 1
     return out

@@ -30,63 +30,28 @@ def borda(looks: DataFrame, keys: Sequence[str], ballots: Sequence[str]) -> Data
     return looks.withColumn("borda", points)
 
 
-def copeland(looks: DataFrame, keys: Sequence[str], look: str, ballots: Sequence[str]) -> DataFrame:
-    """(keys, look, copeland): pairwise contests won by most ballots, an even split counts half.
+def copeland_points(keys: Sequence[str], look: str, ballots: Sequence[str], candidate: Column | None = None) -> Column:
+    """Pairwise contests of a cell's candidates won by most ballots (lower is better), an even split counts half.
 
-    Pairs are those of one cell and epoch, a few looks each.
+    A row meets the others as one array of its cell and epoch: the contests are counted in place, no pair becomes a row.
     """
-    a = looks.select(*keys, look, *ballots)
-    b = a.select(*keys, *[F.col(c).alias(f"__{c}") for c in (look, *ballots)])
-    pairs = a.join(b, list(keys)).where(F.col(look) != F.col(f"__{look}"))
-    ahead = sum((F.when(F.col(x) < F.col(f"__{x}"), 1).when(F.col(x) > F.col(f"__{x}"), -1).otherwise(0) for x in ballots), F.lit(0))
-    won = pairs.groupBy(*keys, look).agg(F.sum(F.when(ahead > 0, 1.0).when(ahead == 0, 0.5).otherwise(0.0)).alias("copeland"))
-    return a.select(*keys, look).join(won, [*keys, look], "left").withColumn("copeland", F.coalesce("copeland", F.lit(0.0)))
+    entry = F.struct(F.col(look).alias("look"), F.array(*[F.col(b).cast("double") for b in ballots]).alias("at"))
+    others = F.collect_list(entry if candidate is None else F.when(candidate, entry)).over(Window.partitionBy(*keys))
+    own = F.array(*[F.col(b).cast("double") for b in ballots])
+
+    def contest(total: Column, other: Column) -> Column:
+        ahead = F.aggregate(F.zip_with(own, other["at"], lambda x, y: F.when(x < y, 1).when(x > y, -1).otherwise(0)), F.lit(0), lambda s, x: s + x)
+        return total + F.when(other["look"] == F.col(look), 0.0).when(ahead > 0, 1.0).when(ahead == 0, 0.5).otherwise(0.0)
+
+    return F.aggregate(others, F.lit(0.0), contest)
+
+
+def copeland(looks: DataFrame, keys: Sequence[str], look: str, ballots: Sequence[str]) -> DataFrame:
+    """(keys, look, copeland)."""
+    return looks.select(*keys, look, *ballots).withColumn("copeland", copeland_points(keys, look, ballots)).select(*keys, look, "copeland")
 
 
 def lexical_rank(looks: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Adds lexical_rank, 1 for the best; equals share it."""
     return looks.withColumn("lexical_rank", F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order)))
 
-
-def mode_gated(
-    looks: DataFrame,
-    keys: Sequence[str],
-    codes: Sequence[str],
-    order: Sequence[str],
-    metrics: dict[str, tuple[float, float, float]],
-    valid: str = "valid",
-    ignore: Sequence[int] = (),
-    min_count: int = 1,
-    gate: str = "hard",
-    mismatch: float = 1.0,
-) -> DataFrame:
-    """The chosen look of each cell and epoch: that of least penalty among those that agree with the mode of the codes.
-
-    codes      one or more class columns, taken together (a tuple is the vote)
-    metrics    column: (lowest, highest, weight); penalties are the weighted mean of each metric within its bounds, 1 where it is missing
-    gate       hard: only looks of the mode; soft: others with a mismatch added; independent: all looks, the mode is only told
-    Ties of the mode go to the earliest look's code, of the penalty to the earliest look by order.
-    Without a mode (no valid code, or under min_count) every valid look competes.
-    """
-    code = F.struct(*codes)
-    votes = F.col(valid) & ~F.coalesce(F.col(codes[0]).isin(*ignore) if ignore else F.lit(False), F.lit(False))
-    w = Window.partitionBy(*keys)
-    rows = looks.withColumn("__code", F.when(votes, code)).withColumn("__n", F.when(F.col("__code").isNotNull(), F.count("__code").over(Window.partitionBy(*keys, "__code"))))
-    rows = rows.withColumn("__place", F.row_number().over(w.orderBy(*order)))
-    rows = rows.withColumn("__first", F.min(F.when(F.col("__code").isNotNull(), F.col("__place"))).over(Window.partitionBy(*keys, "__code")))
-    best = F.max(F.when(F.col("__n") >= min_count, F.struct(F.col("__n").alias("n"), (-F.col("__first")).alias("f"), F.col("__code").alias("code")))).over(w)
-    rows = rows.withColumn("__mode", best)
-    matches = F.coalesce(F.col("__code") == F.col("__mode.code"), F.lit(False)) | F.col("__mode").isNull()
-    total = sum(x[2] for x in metrics.values())
-    penalty = sum((x[2] / total * F.coalesce(F.least(F.greatest((F.col(m) - x[0]) / (x[1] - x[0]), F.lit(0.0)), F.lit(1.0)), F.lit(1.0)) for m, x in metrics.items()), F.lit(0.0))
-    if gate == "soft":
-        penalty = penalty + F.when(matches, 0.0).otherwise(mismatch)
-    rows = rows.withColumn("penalty", F.round(penalty, 9)).withColumn("n_valid", F.count_if(F.col(valid)).over(w))
-    rows = rows.withColumn("runner_up_count", F.coalesce(F.max(F.when(~(F.col("__code") == F.col("__mode.code")), F.col("__n"))).over(w), F.lit(0)))
-    rows = rows.where(F.col(valid) & (matches if gate == "hard" else F.lit(True)))
-    rows = rows.withColumn("__take", F.row_number().over(w.orderBy(F.col("penalty").asc(), F.col("__place").asc()))).where("__take = 1")
-    return rows.select(
-        *keys, *order, *codes, "penalty", "n_valid", "runner_up_count",
-        F.coalesce(F.col("__mode.n"), F.lit(0)).alias("mode_count"),
-        (F.coalesce(F.col("__mode.n"), F.lit(0)) / F.col("n_valid")).alias("agreement"),
-    )

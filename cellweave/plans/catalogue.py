@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellweave.functions import columns as C
 from cellweave.functions import scorers, spectra, timeline
 from cellweave.operators import catalog, classes, lattice, publish, rank, reduce, resample, resolve
+from cellweave.plans import gated_cases
 from cellweave.sources.tables import INDEX_SQL, LOOK_ORDER, LOOKS_SQL, RASTER_SQL, index, looks, raster, table
 
 QUERIES: dict = {}
@@ -51,9 +52,9 @@ def scan_looks(spark, d):
     return looks(spark, d).select("cell", "oid", "line", day("acquired"), "cls", "score")
 
 
-@query(INDEX + "SELECT granule_id, west, south FROM idx WHERE west <= 40 AND east >= -20 AND south <= 30 AND north >= -10 AND acquired >= TIMESTAMP '1996-01-01' AND acquired < TIMESTAMP '1998-01-01' AND collection IN ('F', 'O')")
+@query(INDEX + "SELECT granule_id, west, south FROM idx WHERE west <= 60 AND east >= -120 AND south <= 60 AND north >= -60 AND acquired >= TIMESTAMP '1996-01-01' AND acquired < TIMESTAMP '1998-01-01' AND collection IN ('F', 'O')")
 def filter_index_bbox_time(spark, d):
-    return catalog.query_index(index(spark, d), (-20, -10, 40, 30), datetime(1996, 1, 1), datetime(1998, 1, 1), ["F", "O"]).select("granule_id", "west", "south")
+    return catalog.query_index(index(spark, d), (-120, -60, 60, 60), datetime(1996, 1, 1), datetime(1998, 1, 1), ["F", "O"]).select("granule_id", "west", "south")
 
 
 @query(INDEX + "SELECT granule_id FROM idx WHERE cloud_fraction IS NULL OR cloud_fraction <= 0.5")
@@ -311,23 +312,57 @@ def epochs_partial_dropped(spark, d):
     return _spans(spark, timeline.epochs(datetime(1996, 1, 10), datetime(1997, 12, 20), timeline.Duration.parse("P1M"), "calendar"))
 
 
-def _delivered(align: str, before: int, after: int, window: str):
-    sql = f"""WITH m AS (SELECT k, DATE '1996-01-01' + (k * INTERVAL 1 MONTH) AS s FROM range(24) t(k)), p AS (SELECT k FROM m WHERE k % 3 = 0 AND k - {before} >= 0 AND k + 3 + {after} <= 24),
+#: A fixed span of P3M epochs from the first of the month before the start, the first one cut; and one cut at both ends.
+@query("SELECT * FROM (VALUES ('2023-02-10', '2023-05-01'), ('2023-05-01', '2023-08-01'), ('2023-08-01', '2023-11-01'), ('2023-11-01', '2024-01-01')) t(start_day, end_day)")
+def epochs_calendar_quarters(spark, d):
+    return _spans(spark, timeline.epochs(datetime(2023, 2, 10), datetime(2024, 1, 1), timeline.Duration.parse("P3M"), "calendar", partial=True))
+
+
+@query("SELECT * FROM (VALUES ('2023-01-15', '2023-02-01'), ('2023-02-01', '2023-03-01'), ('2023-03-01', '2023-03-10')) t(start_day, end_day)")
+def epochs_truncated(spark, d):
+    return _spans(spark, timeline.epochs(datetime(2023, 1, 15), datetime(2023, 3, 10), timeline.Duration.parse("P1M"), "calendar", partial=True))
+
+
+@query("SELECT * FROM (VALUES ('2023-01-31', '2023-02-28'), ('2023-02-28', '2023-03-31'), ('2023-03-31', '2023-04-30'), ('2023-04-30', '2023-05-31')) t(start_day, end_day)")
+def epochs_month_ends(spark, d):
+    return _spans(spark, timeline.epochs(datetime(2023, 1, 31), datetime(2023, 6, 1), timeline.Duration.parse("P1M")))
+
+
+def _periods(spark, out) -> DataFrame:
+    return spark.createDataFrame([(f"{p.start:%Y-%m-%d}", f"{p.end:%Y-%m-%d}", len(p.epochs), f"{p.epochs[0].start:%Y-%m-%d}", f"{p.epochs[-1].end:%Y-%m-%d}") for p in out], "period string, until string, epochs int, first_day string, last_day string")
+
+
+@query("SELECT * FROM (VALUES ('2022-08-01', '2023-08-01', 12, '2022-08-01', '2023-08-01'), ('2023-08-01', '2024-08-01', 12, '2023-08-01', '2024-08-01'), ('2024-08-01', '2025-08-01', 12, '2024-08-01', '2025-08-01'), ('2025-08-01', '2026-07-01', 11, '2025-08-01', '2026-07-01')) t(period, until, epochs, first_day, last_day)")
+def delivery_last_period_short(spark, d):
+    one_year = timeline.Duration.parse("P1Y")
+    return _periods(spark, timeline.deliveries(datetime(2022, 8, 1), datetime(2026, 7, 31), timeline.Duration.parse("P1M"), one_year, one_year))
+
+
+@query("SELECT * FROM (VALUES ('2025-01-01', '2025-12-31', 52, '2025-01-01', '2025-12-31')) t(period, until, epochs, first_day, last_day)")
+def delivery_weeks_in_a_year(spark, d):
+    return _periods(spark, timeline.deliveries(datetime(2025, 1, 1), datetime(2026, 1, 1), timeline.Duration.parse("P1W"), timeline.Duration.parse("P1Y")))
+
+
+def _delivered(align: str, before: int, after: int, window: str, every: int = 3, months: int = 24, name: str = ""):
+    sql = f"""WITH m AS (SELECT k, DATE '1996-01-01' + (k * INTERVAL 1 MONTH) AS s FROM range({months}) t(k)), p AS (SELECT k FROM m WHERE k % {every} = 0),
 n AS (SELECT date_trunc('month', l_shipdate)::DATE AS s, count(*) AS n FROM lineitem GROUP BY 1)
-SELECT strftime(DATE '1996-01-01' + (p.k * INTERVAL 1 MONTH), '%Y-%m-%d') AS period, count(*) AS epochs, coalesce(sum(n.n), 0)::BIGINT AS looks FROM p JOIN m ON m.k >= p.k - {before} AND m.k < p.k + 3 + {after} LEFT JOIN n ON n.s = m.s GROUP BY 1"""
+SELECT strftime(DATE '1996-01-01' + (p.k * INTERVAL 1 MONTH), '%Y-%m-%d') AS period, count(*) AS epochs, coalesce(sum(n.n), 0)::BIGINT AS looks FROM p JOIN m ON m.k >= p.k - {before} AND m.k < p.k + {every} + {after} LEFT JOIN n ON n.s = m.s GROUP BY 1"""
 
     def run(spark, d):
-        es = timeline.epochs(datetime(1996, 1, 1), datetime(1998, 1, 1), timeline.Duration.parse("P1M"))
-        out = timeline.deliveries(es, timeline.Duration.parse("P1M"), timeline.Duration.parse("P3M"), timeline.Duration.parse(window), align)
+        end = datetime(1996 + months // 12, months % 12 + 1, 1)
+        out = timeline.deliveries(datetime(1996, 1, 1), end, timeline.Duration.parse("P1M"), timeline.Duration.parse(f"P{every}M"), timeline.Duration.parse(window), align)
         bridge = spark.createDataFrame([(f"{p.start:%Y-%m-%d}", f"{e.start:%Y-%m}") for p in out for e in p.epochs], "period string, month string")
         n = looks(spark, d).groupBy(F.date_format("acquired", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
         return bridge.join(n, "month", "left").groupBy("period").agg(F.count("*").alias("epochs"), F.coalesce(F.sum("n"), F.lit(0)).alias("looks"))
 
-    query(sql, f"delivery_{align}")(run)
+    query(sql, name or f"delivery_{align}")(run)
 
 
 for _a, _b, _c, _w in (("exact", 0, 0, "P3M"), ("trailing", 3, 0, "P6M"), ("leading", 0, 3, "P6M"), ("center", 1, 1, "P5M")):
     _delivered(_a, _b, _c, _w)
+_delivered("center", 1, 2, "P6M", name="delivery_center_odd")
+_delivered("center", 6, 6, "P13M", every=1, name="delivery_center_rolling")
+_delivered("exact", 0, 0, "P3M", months=14, name="delivery_ragged_end")
 
 
 # --- reduction -----------------------------------------------------------------------------------------------------------------
@@ -475,28 +510,8 @@ def lexical_rank(spark, d):
     return rank.lexical_rank(looks(spark, d), KEYS, [F.col("soil").desc(), F.col("vz").asc()]).select("cell", "epoch", "oid", "line", "lexical_rank")
 
 
-def _gated(name: str, gate: str):
-    match = {"hard": "AND m", "soft": "", "independent": ""}[gate]
-    extra = " + CASE WHEN m THEN 0 ELSE 1 END" if gate == "soft" else ""
-    sql = f"""{LOOKS}, a AS (SELECT *, row_number() OVER (PARTITION BY cell, epoch ORDER BY acquired, oid, line) AS place, CASE WHEN valid AND cls <> 0 THEN cls * 10 + cls2 END AS code FROM looks),
-b AS (SELECT *, CASE WHEN code IS NOT NULL THEN count(*) OVER (PARTITION BY cell, epoch, code) END AS n, min(place) OVER (PARTITION BY cell, epoch, code) AS f FROM a),
-m AS (SELECT cell, epoch, first(code ORDER BY n DESC, f) AS mode, max(n) AS mode_n FROM b WHERE code IS NOT NULL AND n >= 2 GROUP BY 1, 2),
-c AS (SELECT b.*, mode, mode_n, mode IS NULL OR coalesce(code = mode, false) AS m, count(*) FILTER (valid) OVER (PARTITION BY b.cell, b.epoch) AS n_valid,
-  coalesce(max(CASE WHEN code <> mode THEN n END) OVER (PARTITION BY b.cell, b.epoch), 0) AS runner_up_count FROM b LEFT JOIN m ON b.cell = m.cell AND b.epoch = m.epoch),
-e AS (SELECT *, 0.6::DOUBLE * least(greatest(vz / 30, 0), 1) + 0.4::DOUBLE * least(greatest(sz / 70, 0), 1){extra} AS penalty FROM c WHERE valid {match})
-SELECT cell, epoch, oid, line, round(penalty, 6) AS penalty, n_valid, coalesce(mode_n, 0) AS mode_count, runner_up_count, round(coalesce(mode_n, 0) / n_valid, 6) AS agreement
-FROM e QUALIFY row_number() OVER (PARTITION BY cell, epoch ORDER BY round(penalty, 9), place) = 1"""
-
-    def run(spark, d):
-        out = rank.mode_gated(looks(spark, d), KEYS, ["cls", "cls2"], LOOK_ORDER, {"vz": (0, 30, 3), "sz": (0, 70, 2)}, ignore=(0,), min_count=2, gate=gate)
-        return out.select("cell", "epoch", "oid", "line", F.round("penalty", 6).alias("penalty"), "n_valid", "mode_count", "runner_up_count", F.round("agreement", 6).alias("agreement"))
-
-    query(sql, name)(run)
-
-
-_gated("mode_gated_joint", "hard")
-_gated("mode_gated_soft", "soft")
-_gated("mode_gated_independent", "independent")
+QUERIES |= gated_cases.QUERIES
+ORACLE_SQL |= gated_cases.ORACLE_SQL
 
 
 @query(f"WITH a AS ({_vote_sql(tie='highest_score', ignore=(0,), min_count=3)}), b AS ({_vote_sql(tie='highest_score', ignore=(0,), min_count=3, col='cls2')}) SELECT cell, CASE WHEN a.winner <> 65535 THEN a.winner WHEN b.winner <> 65535 THEN b.winner ELSE 65535 END AS winner, CASE WHEN a.winner <> 65535 THEN 2 WHEN b.winner <> 65535 THEN 1 ELSE 0 END AS source, round(CASE WHEN a.winner <> 65535 THEN a.agreement WHEN b.winner <> 65535 THEN b.agreement END, 6) AS agreement FROM a JOIN b USING (cell)")
@@ -592,6 +607,12 @@ def colour_map_categorical(spark, d):
     return publish.categorical_colors(raster(spark, d), "cls", _COLORS, "transparent").drop("cls", "value")
 
 
+@query("""SELECT k::INT AS cls, round_even(255 * CASE i WHEN 0 THEN v WHEN 1 THEN q WHEN 2 THEN p WHEN 3 THEN p WHEN 4 THEN t ELSE v END, 0)::INT AS r, round_even(255 * CASE i WHEN 0 THEN t WHEN 1 THEN v WHEN 2 THEN v WHEN 3 THEN q ELSE p END, 0)::INT AS g, round_even(255 * CASE i WHEN 0 THEN p WHEN 1 THEN p WHEN 2 THEN t WHEN 3 THEN v WHEN 4 THEN v ELSE q END, 0)::INT AS b
+FROM (SELECT k, floor(h * 6)::INT AS i, 0.9::DOUBLE AS v, 0.9::DOUBLE * 0.35::DOUBLE AS p, 0.9::DOUBLE * (1 - 0.65::DOUBLE * (h * 6 - floor(h * 6))) AS q, 0.9::DOUBLE * (1 - 0.65::DOUBLE * (1 - h * 6 + floor(h * 6))) AS t FROM (SELECT k, k * 0.618033988749895::DOUBLE - floor(k * 0.618033988749895::DOUBLE) AS h FROM range(1, 400) r(k)))""")
+def colour_palette(spark, d):
+    return spark.range(1, 400).select(F.col("id").cast("int").alias("cls")).select("cls", *[C.id_color(F.col("cls"))[k].alias(c) for k, c in enumerate("rgb")])
+
+
 @query(RASTER + ", s AS (SELECT row, col, (value - 900) / 200.0::DOUBLE AS t, value BETWEEN 900 - 0.0011 AND 1100 + 0.0011 AS shown FROM raster) SELECT row, col, CASE WHEN shown THEN round_even(255 * least(greatest(t, 0), 1), 0)::INT ELSE 0 END AS r, CASE WHEN shown THEN round_even(255 - 255 * least(greatest(t, 0), 1), 0)::INT ELSE 0 END AS g, CASE WHEN shown THEN 10 ELSE 0 END AS b, CASE WHEN shown THEN 255 ELSE 0 END AS a FROM s")
 def ramp_continuous(spark, d):
     return publish.continuous_colors(raster(spark, d), "value", (900, 1100), ((0.0, 0, 255, 10), (1.0, 255, 0, 10)), clip=False).drop("cls", "value")

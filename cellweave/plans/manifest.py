@@ -11,7 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from cellweave.functions.timeline import Duration, deliveries, epochs
+from cellweave.functions.timeline import Duration, Span, deliveries, epochs
 from cellweave.operators import reduce, resolve
 
 AGGREGATES = ("vote", "best", "median", "mean", "min", "max", "percentile", "score_weighted", "inverse_variance", "none")
@@ -65,18 +65,24 @@ class Time:
     deliver_align: str = "exact"
     align: str = "start"
 
-    def epochs(self):
-        return epochs(self.start, self.end, Duration.parse(self.epoch), self.align)
+    def epochs(self, partial: bool = False):
+        return epochs(self.start, self.end, Duration.parse(self.epoch), self.align, partial)
+
+    def partial_epochs(self):
+        """Those that the time cuts short: no product reads them, a plan tells them."""
+        whole = set(self.epochs())
+        return [e for e in self.epochs(partial=True) if e not in whole]
 
     def deliveries(self):
         every = Duration.parse(self.deliver_every or self.epoch)
-        return deliveries(self.epochs(), Duration.parse(self.epoch), every, Duration.parse(self.deliver_window) if self.deliver_window else None, self.deliver_align)
+        window = Duration.parse(self.deliver_window) if self.deliver_window else None
+        return deliveries(self.start, self.end, Duration.parse(self.epoch), every, window, self.deliver_align, self.align)
 
     def problems(self) -> list[str]:
         if self.start >= self.end:
             return ["time ends before it starts"]
         try:
-            return [] if self.deliveries() else ["no whole delivery period lies in the time"]
+            return [] if self.deliveries() else ["no whole epoch lies in the time"]
         except ValueError as e:
             return [str(e)]
 
@@ -195,6 +201,18 @@ def key_difference(a: dict, b: dict, at: str = "") -> list[str]:
     return out
 
 
+def at_epochs(looks: DataFrame, spans: Sequence[Span], when: str, out: str = "epoch_start") -> DataFrame:
+    """The looks that lie in an epoch, with its start: an equi-join by day with a row for each day of each epoch, so its size is that of the time."""
+    from pyspark.sql import functions as F
+
+    span = looks.sparkSession.createDataFrame([(s.start, s.end) for s in spans], "e0 timestamp, e1 timestamp")
+    us, a_day = F.unix_micros, 86_400_000_000
+    days = span.select("e0", "e1", F.explode(F.sequence(F.floor(us("e0") / a_day), F.floor((us("e1") - 1) / a_day))).alias("__day"))
+    t = F.col(when).cast("timestamp")
+    met = looks.withColumn("__day", F.floor(us(t) / a_day)).join(F.broadcast(days), "__day").where((t >= F.col("e0")) & (t < F.col("e1")))
+    return met.withColumn(out, F.col("e0")).drop("__day", "e0", "e1")
+
+
 def deliver(manifest: Manifest, looks: DataFrame, keys: Sequence[str] = ("cell",), order: Sequence[str] = ("acquired", "oid", "line")) -> DataFrame:
     """The products: looks to epoch winners to delivered layers, one row a cell and delivery period.
 
@@ -203,15 +221,11 @@ def deliver(manifest: Manifest, looks: DataFrame, keys: Sequence[str] = ("cell",
     from pyspark.sql import functions as F
 
     spark = looks.sparkSession
-    bridge = [(p.start, e.start, e.end, k) for p in manifest.time.deliveries() for k, e in enumerate(p.epochs)]
-    spans = sorted({(e0, e1) for _, e0, e1, _ in bridge})
-    epoch = F.lit(None).cast("timestamp")
-    for s, e in spans:
-        epoch = F.when((F.col("acquired") >= F.lit(s)) & (F.col("acquired") < F.lit(e)), F.lit(s)).otherwise(epoch)
+    bridge = [(p.start, e.start, k) for p in manifest.time.deliveries() for k, e in enumerate(p.epochs)]
     sources = sorted({x.source for x in manifest.layers} - {"acquired"})
-    at = looks.withColumn("epoch_start", epoch).where("epoch_start IS NOT NULL")
+    at = at_epochs(looks, manifest.time.epochs(), "acquired")
     snaps = resolve.snapshots(at, [*keys, "epoch_start"], order, sources)
-    periods = spark.createDataFrame([(p, e0, k) for p, e0, _, k in bridge], "period timestamp, epoch_start timestamp, epoch int")
+    periods = spark.createDataFrame(bridge, "period timestamp, epoch_start timestamp, epoch int")
     rows = snaps.join(F.broadcast(periods), "epoch_start")  # one row a period and epoch of the manifest
     by, out = [*keys, "period"], None
     for x in manifest.layers:

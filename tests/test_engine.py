@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import columns, spectra
 from cellweave.functions.timeline import Duration, deliveries, epochs
-from cellweave.operators import catalog, classes, lattice, publish, rank, resample, resolve
+from cellweave.operators import catalog, classes, gated, lattice, publish, rank, resample, resolve
+from cellweave.plans import gated_cases
 from cellweave.plans.manifest import Budget, Grid, Manifest, ManifestError, deliver, identity, key_difference, reuse_or_write
 from cellweave.sources import tables
 
@@ -31,14 +32,23 @@ def test_epochs_and_deliveries():
     month = Duration.parse("P1M")
     es = epochs(datetime(2026, 1, 10), datetime(2026, 6, 1), month, "calendar")
     assert [e.start.month for e in es] == [2, 3, 4, 5] and datetime(2026, 3, 1) in es[1] and datetime(2026, 4, 1) not in es[1]
-    es = epochs(datetime(2026, 1, 1), datetime(2027, 1, 1), month)
-    for align, window, want in (("exact", None, [(1, 3), (4, 6), (7, 9), (10, 12)]), ("trailing", "P6M", [(1, 6), (4, 9), (7, 12)]), ("leading", "P6M", [(1, 6), (4, 9), (7, 12)]), ("center", "P5M", [(3, 7), (6, 10)])):
-        got = deliveries(es, month, Duration.parse("P3M"), Duration.parse(window) if window else None, align)
+    assert len(epochs(datetime(2026, 1, 10), datetime(2026, 6, 1), month, "calendar", partial=True)) == 5
+    year = (datetime(2026, 1, 1), datetime(2027, 1, 1))
+    for align, window, want in (("exact", None, [(1, 3), (4, 6), (7, 9), (10, 12)]), ("trailing", "P6M", [(1, 3), (1, 6), (4, 9), (7, 12)]), ("leading", "P6M", [(1, 6), (4, 9), (7, 12), (10, 12)]), ("center", "P5M", [(1, 4), (3, 7), (6, 10), (9, 12)])):
+        got = deliveries(*year, month, Duration.parse("P3M"), Duration.parse(window) if window else None, align)
         assert [(p.epochs[0].start.month, p.epochs[-1].start.month) for p in got] == want
+    assert [len(p.epochs) for p in deliveries(*year, month, month, Duration.parse("P2M"), "center")] == [2] * 11 + [1]
+    rolling = deliveries(datetime(2022, 1, 1), datetime(2024, 1, 1), month, month, Duration.parse("P13M"), "center")
+    assert [len(p.epochs) for p in rolling] == [7, 8, 9, 10, 11, 12] + [13] * 12 + [12, 11, 10, 9, 8, 7]
+    week, p2 = Duration.parse("P7D"), Duration.parse("P2M")
+    assert [len(p.epochs) for p in deliveries(datetime(2026, 1, 1), datetime(2026, 3, 1), week, month)] == [4, 3]
+    assert [len(p.epochs) for p in deliveries(datetime(2022, 1, 1), datetime(2024, 3, 1), p2, Duration.parse("P13M"))] == [6, 6]
+    for bad in ((p2, month, Duration.parse("P13M"), "center"), (week, month, month, "trailing"), (month, Duration.parse("P1Y"), month, "trailing"), (month, month, Duration.parse("P13M"), "exact")):
+        with pytest.raises(ValueError):
+            deliveries(*year, *bad)
     with pytest.raises(ValueError):
-        deliveries(es, month, month, Duration.parse("P2M"), "center")
-    days = epochs(datetime(2026, 1, 1), datetime(2026, 3, 1), Duration.parse("P7D"))
-    assert [len(p.epochs) for p in deliveries(days, Duration.parse("P7D"), month)] == [4]
+        epochs(datetime(2026, 1, 1), datetime(2026, 1, 1), month)
+    assert Duration.parse("P1Y") == Duration.parse("P12M") and Duration.parse("P1M").parts_of(Duration.parse("P30D")) is None
 
 
 def test_class_tables(spark):
@@ -123,11 +133,18 @@ def test_ranks(spark):
     assert [r.copeland for r in rank.copeland(df, ["cell"], "look", ["p"]).orderBy("cell", "look").collect()] == [3.0, 1.5, 1.5, 0.0, 0.0]
 
 
-def test_mode_gate(spark):
-    rows = [(k, a, b, vz) for k, (a, b, vz) in enumerate([(45, 119, 20.0), (47, 119, 1.0), (45, 119, 12.0), (47, 119, 25.0), (45, 119, 8.0)])]
-    df = spark.createDataFrame(rows, "look int, g1 int, g2 int, vz double").withColumn("cell", F.lit(0)).withColumn("valid", F.lit(True))
-    r = rank.mode_gated(df, ["cell"], ["g1", "g2"], ["look"], {"vz": (0, 30, 1)}).first()
-    assert (r.look, r.mode_count, r.n_valid, r.agreement, r.runner_up_count) == (4, 3, 5, 0.6, 2) and abs(r.penalty - 8 / 30) < 1e-9
+def test_gates_are_checked(spark):
+    for bad in ({"weights": {"det": 1.0}}, {"weights": {"vza": -1}}, {"weights": {m: 0 for m in gated.METRICS}}, {"bounds": {"sza": (70, 0)}}, {"gate": "medium"}, {"key": "pairs"}, {"tie_break": "random"}, {"normalize": "per_tile"}, {"ignore": {"g3": []}}, {"min_count": 0}, {"aliases": {"fit": ["mineral_fit"]}}, {"layers": ("a", "a")}, {"g2_mask_classes": [150]}, {"combine": "borda", "gate": "soft"}, {"vote_power": 0}):
+        with pytest.raises(ValueError):
+            gated.ModeGate(**bad)
+    g = gated.ModeGate()
+    assert sum(g.shares().values()) == pytest.approx(1) and {"cloud_prob", "frcov"} <= set(g.columns())
+    assert gated.ModeGate(weights=gated_cases.only(vza=1.0), aliases={"vza": ["tilt"]}).columns() == ["tilt"]
+    rows = spark.createDataFrame([(0, 0, 1, 1, 5.0)], "cell int, look int, mineral_1 int, mineral_2 int, view_zenith double").withColumn("valid", F.lit(True))
+    with pytest.raises(ValueError, match="Sagebrush"):
+        gated.gated_scores(rows, ["cell"], ["look"], gated.ModeGate(g2_mask_classes=["Sagebrush"]))
+    kept = gated.gated_scores(rows.withColumn("score", F.lit(9.0)).withColumn("extra", F.lit("x")), ["cell"], ["look"], gated.ModeGate(weights=gated_cases.only(vza=1.0)))
+    assert kept.first().extra == "x" and kept.columns.count("score") == 1
 
 
 def test_resampling(spark):
