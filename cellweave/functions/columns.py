@@ -50,11 +50,6 @@ def boxes_overlap(a: Sequence[Column], b: Sequence[Column]) -> Column:
     return (a[0] < b[2]) & (a[2] > b[0]) & (a[1] < b[3]) & (a[3] > b[1])
 
 
-def overlap_area(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    wide = F.greatest(F.lit(0.0), F.least(a[2], b[2]) - F.greatest(a[0], b[0]))
-    return wide * F.greatest(F.lit(0.0), F.least(a[3], b[3]) - F.greatest(a[1], b[1]))
-
-
 def first_cell(lo: Column, origin: float, step: float) -> Column:
     """The first lattice cell whose centre isn't before lo."""
     return F.ceil((lo - origin) / step - 0.5 - 1e-9)

@@ -88,7 +88,8 @@ def column_filter(pixels: DataFrame, target: Sequence[float], min_n: int = 20, m
     """
     t = np.asarray(target, float)
     n = pixels.groupBy(*keys, "s_col").agg(F.count("*").alias("n"))
-    near = n.select(*keys, F.col("s_col").alias("__of")).join(n, list(keys)).withColumn("r", F.abs(F.col("s_col") - F.col("__of"))).where(F.col("r") <= max_radius)
+    offers = n.withColumn("__of", F.explode(F.sequence(F.col("s_col") - max_radius, F.col("s_col") + max_radius)))  # within the radius only
+    near = offers.join(n.select(*keys, F.col("s_col").alias("__of")), [*keys, "__of"]).withColumn("r", F.abs(F.col("s_col") - F.col("__of")))
     upto = F.sum("n").over(Window.partitionBy(*keys, "__of").orderBy("r").rangeBetween(Window.unboundedPreceding, Window.currentRow))
     ring = F.sum("n").over(Window.partitionBy(*keys, "__of", "r"))
     near = near.withColumn("before", upto - ring).where((F.col("before") < min_n) | (F.col("r") == 0))
@@ -113,9 +114,3 @@ def column_filter(pixels: DataFrame, target: Sequence[float], min_n: int = 20, m
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in (*keys, "s_row", "s_col")), "mf double", "bg_n double"])
     return rows.groupBy(*keys, "__of").applyInPandas(column, schema)
 
-
-def noise_sigma(x: np.ndarray) -> np.ndarray:
-    """Noise of each band from second differences along the spectrum."""
-    d = x[:, 1:-1] - (x[:, :-2] + x[:, 2:]) / 2
-    s = np.sqrt(d.var(axis=0) / 1.5)
-    return np.concatenate([s[:1], s, s[-1:]])

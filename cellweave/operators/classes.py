@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UNMAPPED = -1
+MOST_CLASSES = 65_534
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,32 @@ def identity(table: DataFrame, key: str, name: str) -> DataFrame:
     """(class_id, key, name): every raw class is one of the product; a name that several have gets #key."""
     several = F.count("*").over(Window.partitionBy(name)) > 1
     rows = table.select(key, F.when(several, F.concat(F.col(name), F.lit("#"), F.col(key).cast("string"))).otherwise(F.col(name)).alias(name))
-    return rows.withColumn("class_id", F.row_number().over(Window.orderBy(key)))  # a class table has 65,534 rows at most
+    if table.count() > MOST_CLASSES:
+        raise ValueError(f"a class table has {MOST_CLASSES} rows at most")
+    return rows.withColumn("class_id", F.row_number().over(Window.orderBy(key)))
+
+
+def ids_of(table: DataFrame, names: Sequence[str], name: str = "name", class_id: str = "class_id") -> list[int]:
+    """Ids of classes by name; a name that the table lacks, or has twice, is an error."""
+    found = {}
+    for r in table.where(F.col(name).isin(list(names))).select(name, class_id).collect():  # rows of a class table
+        if r[0] in found:
+            raise ValueError(f"several classes are named {r[0]}")
+        found[r[0]] = r[1]
+    missing = [n for n in names if n not in found]
+    if missing:
+        raise ValueError(f"no classes {missing}")
+    return [found[n] for n in names]
+
+
+def merge_legends(parts: Sequence[DataFrame], class_id: str = "class_id", name: str = "name") -> DataFrame:
+    """Class tables of several tiles as one, by id; an id that stands for two names is an error."""
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    one = rows.groupBy(class_id).agg(F.min(name).alias(name), F.max(name).alias("__last"))
+    differ = F.raise_error(F.concat(F.lit("two names for class "), F.col(class_id).cast("string")))
+    return one.select(class_id, F.when(F.col(name).eqNullSafe(F.col("__last")), F.col(name)).otherwise(differ).alias(name))
 
 
 def fingerprint(rows: Sequence[Sequence]) -> str:

@@ -7,11 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.functions.columns import NODATA_CLASS, id_color, piecewise
+from cellweave.functions.columns import NODATA_CLASS, id_color, nan_to_null, piecewise
 
 #: FIXED: a ramp from dark to light, as (share, red, green, blue).
 RAMP = ((0.0, 68, 1, 84), (0.25, 59, 82, 139), (0.5, 33, 145, 140), (0.75, 94, 201, 98), (1.0, 253, 231, 37))
 EDGE = 1e-6
+# FIXED: the colour of classes that a map leaves open.
+GREY = 128
+#: A band of granule numbers has 16 bits: 0 is no granule, 65535 no data.
+MOST_GRANULES = 65_534
 
 
 def stitch(blocks: DataFrame, keys: Sequence[str] = ("row", "col")) -> DataFrame:
@@ -29,19 +33,22 @@ def filled(cells: DataFrame, tile: DataFrame, cls: Sequence[str], keys: Sequence
 
 
 def categorical_colors(cells: DataFrame, cls: str, colors: dict[int, tuple[int, int, int]], on_unmapped: str = "palette") -> DataFrame:
-    """Adds r, g, b, a: named colours, else a palette colour, transparent, or an error; no-data and class 0 are transparent."""
-    none = cells.where(F.lit(False)) if on_unmapped == "error" else None
-    if none is not None and colors is not None:
-        bad = cells.where(~F.col(cls).isin(0, NODATA_CLASS, *colors)).select(cls).limit(1).collect()
-        if bad:
-            raise ValueError(f"class {bad[0][0]} has no colour")
-    named = F.lit(None).cast("array<int>")
-    for k, rgb in colors.items():
-        named = F.when(F.col(cls) == k, F.array(*map(F.lit, rgb))).otherwise(named)
-    rest = id_color(F.col(cls)) if on_unmapped == "palette" else F.lit(None).cast("array<int>")
-    clear = F.col(cls).isNull() | F.col(cls).isin(0, NODATA_CLASS)
-    rgb = F.when(~clear, F.coalesce(named, rest))
-    out = cells.withColumn("__rgb", rgb)
+    """Adds r, g, b, a: named colours, else a palette colour, grey, transparent, or an error (fail); no-data and class 0 are transparent.
+
+    Colours are one map of at most 65,534 entries, so no join and no CASE a class.
+    """
+    if on_unmapped not in ("palette", "grey", "transparent", "fail"):
+        raise ValueError(f"unknown way for classes without a colour: {on_unmapped}")
+    shown = F.col(cls).isNotNull() & ~F.col(cls).isin(0, NODATA_CLASS)
+    table = F.create_map(*[x for k, rgb in colors.items() for x in (F.lit(int(k)), F.array(*map(F.lit, rgb)))]) if colors else None
+    named = F.try_element_at(table, F.col(cls).cast("int")) if colors else F.lit(None).cast("array<int>")
+    rest = {
+        "palette": id_color(F.col(cls)),
+        "grey": F.array(*[F.lit(GREY)] * 3),
+        "transparent": F.lit(None).cast("array<int>"),
+        "fail": F.raise_error(F.concat(F.lit("no colour for class "), F.col(cls).cast("string"))).cast("array<int>"),
+    }[on_unmapped]
+    out = cells.withColumn("__rgb", F.when(shown, F.coalesce(named, rest)))
     return out.select(*cells.columns, *[F.coalesce(F.col("__rgb")[k], F.lit(0)).alias(c) for k, c in enumerate("rgb")], F.when(F.col("__rgb").isNull(), 0).otherwise(255).alias("a"))
 
 
@@ -64,16 +71,66 @@ def granule_band(cells: DataFrame, granules: DataFrame, acquired: str = "acquire
     """Adds granule_no, the 1-based place of the cell's granule among those delivered; granules: (granule_id, acquired), the lowest id of equals."""
     one = granules.groupBy(acquired).agg(F.min("granule_id").alias("granule_id"))
     met = cells.join(one, acquired, "left")
-    used = met.where(F.col("granule_id").isNotNull()).select("granule_id").distinct()
-    used = used.withColumn("granule_no", F.row_number().over(Window.orderBy("granule_id")))  # one row a granule delivered, not a cell
-    return met.join(used, "granule_id", "left").withColumn("granule_no", F.coalesce("granule_no", F.lit(0)))
+    used = met.where(F.col("granule_id").isNotNull()).select("granule_id").distinct().persist()
+    n = used.count()
+    if n > MOST_GRANULES:
+        raise ValueError(f"{n} granules are delivered, a band holds {MOST_GRANULES}")
+    numbered = used.withColumn("granule_no", F.row_number().over(Window.orderBy("granule_id")))  # MOST_GRANULES rows at most
+    return met.join(F.broadcast(numbered), "granule_id", "left").withColumn("granule_no", F.coalesce("granule_no", F.lit(0)))
+
+
+#: Bins a pass, and how many values a bin may hold to be read.
+BINS, FEW = 4096, 10_000
+
+
+def values_at(cells: DataFrame, value: str, ranks: Sequence[int]) -> list[float]:
+    """The values at 0-based ranks of the ascending present values, exactly.
+
+    Each pass is one histogram of BINS bins between the bounds known so far, a small aggregation; the bin that holds the rank is
+    looked into next, until it has one value or FEW rows. No task sorts all values.
+    """
+    x = nan_to_null(F.col(value).cast("double"))
+    rows, found, seen = cells.select(x.alias("x")).where("x IS NOT NULL"), [], {}
+    for rank in ranks:
+        lo, hi, before = None, None, 0
+        while True:
+            if (lo, hi) not in seen:
+                inside = rows if lo is None else rows.where(F.col("x").between(lo, hi))
+                if lo is None:
+                    b = inside.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+                    at = F.least(F.floor((F.col("x") - b.lo) / ((b.hi - b.lo) or 1.0) * BINS), F.lit(BINS - 1))
+                else:
+                    at = F.least(F.floor((F.col("x") - lo) / (hi - lo) * BINS), F.lit(BINS - 1))
+                bins = inside.groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("bin").collect()
+                seen[lo, hi] = bins
+            upto = before
+            for b in seen[lo, hi]:
+                if upto + b.n > rank:
+                    break
+                upto += b.n
+            if b.lo == b.hi:
+                found.append(b.lo)
+                break
+            if b.n <= FEW or (b.lo, b.hi) == (lo, hi):
+                key = (b.lo, b.hi, "all")
+                if key not in seen:
+                    seen[key] = [r.x for r in rows.where(F.col("x").between(b.lo, b.hi)).orderBy("x").collect()]
+                found.append(seen[key][rank - upto])
+                break
+            lo, hi, before = b.lo, b.hi, upto
+    return found
 
 
 def stretch(cells: DataFrame, value: str, low: float = 0.02, high: float = 0.98) -> DataFrame:
-    """(lo, hi) to show values between: two percentiles; 0..1 of nothing, one wide if flat."""
-    q = cells.agg(F.percentile(value, [low, high]).alias("q"))
-    lo, hi = F.coalesce(F.col("q")[0], F.lit(0.0)), F.coalesce(F.col("q")[1], F.lit(1.0))
-    return q.select(lo.alias("lo"), F.when(hi > lo, hi).otherwise(lo + 1).alias("hi"))
+    """(lo, hi) to show values between: two percentiles, interpolated; 0..1 of nothing, one wide if flat."""
+    n = cells.where(nan_to_null(F.col(value).cast("double")).isNotNull()).count()
+    ends = [0.0, 1.0]
+    if n:
+        at = [share * (n - 1) for share in (low, high)]
+        v = values_at(cells, value, [r for a in at for r in (int(a), min(int(a) + 1, n - 1))])
+        ends = [v[2 * k] + (a - int(a)) * (v[2 * k + 1] - v[2 * k]) for k, a in enumerate(at)]
+    lo, hi = ends
+    return cells.sparkSession.createDataFrame([(lo, hi if hi > lo else lo + 1)], "lo double, hi double")
 
 
 def legend(classes: list[tuple[int, str]], colors: dict[int, tuple[int, int, int]]) -> dict:

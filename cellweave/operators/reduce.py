@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.functions.columns import NODATA_CLASS
+from cellweave.functions.columns import NODATA_CLASS, nan_to_null
 
 TIES = ("earliest", "latest", "highest_score", "lowest_id", "nodata")
 
@@ -41,21 +41,30 @@ def vote(
     """
     if tie not in TIES or weight not in ("count", "score"):
         raise ValueError(f"unknown tie or weight: {tie}, {weight}")
-    is_valid = F.col(valid)
-    per = snaps.groupBy(*keys).agg(F.count_if(is_valid).alias("n_epochs"), F.sum(F.when(is_valid, F.col(score))).alias("__all"), F.min(F.when(is_valid, F.coalesce(F.col(score), F.lit(-1.0)))).alias("__low"))
+    is_valid, mark = F.col(valid), nan_to_null(F.col(score).cast("double"))
+    counted = F.when(is_valid & ~F.col(cls).isin(NODATA_CLASS, *ignore), F.col(cls))
+    # One row a cell and class (NULL: nothing to tally), with what the cell's totals need, then one row a cell.
+    by_class = snaps.groupBy(*keys, counted.alias("__cls")).agg(
+        F.count_if(is_valid).alias("__cnt"),
+        F.sum(F.when(is_valid, mark)).alias("__sum"),
+        F.min(F.when(is_valid, F.coalesce(mark, F.lit(-1.0)))).alias("__low"),
+        F.max(F.when(is_valid, mark)).alias("__top"),
+        F.min(epoch).alias("__first"),
+        F.max(epoch).alias("__last"),
+    )
+    last = -F.unix_micros("__last") if dict(snaps.dtypes)[epoch].startswith("timestamp") else -F.col("__last")
+    prefer = {"earliest": F.col("__first"), "latest": last, "highest_score": F.coalesce(-F.col("__top"), F.lit(float("inf")))}.get(tie, F.lit(0))
+    by_class = by_class.withColumn("__tally", F.col("__cnt").cast("double") if weight == "count" else F.col("__sum"))
+    entry = F.struct((-F.col("__tally")).alias("__o1"), prefer.alias("__o2"), "__cls", "__tally", "__cnt", "__top")
+    per = by_class.groupBy(*keys).agg(
+        F.sum("__cnt").alias("n_epochs"),
+        F.sum("__sum").alias("__all"),
+        F.min("__low").alias("__low"),
+        F.array_sort(F.collect_list(F.when(F.col("__cls").isNotNull(), entry))).alias("__tallies"),
+    )
     if weight == "score":
         per = per.withColumn("__all", F.when(F.col("__low") < 0, F.raise_error(F.lit("a vote weighted by score needs scores of 0 or more"))).otherwise(F.col("__all")))
-    counted = snaps.where(is_valid & ~F.col(cls).isin(NODATA_CLASS, *ignore))
-    by_class = counted.groupBy(*keys, F.col(cls).alias("__cls")).agg(F.count("*").alias("__cnt"), F.sum(score).alias("__sum"), F.max(score).alias("__top"), F.min(epoch).alias("__first"), F.max(epoch).alias("__last"))
-    by_class = by_class.withColumn("__tally", F.col("__cnt").cast("double") if weight == "count" else F.col("__sum"))
-    prefer = {"earliest": [F.col("__first").asc()], "latest": [F.col("__last").desc()], "highest_score": [F.col("__top").desc_nulls_last()]}.get(tie, [])
-    order = Window.partitionBy(*keys).orderBy(F.col("__tally").desc(), *prefer, F.col("__cls").asc())
-    top = by_class.withColumn("__place", F.row_number().over(order)).where("__place <= 3")
-
-    def at(place: int) -> Column:
-        return F.max(F.when(F.col("__place") == place, F.struct("__cls", "__tally", "__cnt", "__top"))).alias(f"__{place}")
-
-    out = per.join(top.groupBy(*keys).agg(at(1), at(2), at(3)), list(keys), "left")
+    out = per.select(*keys, "n_epochs", "__all", *[F.get("__tallies", F.lit(k)).alias(f"__{k + 1}") for k in range(3)])
     first, second, third = (F.col(f"__{k}") for k in (1, 2, 3))
     shared = F.coalesce(first["__tally"] == second["__tally"], F.lit(False)) if tie == "nodata" else F.lit(False)
     shared_second = F.coalesce(second["__tally"] == third["__tally"], F.lit(False)) if tie == "nodata" else F.lit(False)
@@ -75,33 +84,35 @@ def vote(
 
 def best(snaps: DataFrame, keys: Sequence[str], value: str, epoch: str = "epoch", valid: str = "valid", score: str = "score") -> DataFrame:
     """(keys, best): the value of the valid epoch with the highest score, the first of equals; a NULL there is delivered."""
-    ok = F.col(valid) & F.col(score).isNotNull()
+    ok = F.col(valid) & nan_to_null(F.col(score).cast("double")).isNotNull()
     row = F.struct(F.col(score).alias("s"), (-F.col(epoch)).alias("e"))
     return snaps.groupBy(*keys).agg(F.max_by(F.col(value), F.when(ok, row)).alias("best"))
 
 
 def statistic(value: Column, selected: Column, method: str, p: float | None = None) -> Column:
-    x = F.when(selected, value)
+    x = nan_to_null(F.when(selected, value).cast("double"))
     if method == "percentile":
         return F.percentile(x, p / 100)
     return {"median": F.median, "mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_pop}[method](x)
 
 
 def continuous(snaps: DataFrame, keys: Sequence[str], value: str, method: str, valid: str = "valid", score: str = "score", uncertainty: str | None = None, p: float | None = None, spread: str | None = None) -> DataFrame:
-    """(keys, value, n[, spread]) over valid epochs; NULL values count in n but not in the statistic.
+    """(keys, value, n[, spread]) over valid epochs; NULL and NaN values count in n but not in the statistic.
 
     score_weighted     weights are scores above the least selected one, plus 1e-6
     inverse_variance   weights are 1/u^2; epochs without a value or a positive u are left out of n too
     """
-    on, x = F.col(valid), F.col(value)
+    on, x = F.col(valid), nan_to_null(F.col(value).cast("double"))
     n = F.count_if(on)
     if method == "score_weighted":
-        low = F.min(F.when(on, F.col(score))).over(Window.partitionBy(*keys))
-        snaps = snaps.withColumn("__w", F.when(on & x.isNotNull(), F.col(score) - low + 1e-6))
+        mark = nan_to_null(F.col(score).cast("double"))
+        low = F.min(F.when(on, mark)).over(Window.partitionBy(*keys))
+        snaps = snaps.withColumn("__w", F.when(on & x.isNotNull(), mark - low + 1e-6))
         found = F.sum(F.col("__w") * x) / F.sum("__w")
     elif method == "inverse_variance":
-        use = on & x.isNotNull() & (F.col(uncertainty) > 0)
-        w = F.when(use, 1 / (F.col(uncertainty) * F.col(uncertainty)))
+        u = nan_to_null(F.col(uncertainty).cast("double"))
+        use = on & x.isNotNull() & (u > 0)
+        w = F.when(use, 1 / (u * u))
         found, n = F.sum(w * x) / F.sum(w), F.count_if(use)
     else:
         found = statistic(x, on, method, p)
@@ -161,14 +172,15 @@ def abundance(snaps: DataFrame, fractions: DataFrame, keys: Sequence[str], depth
     return each.groupBy(*keys, "output").agg(how("x").alias("abundance"), F.count("*").alias("n")).where(F.col("n") >= min_epochs)
 
 
-def confirmed_vote(snaps: DataFrame, keys: Sequence[str], depth: str, cls: str = "cls", acquired: str = "acquired", valid: str = "valid", score: str = "score", fit: str | None = None, min_count: int = 2) -> DataFrame:
+def confirmed_vote(snaps: DataFrame, keys: Sequence[str], depth: str, cls: str = "cls", acquired: str = "acquired", valid: str = "valid", score: str = "score", fit: str | None = None, min_count: int = 2, weight_by: str = "score_fit") -> DataFrame:
     """(keys, winner, depth, acquired, n_agree): classes with enough epochs outrank the others; 0 if a cell was seen but nothing confirmed.
 
-    Weights are score times fit, at least 0. A class is a candidate with min_count epochs, or all of fewer valid ones.
+    Weights are score times fit (score_fit), the score or 1 (count), at least 0. A class is a candidate with min_count epochs, or all of fewer valid ones.
     Depth is the weighted mean of the agreeing epochs, acquired that of the heaviest.
     """
     on = F.col(valid) & ~F.col(cls).isin(0, NODATA_CLASS)
-    weight = F.greatest(F.lit(0.0), F.col(score) * (F.col(fit) if fit else F.lit(1.0)))
+    marks = [nan_to_null(F.col(c).cast("double")) for c in (score, fit) if c]
+    weight = F.lit(1.0) if weight_by == "count" else F.greatest(F.lit(0.0), marks[0] if weight_by == "score" or not fit else marks[0] * marks[1])
     per = snaps.groupBy(*keys).agg(F.count_if(F.col(valid)).alias("__valid"))
     by_class = snaps.where(on).withColumn("__w", weight).groupBy(*keys, F.col(cls).alias("__cls")).agg(
         F.count("*").alias("n_agree"),

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweave.functions.columns import nan_to_null
+
 Mask = Callable[[DataFrame], Column]
 
 
@@ -18,8 +20,8 @@ def edge_trim(column: str, width: int, columns: int) -> Mask:
 
 
 def at_least(column: str, least: float) -> Mask:
-    """NULL is out."""
-    return lambda df: F.coalesce(F.col(column) >= least, F.lit(False))
+    """NULL and NaN are out."""
+    return lambda df: F.coalesce(nan_to_null(F.col(column).cast("double")) >= least, F.lit(False))
 
 
 def flags_clear(flags: str, names: Sequence[str], wanted: Sequence[str], distance: str | None = None, buffer: int = 0) -> Mask:
@@ -51,17 +53,34 @@ def apply_masks(looks: DataFrame, masks: Sequence[Mask], valid: str = "valid") -
 
 
 def gather(lookup: DataFrame, pixels: DataFrame, bands: Sequence[str], keys: Sequence[str] = ("granule", "s_row", "s_col")) -> DataFrame:
-    """Lattice cells with the sensor pixels that the lookup names; a look with any missing band isn't valid."""
+    """Lattice cells with the sensor pixels that the lookup names; a look with any missing band, or NaN in one (or in any element of one), isn't valid."""
     out = lookup.join(pixels, list(keys), "left")
-    whole = F.lit(True)
+    kinds, whole = dict(out.dtypes), F.lit(True)
     for b in bands:
-        whole = whole & F.col(b).isNotNull()
+        whole = whole & _whole(F.col(b), kinds[b])
     return out.withColumn("valid", whole)
 
 
-def array_is_whole(values: Column) -> Column:
-    """An array column without any missing element."""
-    return values.isNotNull() & ~F.coalesce(F.exists(values, lambda x: x.isNull() | F.isnan(x)), F.lit(False))
+def _whole(value: Column, kind: str) -> Column:
+    if kind in ("array<float>", "array<double>"):
+        return value.isNotNull() & ~F.coalesce(F.exists(value, lambda x: x.isNull() | F.isnan(x)), F.lit(False))
+    return value.isNotNull() & ~F.isnan(value) if kind in ("float", "double") else value.isNotNull()
+
+
+def invalidate_unmapped(looks: DataFrame, classes: Sequence[str], unmapped: int = -1, valid: str = "valid") -> DataFrame:
+    """A look with a class that the class table doesn't have isn't valid: nothing says what was seen."""
+    known = F.lit(True)
+    for c in classes:
+        known = known & F.coalesce(F.col(c) != unmapped, F.lit(True))
+    return looks.withColumn(valid, F.col(valid) & known)
+
+
+def _best(looks: DataFrame, order: Sequence[str], keep: Sequence[str], score: str, valid: str) -> tuple[Column, Column, Column]:
+    """(may win, the row, its rank): the highest score, of equals the first by order."""
+    ok = F.col(valid) & nan_to_null(F.col(score).cast("double")).isNotNull()
+    kinds = dict(looks.dtypes)
+    place = [(-F.unix_micros(F.col(c).cast("timestamp")) if kinds[c].startswith(("timestamp", "date")) else -F.col(c)).alias(f"__{k}") for k, c in enumerate(order)]
+    return ok, F.struct(*order, score, *keep), F.struct(F.col(score).alias("__s"), *place)
 
 
 def winners(looks: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str], score: str = "score", valid: str = "valid") -> DataFrame:
@@ -69,22 +88,19 @@ def winners(looks: DataFrame, keys: Sequence[str], order: Sequence[str], keep: S
 
     Partial maxima are combined before the shuffle, so a cell costs one row a task however many looks it has.
     """
-    ok = F.col(valid) & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
-    rows = looks.where(ok)
-    place = [(-F.unix_micros(F.col(c).cast("timestamp")) if dict(looks.dtypes)[c].startswith(("timestamp", "date")) else -F.col(c)).alias(f"__{k}") for k, c in enumerate(order)]
-    row = F.struct(*order, score, *keep)
-    return rows.groupBy(*keys).agg(F.max_by(row, F.struct(F.col(score).alias("__s"), *place)).alias("__w")).select(*keys, "__w.*")
+    ok, row, rank = _best(looks, order, keep, score, valid)
+    return looks.where(ok).groupBy(*keys).agg(F.max_by(row, rank).alias("__w")).select(*keys, "__w.*")
 
 
 def winners_by_window(looks: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str], score: str = "score", valid: str = "valid") -> DataFrame:
     """The same by ranking the whole stack of looks."""
-    ok = F.col(valid) & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+    ok = _best(looks, order, keep, score, valid)[0]
     w = Window.partitionBy(*keys).orderBy(F.col(score).desc(), *[F.col(c).asc() for c in order])
     return looks.where(ok).withColumn("__place", F.row_number().over(w)).where("__place = 1").select(*keys, *order, score, *keep)
 
 
 def snapshots(looks: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str], score: str = "score", valid: str = "valid") -> DataFrame:
     """Winners, with a row for cells and epochs that were observed but have no valid look."""
-    seen = looks.select(*keys).distinct()
-    out = seen.join(winners(looks, keys, order, keep, score, valid).withColumn("valid", F.lit(True)), list(keys), "left")
-    return out.withColumn("valid", F.coalesce("valid", F.lit(False))).withColumn("observed", F.lit(True))
+    ok, row, rank = _best(looks, order, keep, score, valid)
+    one = looks.groupBy(*keys).agg(F.max_by(row, F.when(ok, rank)).alias("__w"))
+    return one.select(*keys, "__w.*", F.col("__w").isNotNull().alias("valid"), F.lit(True).alias("observed"))

@@ -235,8 +235,9 @@ def semi_join_tile(spark, d):
 
 @query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
 def anti_join_missing_role(spark, d):
-    have = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
-    return table(spark, d, "orders").join(have, "o_orderkey", "left_anti").select("o_orderkey")
+    have = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.map_from_entries(F.collect_set(F.struct("l_returnflag", F.lit("x")))).alias("assets"))
+    rows = table(spark, d, "orders").select("o_orderkey").join(have, "o_orderkey", "left").withColumn("assets", F.coalesce("assets", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))))
+    return rows.join(catalog.has_roles(rows, "assets", ["R"]).select("o_orderkey"), "o_orderkey", "left_anti").select("o_orderkey")
 
 
 @query("SELECT l_partkey AS cell, count(*) AS n, max(p_size) AS aux FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON l_partkey = p_partkey GROUP BY 1")
@@ -365,6 +366,35 @@ _delivered("center", 6, 6, "P13M", every=1, name="delivery_center_rolling")
 _delivered("exact", 0, 0, "P3M", months=14, name="delivery_ragged_end")
 
 
+# --- missing numbers ------------------------------------------------------------------------------------------------------------
+
+_NAN_SQL = "n AS (SELECT *, CASE WHEN oid % 3 = 0 THEN NULL ELSE value END AS v, CASE WHEN oid % 5 = 0 THEN NULL ELSE soil END AS so FROM snaps)"
+
+
+def _with_nan(rows: DataFrame) -> DataFrame:
+    nan = F.lit(float("nan"))
+    return rows.withColumn("v", F.when(F.col("oid") % 3 == 0, nan).otherwise(F.col("value"))).withColumn("so", F.when(F.col("oid") % 5 == 0, nan).otherwise(F.col("soil")))
+
+
+@query(f"{SNAPS}, {_NAN_SQL} SELECT cell, round(max(v) FILTER (valid), 4) AS most, round(avg(v) FILTER (valid), 4) AS mean, round(median(v) FILTER (valid), 4) AS middle, round(stddev_pop(v) FILTER (valid), 4) AS spread, count(*) FILTER (valid) AS n FROM n GROUP BY cell")
+def nan_values_reduced(spark, d):
+    s = _with_nan(snaps(spark, d))
+    parts = [reduce.continuous(s, ["cell"], "v", m).select("cell", F.round("value", 4).alias(c), *(["n"] if m == "max" else [])) for m, c in (("max", "most"), ("mean", "mean"), ("median", "middle"))]
+    spread = reduce.continuous(s, ["cell"], "v", "mean", spread="std").select("cell", F.round("spread", 4).alias("spread"))
+    return parts[0].join(parts[1], "cell").join(parts[2], "cell").join(spread, "cell")
+
+
+@query(f"{SNAPS}, {_NAN_SQL} SELECT cell, epoch FROM n WHERE valid AND so >= 0.3")
+def nan_fails_masks(spark, d):
+    return resolve.apply_masks(_with_nan(snaps(spark, d)), [resolve.at_least("so", 0.3)]).where("valid").select("cell", "epoch")
+
+
+@query(LOOKS + "SELECT cell, oid, line FROM looks WHERE valid AND cls <> 2")
+def unmapped_class_invalidates(spark, d):
+    rows = looks(spark, d).withColumn("kind", F.when(F.col("cls") == 2, classes.UNMAPPED).otherwise(F.col("cls")))
+    return resolve.invalidate_unmapped(rows, ["kind"]).where("valid").select("cell", "oid", "line")
+
+
 # --- reduction -----------------------------------------------------------------------------------------------------------------
 
 
