@@ -51,6 +51,19 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        own = f"__{name}"
+        while own.lower() in taken:
+            own += "_"
+        taken.add(own.lower())
+        out.append(own)
+    return out
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """One key of a row by its id and text, never null: joins and groupings on it share one shuffle."""
     said = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("-"))

@@ -7,18 +7,27 @@ Counting   Trusted documents (label 1) of the training folds give all n-grams
 Model      Three discounts an order from the counts of counts; the
            probability of every seen n-gram and the back-off weight of every
            seen context come from joins between the orders, sharded by n-gram.
-Scoring    Perplexity of each whole document. If the model has at most
-           BROADCAST_ENTRIES entries, each process holds it as hash tables;
-           beyond, each document's different n-grams are joined with the
-           sharded model, order by order, and summed by document. Both ways
-           give the same figures.
+Scoring    Perplexity of each whole document, by joins with the sharded
+           model, the same way at every size. Documents are taken in blocks
+           of about BLOCK_BYTES; a block asks each shard once for each of its
+           different n-grams, the shard answers with their probabilities, and
+           the answers meet the block's documents, which are shuffled once,
+           compressed. A shard is told by the last two characters and holds
+           the whole back-off chain of its n-grams; requests of MANY_BLOCKS
+           blocks at a time meet a copy of it, so neither a frequent n-gram
+           nor the number of documents makes a group grow.
 Verdict    Trusted documents of the held-out fold give each language's
            quantile of perplexity; a document beyond it is rejected. Short
            texts vary more: SMOOTHING characters at the language's mean are
            added to each text for this comparison.
 
-An n-gram is one 64-bit number of 12 bits a character, so n-grams of up to
-five characters are exact; characters from 2,048 on share 2,046 symbols.
+Characters are exact: an n-gram is its code points. Only two stand for others:
+U+10FFFF, which no text may hold, is the padding, and it and NUL are read as
+U+10FFFE. A character that no trusted text has is one more of the alphabet.
+
+Blocks are cut by rows, twice, so rows must come in the same order both times:
+rows of files do; what a shuffle brings is written to the shared folder first.
+A block that differs is an error, not a wrong figure.
 
 Defined results
   null text       an empty text: null perplexity, rejected
@@ -33,55 +42,62 @@ Defined results
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from cellweave.llm.common import materialize, row_key, session_of
+from cellweave.llm.common import fresh, materialize
 
-ORDER, SYMBOL_BITS = 5, 12
-SYMBOLS = 1 << SYMBOL_BITS
-START = SYMBOLS - 1
+ORDER = 5
+PAD, NUL = 0x10FFFF, 0x10FFFE
+#: Characters that are looked at at once.
 AT_ONCE = 1_000_000
-BROADCAST_ENTRIES = 3_000_000
-#: Ids of trusted documents that are sent to all tasks, about 16 bytes each; more are joined by a shuffle.
-BROADCAST_LABELS = 1_000_000
+BLOCK_BYTES = 16_000_000
+#: Shards of the model; the contexts of a character are in each of SPREAD parts that its successors are dealt over.
+SHARDS, SPREAD = 128, 8
+#: Partitions of documents, of a few blocks each, whose requests meet the same copy of a shard.
+MANY_BLOCKS = 128
 #: Folds by hash of the id; the last one calibrates, the others train.
 FOLDS = 5
 QUANTILE, SMOOTHING, MIN_CALIBRATION = 0.995, 200, 50
 #: Perplexities are counted in bins of this width of their logarithm.
 BIN = 0.001
+#: Up to so many different characters, n-grams are packed into 64 bits as they are; of more, hashes are compared, and verified.
+PACKED = 1 << 12
+MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 def symbols(text: str) -> np.ndarray:
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    return np.where(points < 2048, points, 2048 + points % 2046)
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return np.where((points == 0) | (points == PAD), np.uint32(NUL), points)
 
 
-def grams_of(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(n-grams of ORDER, index of their text), about AT_ONCE at a time; one for each character, preceded by padding at the start."""
+def windows(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(characters, first place, text) of the n-grams of ORDER, about AT_ONCE at a time; one for each character, preceded by padding at the start."""
     held, owners, size = [], [], 0
-    pad = np.full(ORDER - 1, START, np.int64)
+    pad = np.full(ORDER - 1, PAD, np.uint32)
 
-    def made() -> tuple[np.ndarray, np.ndarray]:
-        flat, who = np.concatenate(held), np.concatenate(owners)
-        gram = np.zeros(len(flat) - ORDER + 1, np.int64)
-        for k in range(ORDER):
-            gram = gram << SYMBOL_BITS | flat[k : len(flat) - ORDER + 1 + k]
-        real = who[ORDER - 1 :] >= 0
-        return gram[real], who[ORDER - 1 :][real]
+    def made() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        flat, who = np.concatenate(held), np.concatenate(owners)[ORDER - 1 :]
+        at = np.flatnonzero(who >= 0)
+        return flat, at, who[at]
 
     for k, text in enumerate(texts):
         before = pad
         for at in range(0, len(text), AT_ONCE):
             part = symbols(text[at : at + AT_ONCE])
             held += [before, part]
-            owners += [np.full(ORDER - 1, -1), np.full(len(part), k)]
+            owners += [np.full(ORDER - 1, -1, np.int32), np.full(len(part), k, np.int32)]
             size += len(part)
             before = np.concatenate([before, part])[-(ORDER - 1) :]
             if size >= AT_ONCE:
@@ -91,26 +107,101 @@ def grams_of(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield made()
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Codes:
+    """64-bit numbers of n-grams: equal for equal n-grams of these texts only."""
+
+    def __init__(self, texts: list[str]):
+        used = np.zeros(PAD + 1, bool)
+        used[PAD] = True
+        for text in texts:
+            for at in range(0, len(text), AT_ONCE):
+                used[symbols(text[at : at + AT_ONCE])] = True
+        self.dense = np.cumsum(used, dtype=np.uint32)
+        self.exact = int(self.dense[-1]) < PACKED
+        for self.radix in (PACKED,) if self.exact else MULTIPLIERS:
+            if self._found(texts):
+                return
+        raise RuntimeError("hashes of different n-grams agree under every multiplier")
+
+    def of(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        dense = self.dense[flat].astype(np.uint64)
+        code = np.zeros(max(0, len(flat) - ORDER + 1), np.uint64)
+        for k in range(ORDER):
+            code = code * np.uint64(self.radix) + dense[k : k + len(code)]
+        return code[at]
+
+    def _found(self, texts: list[str]) -> bool:
+        """Find keys, grams (their characters, a row each) and counts; False if a code stands for two n-grams."""
+        keys, grams, counts = [np.empty(0, np.uint64)], [np.empty((0, ORDER), np.uint32)], [np.empty(0, np.int64)]
+        for flat, at, _ in windows(texts):
+            code = self.of(flat, at)
+            key, first, n = np.unique(code, return_index=True, return_counts=True)
+            gram = flat[at[first][:, None] + np.arange(ORDER)]
+            if not self.exact and (flat[at[:, None] + np.arange(ORDER)] != gram[np.searchsorted(key, code)]).any():
+                return False
+            keys.append(key)
+            grams.append(gram)
+            counts.append(n)
+        every, all_grams = np.concatenate(keys), np.concatenate(grams)
+        self.keys, first, place = np.unique(every, return_index=True, return_inverse=True)
+        self.grams = all_grams[first]
+        self.counts = np.bincount(place, np.concatenate(counts), len(self.keys)).astype(np.int64)
+        return self.exact or bool((self.grams[place] == all_grams).all())
+
+
+def texts_of(column: pa.Array) -> list[str]:
+    return [t or "" for t in column.to_pylist()]
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.Table]:
+    """Rows in order, about BLOCK_BYTES of column `at` a table, wherever the batches end."""
+    held, size = [], 0
     for batch in batches:
-        for grams, _ in grams_of([t or "" for t in batch.column(0).to_pylist()]):
-            gram, n = np.unique(grams, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], names=["g", "a"])
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
+        start, base = 0, 0
+        while (i := int(np.searchsorted(ends - base + size, BLOCK_BYTES))) < len(ends):
+            yield pa.Table.from_batches([*held, batch.slice(start, i + 1 - start)])
+            held, size, start, base = [], 0, i + 1, int(ends[i])
+        if start < len(ends):
+            held.append(batch.slice(start))
+            size += int(ends[-1]) - base
+    if held:
+        yield pa.Table.from_batches(held)
+
 
+def block_id(texts: list[str], number: int) -> int:
+    """Of a block by its place and its texts, as a signed number: another order of rows gives other ones."""
+    crc = 0
+    for t in texts:
+        crc = zlib.crc32(t.encode("utf-8", "surrogatepass"), zlib.crc32(len(t).to_bytes(8, "little"), crc))
+    place = TaskContext.get().partitionId() << 12 | number & 0xFFF
+    return ((place << 32 | crc) * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63)
 
-def suffix(g: Column, order: int) -> Column:
-    return g.bitwiseAND(F.lit((1 << SYMBOL_BITS * order) - 1))
+
+def shard(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Of a last character and the one before it."""
+    mixed = (before.astype(np.uint64) * np.uint64(SPREAD) + last % np.uint32(SPREAD)) * np.uint64(MULTIPLIERS[0])
+    return (mixed >> np.uint64(40)).astype(np.int64) % SHARDS
+
+
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in blocks_of(batches, 0):
+        found = Codes(texts_of(block.column(0)))
+        strings = np.ascontiguousarray(found.grams).view(f"<U{ORDER}").ravel()
+        for at in range(0, len(strings), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(strings[at : at + 50_000].tolist(), pa.string()), pa.array(found.counts[at : at + 50_000])], names=["g", "a"])
 
 
-def train(texts: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(grams, contexts) of the model: (k, g, logp) for each seen n-gram of k characters, (k, h, back) for each seen context of k-1."""
-    counted = texts.select(F.col(text_col).cast("string").alias("t")).mapInArrow(_count_batches, "g bigint, a bigint")
+def train(texts: DataFrame, text_col: str) -> DataFrame:
+    """(k, g, v): for each seen n-gram of k characters the logarithm of its probability, and with -k, for each seen context of k - 1, that of its back-off weight."""
+    counted = texts.select(F.col(text_col).cast("string").alias("t")).mapInArrow(_count_batches, "g string, a bigint")
     level = materialize(counted.groupBy("g").agg(F.sum("a").alias("a")), "grams")
     levels = {ORDER: level}
     for k in range(ORDER - 1, 0, -1):
-        level = materialize(level.groupBy(suffix(F.col("g"), k).alias("g")).agg(F.count("*").alias("a")), "grams")
+        level = materialize(level.groupBy(F.substring("g", 2, k).alias("g")).agg(F.count("*").alias("a")), "grams")
         levels[k] = level
-    below, grams, contexts = None, None, None
+    alphabet = levels[1].count() + 1
+    below, model = None, None
     for k in range(1, ORDER + 1):
         level = levels[k]
         n = [r or 0 for r in level.agg(*[F.count_if(F.col("a") == i) for i in (1, 2, 3, 4)]).first()]
@@ -119,123 +210,173 @@ def train(texts: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
             y = n[0] / (n[0] + 2 * n[1])
             d = [min(max(i + 1 - (i + 2) * y * n[i + 1] / n[i], 0.05), i + 0.95) for i in range(3)]
         cut = F.when(F.col("a") == 1, d[0]).when(F.col("a") == 2, d[1]).otherwise(d[2])
-        level = level.withColumn("h", F.shiftright("g", SYMBOL_BITS))
+        level = level.withColumn("h", F.substring("g", 1, k - 1))
         per = level.groupBy("h").agg(F.sum("a").alias("total"), F.sum(cut).alias("cuts"))
         per = per.select("h", "total", (F.col("cuts") / F.col("total")).alias("back"))
         joined = level.join(per, "h").withColumn("own", (F.col("a") - cut) / F.col("total"))
         if k == 1:
-            p = F.col("own") + F.col("back") / SYMBOLS
+            p = F.col("own") + F.col("back") / alphabet
         else:
-            joined = joined.join(below.withColumnRenamed("g", "s").withColumnRenamed("p", "lower"), suffix(F.col("g"), k - 1) == F.col("s"))
+            joined = joined.join(below.select(F.col("g").alias("s"), F.col("p").alias("lower")), F.substring("g", 2, k - 1) == F.col("s"))
             p = F.col("own") + F.col("back") * F.col("lower")
         below = materialize(joined.select("g", p.alias("p")), "level")
-        one, two = below.select(F.lit(k).alias("k"), "g", F.log("p").alias("logp")), per.select(F.lit(k).alias("k"), "h", F.log("back").alias("back"))
-        grams, contexts = (one, two) if grams is None else (grams.unionByName(one), contexts.unionByName(two))
-    return materialize(grams, "model"), materialize(contexts, "model")
-
-
-class HashTable:
-    """64-bit keys to floats in open addressing; absent keys give NaN."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(2 * max(1, len(keys)) - 1).bit_length())
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.values = np.full(1 << self.bits, np.nan, np.float32)
-        at, left = self._home(keys), np.arange(len(keys))
-        while len(left):
-            free = self.keys[at] == -1
-            self.keys[at[free]] = keys[left[free]]  # of several at one place the last stays
-            placed = self.keys[at] == keys[left]
-            self.values[at[placed]] = values[left[placed]]
-            at, left = (at[~placed] + 1) & ((1 << self.bits) - 1), left[~placed]
-
-    def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        at = self._home(keys)
-        out, found = self.values[at], self.keys[at]
-        left = np.flatnonzero((found != keys) & (found != -1))
-        out[found != keys] = np.nan
-        while len(left):
-            at_left = (at[left] + 1) & ((1 << self.bits) - 1)
-            at[left] = at_left
-            found = self.keys[at_left]
-            hit = found == keys[left]
-            out[left[hit]] = self.values[at_left[hit]]
-            left = left[~hit & (found != -1)]
-        return out
-
-
-def log_probabilities(grams: np.ndarray, tables: list[tuple[HashTable, HashTable]]) -> np.ndarray:
-    """Of the last character of each n-gram; tables: (n-grams, contexts) of orders 1, 2, ..."""
-    out = np.zeros(len(grams), np.float64)
-    left = np.arange(len(grams))
+        both = below.select(F.lit(k).alias("k"), "g", F.log("p").alias("v")).unionByName(per.select(F.lit(-k).alias("k"), F.col("h").alias("g"), F.log("back").alias("v")))
+        model = both if model is None else model.unionByName(both)
+    return materialize(model.withColumn("v", F.col("v").cast("float")), "model")
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[pa.RecordBatch]:
+    """The model's rows (k, g, v) with the shards that need them: key is copy * SHARDS + shard, g its code points."""
+    for batch in batches:
+        k = batch.column(0).to_numpy()
+        points = np.array(batch.column(1).to_pylist(), f"<U{ORDER}").view("<u4").reshape(-1, ORDER)
+        row, key = [], []
+        for kind in np.unique(k):
+            at = np.flatnonzero(k == kind)
+            if abs(kind) == 1:
+                to = np.broadcast_to(np.arange(SHARDS), (len(at), SHARDS))
+            elif kind > 0:
+                to = shard(points[at, kind - 2], points[at, kind - 1])[:, None]
+            else:
+                to = np.stack([shard(points[at, -kind - 2], np.full(len(at), b, np.uint32)) for b in range(SPREAD)], axis=1)
+                to = np.where(np.triu(to[:, :, None] == to[:, None, :], 1).any(axis=1), -1, to)  # a shard once
+            who = np.repeat(at, to.shape[1])
+            to = to.ravel()
+            row.append(who[to >= 0])
+            key.append(to[to >= 0])
+        row, key = np.concatenate(row), np.concatenate(key)
+        names = [points[i].tobytes()[: 4 * (abs(n) - (n < 0))] for i, n in enumerate(k.tolist())]
+        bare = pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.binary()), batch.column(2)], names=["k", "g", "v"])
+        for copy in range(copies):
+            for at in range(0, len(row), 50_000):
+                part = bare.take(pa.array(row[at : at + 50_000]))
+                yield pa.RecordBatch.from_arrays([pa.array(key[at : at + 50_000] + copy * SHARDS), *part.columns], names=["key", "k", "g", "v"])
+
+
+def _asked(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[pa.RecordBatch]:
+    """A row (key, block, shard, n, grams) for each block and shard: its different n-grams, compressed by place."""
+    press = zstandard.ZstdCompressor(level=3)
+    copy = TaskContext.get().partitionId() // MANY_BLOCKS % copies
+    for number, block in enumerate(blocks_of(batches, 0)):
+        texts = texts_of(block.column(0))
+        grams = Codes(texts).grams
+        if not len(grams):
+            continue
+        name, to = block_id(texts, number), shard(grams[:, ORDER - 2], grams[:, ORDER - 1])
+        order = np.argsort(to, kind="stable")
+        found, first = np.unique(to[order], return_index=True)
+        parts = np.split(order, first[1:])
+        packed = [press.compress(np.ascontiguousarray(grams[p].T).tobytes()) for p in parts]
+        yield pa.RecordBatch.from_arrays([pa.array(found + copy * SHARDS), pa.array([name] * len(found)), pa.array(found.astype(np.int32)), pa.array([len(p) for p in parts], pa.int32()), pa.array(packed, pa.binary())], names=["key", "block", "shard", "n", "grams"])
+
+
+def _fixed(points: np.ndarray) -> pa.Array:
+    rows, width = points.shape
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * width), rows, [None, pa.py_buffer(np.ascontiguousarray(points))])
+
+
+def _answered(asked: pa.Table, model: pa.Table, alphabet: int) -> pa.Table:
+    """(block, shard, logp) for each row of requests: of the last character of each n-gram, the longest seen first."""
+    schema = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("logp", pa.binary())])
+    if not len(asked):
+        return schema.empty_table()
+    sizes = asked["n"].to_numpy()
+    open_ = zstandard.ZstdDecompressor()
+    grams = np.concatenate([np.frombuffer(open_.decompress(b), np.uint32).reshape(ORDER, -1).T for b in asked["grams"].to_pylist()])
+    out, left = np.zeros(len(grams), np.float64), np.arange(len(grams))
+    kinds = model["k"].to_numpy()
+
+    def look_up(kind: int, points: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(kinds == kind)
+        if not len(at):
+            return np.full(len(points), np.nan)
+        values = model["v"].to_numpy()[at]
+        if not points.shape[1]:
+            return np.full(len(points), values[0])
+        own = model["g"].take(pa.array(at)).combine_chunks().cast(pa.binary(4 * points.shape[1]))
+        place = pc.fill_null(pc.index_in(_fixed(points), value_set=own), -1).to_numpy(zero_copy_only=False)
+        return np.where(place >= 0, values[place], np.nan)
+
     for k in range(ORDER, 0, -1):
-        key = grams[left] & ((1 << SYMBOL_BITS * k) - 1)
-        p = tables[k - 1][0].get(key)
+        p = look_up(k, grams[left, ORDER - k :])
         seen = ~np.isnan(p)
         out[left[seen]] += p[seen]
-        left, key = left[~seen], key[~seen]
+        left = left[~seen]
         if not len(left):
-            return out
-        back = tables[k - 1][1].get(key >> SYMBOL_BITS)
+            break
+        back = look_up(-k, grams[left, ORDER - k : ORDER - 1])
         out[left] += np.where(np.isnan(back), 0.0, back)
-    out[left] -= np.log(SYMBOLS)
-    return out
-
-
-def _score_here(docs: DataFrame, grams: DataFrame, contexts: DataFrame, text_col: str = "__text") -> DataFrame:
-    """docs with nll and n for its text column, with the model in each process; no row moves."""
-    tables = []
-    model, weights = grams.toArrow(), contexts.toArrow()
-    for k in range(1, ORDER + 1):
-        one = model.filter(pc.equal(model["k"], k))
-        two = weights.filter(pc.equal(weights["k"], k))
-        tables.append((one["g"].to_numpy(), one["logp"].to_numpy().astype(np.float32), two["h"].to_numpy(), two["back"].to_numpy().astype(np.float32)))
-    sent = session_of(docs).sparkContext.broadcast(tables)
-    at = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        built = [(HashTable(a, b), HashTable(c, d)) for a, b, c, d in sent.value]
-        for batch in batches:
-            nll, n = np.zeros(len(batch)), np.zeros(len(batch), np.int64)
-            for g, who in grams_of([t or "" for t in batch.column(at).to_pylist()]):
-                nll -= np.bincount(who, log_probabilities(g, built), len(batch))
-                n += np.bincount(who, minlength=len(batch))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nll), pa.array(n)], names=[*batch.schema.names, "__nll", "__n"])
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("__nll", T.DoubleType()), T.StructField("__n", T.LongType())])
-    return docs.mapInArrow(run, schema)
-
-
-def _score_sharded(docs: DataFrame, grams: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(__id, __lang, __key, __nll, __n) of docs (__id, __lang, __text, __key), by joins: rows of (document, n-gram, times) meet the model's shards, order by order; frequent n-grams are split by the join."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for g, who in grams_of([t or "" for t in batch.column(1).to_pylist()]):
-                order = np.lexsort((g, who))
-                g, who = g[order], who[order]
-                at = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (who[1:] != who[:-1]))))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(who[at])), pa.array(g[at]), pa.array(np.diff(np.append(at, len(g))))], names=["__doc", "g", "times"])
-
-    rows = docs.select(F.col("__key").alias("__doc"), "__text").mapInArrow(run, "__doc string, g bigint, times bigint").withColumn("so_far", F.lit(0.0))
-    sums = None
-    for k in range(ORDER, 0, -1):
-        own = grams.where(F.col("k") == k).select(F.col("g").alias("own"), F.col("logp").cast("float").alias("logp"))
-        met = rows.join(own, F.col("g") == F.col("own"), "left")
-        done = met.where(F.col("logp").isNotNull()).select("__doc", (F.col("times") * (F.col("so_far") + F.col("logp"))).alias("x"), "times")
-        sums = done if sums is None else sums.unionByName(done)
-        weights = contexts.where(F.col("k") == k).select(F.col("h").alias("own_h"), F.col("back").cast("float").alias("back"))
-        rows = met.where(F.col("logp").isNull()).drop("own", "logp").join(weights, F.shiftright("g", SYMBOL_BITS) == F.col("own_h"), "left")
-        rows = rows.select("__doc", suffix(F.col("g"), k - 1).alias("g"), "times", (F.col("so_far") + F.coalesce("back", F.lit(0.0))).alias("so_far"))
-    sums = sums.unionByName(rows.select("__doc", (F.col("times") * (F.col("so_far") - float(np.log(SYMBOLS)))).alias("x"), "times"))
-    per = sums.groupBy("__doc").agg(F.sum("x").alias("x"), F.sum("times").alias("n"))
-    copies = docs.groupBy(F.col("__key").alias("__doc")).agg(F.count("*").alias("copies"))
-    per = per.join(copies, "__doc").select("__doc", (-F.col("x") / F.col("copies")).alias("nll"), (F.col("n") / F.col("copies")).cast("bigint").alias("n"))
-    out = docs.select("__id", "__lang", "__key").join(per, F.col("__key") == F.col("__doc"), "left")
-    return out.select("__id", "__lang", "__key", F.coalesce("nll", F.lit(0.0)).alias("__nll"), F.coalesce("n", F.lit(0)).alias("__n"))
+    out[left] -= np.log(alphabet)
+    press = zstandard.ZstdCompressor(level=1)
+    parts = np.split(out.astype(np.float32), np.cumsum(sizes)[:-1])
+    return pa.table([asked["block"], asked["shard"], pa.array([press.compress(x.tobytes()) for x in parts], pa.binary())], schema=schema)
+
+
+def _packed_blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """A row (block, rows) for each block: all columns, compressed."""
+    for number, block in enumerate(blocks_of(batches, at)):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, block.schema) as out:  # compressed as one, so that columns that say the same cost once
+            out.write_table(block.combine_chunks())
+        packed = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+        yield pa.RecordBatch.from_arrays([pa.array([block_id(texts_of(block.column(at)), number)]), pa.array([packed], pa.binary())], names=["block", "rows"])
+
+
+def _summed(packed: pa.Table, answers: pa.Table, at: int, schema: pa.Schema) -> pa.Table:
+    """The rows of a block with nll and the number of characters of each."""
+    done, open_ = [], zstandard.ZstdDecompressor()
+    by_shard = dict(zip(answers["shard"].to_pylist(), answers["logp"].to_pylist(), strict=True))
+    for one in packed["rows"]:
+        block = pa.ipc.open_stream(open_.decompress(one.as_py())).read_all()
+        texts = texts_of(block.column(at))
+        codes = Codes(texts)
+        order = np.argsort(shard(codes.grams[:, ORDER - 2], codes.grams[:, ORDER - 1]), kind="stable")
+        said = [np.frombuffer(open_.decompress(by_shard[s]), np.float32) for s in sorted(by_shard)]
+        said = np.concatenate(said) if said else np.empty(0, np.float32)
+        if len(said) != len(order):
+            raise RuntimeError("the rows of a block came in another order than before; write them to a table first")
+        logp = np.empty(len(order), np.float64)
+        logp[order] = said
+        nll, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        for flat, where, who in windows(texts):
+            nll -= np.bincount(who, logp[np.searchsorted(codes.keys, codes.of(flat, where))], len(texts))
+            n += np.bincount(who, minlength=len(texts))
+        done.append(pa.Table.from_arrays([*block.columns, pa.chunked_array([nll]), pa.chunked_array([n])], schema=schema))
+    return pa.concat_tables(done) if done else schema.empty_table()
+
+
+def score_rows(docs: DataFrame, model: DataFrame, text_col: str, nll: str, n: str) -> DataFrame:
+    """docs with two more columns: minus the logarithm of the probability of the text, and its number of characters."""
+    if re.search("(?<!Broadcast)Exchange", docs._jdf.queryExecution().executedPlan().toString()):
+        docs = materialize(docs, "scored")
+    at, copies = docs.columns.index(text_col), 1 + docs.rdd.getNumPartitions() // MANY_BLOCKS
+    alphabet = model.where("k = 1").count() + 1
+    schema = T.StructType([*docs.schema.fields, T.StructField(nll, T.DoubleType()), T.StructField(n, T.LongType())])
+
+    arrow = to_arrow_schema(schema)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _dealt(batches, copies)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _asked(batches, copies)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _packed_blocks(batches, at)
+
+    def answer(asked: pa.Table, own: pa.Table) -> pa.Table:
+        return _answered(asked, own, alphabet)
+
+    def total(packed: pa.Table, answers: pa.Table) -> pa.Table:
+        if not len(packed):
+            raise RuntimeError("the rows of a block came in another order than before; write them to a table first")
+        return _summed(packed, answers, at, arrow)
+
+    shards = model.mapInArrow(deal, "key bigint, k int, g binary, v float")
+    asked = docs.select(F.col(f"`{text_col}`").cast("string")).mapInArrow(ask, "key bigint, block bigint, shard int, n int, grams binary")
+    answers = asked.groupBy("key").cogroup(shards.groupBy("key")).applyInArrow(answer, "block bigint, shard int, logp binary")
+    packed = docs.mapInArrow(pack, "block bigint, rows binary")
+    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(total, schema)
 
 
 def limits(scored: DataFrame) -> DataFrame:
@@ -254,61 +395,53 @@ def smoothed(nll: Column, n: Column, mean: Column) -> Column:
 
 
 class Judge:
-    """The model and the limits that trusted documents set."""
-
-    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, broadcast_entries: int = BROADCAST_ENTRIES, broadcast_labels: int = BROADCAST_LABELS):
-        self.id_col, self.text_col, self.lang_col = id_col, text_col, lang_col
-        rows = self.rows(docs)
-        known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__labelled")).agg(F.min(label_col).alias("__good"))
-        trusted = materialize(known.where("__good = 1").select("__labelled"), "trusted")
-        if trusted.count() <= broadcast_labels:  # else the join shuffles the texts of labelled documents
-            trusted = F.broadcast(trusted)
-        trusted_rows = rows.join(trusted, F.col("__id") == F.col("__labelled"), "left_semi")
-        fold = F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(FOLDS))
-        self.grams, self.contexts = train(trusted_rows.where(fold < FOLDS - 1), "__text")
-        self.here = self.grams.count() + self.contexts.count() <= broadcast_entries
-        held = self.scored(trusted_rows.where(fold == FOLDS - 1)).select("__lang", "__nll", "__n")
-        self.limits = materialize(limits(held), "limits")
-
-    def rows(self, docs: DataFrame) -> DataFrame:
-        return docs.select(F.col(self.id_col).alias("__id"), F.coalesce(F.col(self.lang_col).cast("string"), F.lit("unknown")).alias("__lang"), F.col(self.text_col).cast("string").alias("__text"), row_key(self.id_col, self.text_col).alias("__key"))
-
-    def scored(self, rows: DataFrame) -> DataFrame:
-        return _score_here(rows, self.grams, self.contexts).drop("__text") if self.here else _score_sharded(rows, self.grams, self.contexts)
-
-    def judged(self, scored: DataFrame) -> DataFrame:
-        """scored with __limit (of the logarithm) and __rejected; limits are one row a language, and one for all."""
+    """The model and the limits that trusted documents set. What Spark broadcasts of the trusted ids it decides by their size."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str):
+        known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("labelled")).agg(F.min(label_col).alias("good"))
+        trusted = materialize(known.where("good = 1").select("labelled"), "trusted")
+        rows = docs.select(F.col(f"`{id_col}`").alias("id"), self.language(lang_col).alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
+        rows = rows.join(trusted, F.col("id") == F.col("labelled"), "left_semi")
+        fold = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(FOLDS))
+        self.model = train(rows.where(fold < FOLDS - 1), "text")
+        held = score_rows(rows.where(fold == FOLDS - 1).select("lang", "text"), self.model, "text", "nll", "n")
+        self.limits = materialize(limits(held.select(F.col("lang").alias("__lang"), F.col("nll").alias("__nll"), F.col("n").alias("__n"))), "limits")
+
+    @staticmethod
+    def language(lang_col: str) -> Column:
+        return F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("unknown"))
+
+    def judged(self, docs: DataFrame, text_col: str, lang: Column) -> tuple[DataFrame, Column, Column, Column, Column]:
+        """docs with columns more, and columns of them: nll, characters, limit (of the logarithm), rejected. Limits are one row a language, and one for all."""
+        nll, n, own, mean_of, limit_of = fresh(docs, "nll", "n", "own", "mean", "limit")
         mean, limit = next(((r["mean"], r["limit"]) for r in self.limits.where("lang IS NULL").collect()), (None, None))
-        per = self.limits.where(F.col("lang").isNotNull() & (F.col("held") >= MIN_CALIBRATION)).select(F.col("lang").alias("__own_lang"), F.col("mean").alias("__mean"), F.col("limit").alias("__own_limit"))
-        out = scored.join(per, F.col("__lang") == F.col("__own_lang"), "left")
-        out = out.withColumn("__limit", F.coalesce("__own_limit", F.lit(limit).cast("double")))
-        beyond = F.coalesce(smoothed(F.col("__nll"), F.col("__n"), F.coalesce("__mean", F.lit(mean).cast("double"))) > F.col("__limit"), F.lit(False))
-        return out.withColumn("__rejected", beyond | (F.col("__n") == 0))
+        per = self.limits.where(F.col("lang").isNotNull() & (F.col("held") >= MIN_CALIBRATION)).select(F.col("lang").alias(own), F.col("mean").alias(mean_of), F.col("limit").alias(limit_of))
+        out = score_rows(docs, self.model, text_col, nll, n).join(per, lang == F.col(own), "left")
+        least = F.coalesce(limit_of, F.lit(limit).cast("double"))
+        beyond = F.coalesce(smoothed(F.col(nll), F.col(n), F.coalesce(mean_of, F.lit(mean).cast("double"))) > least, F.lit(False))
+        return out, F.col(nll), F.col(n), least, beyond | (F.col(n) == 0)
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str) -> DataFrame:
     """(id, lang, n_symbols, perplexity, limit, rejected) of each row. labels: (id_col, label_col)."""
-    judge = Judge(docs, labels, id_col, text_col, lang_col, label_col, broadcast_entries)
-    out = judge.judged(judge.scored(judge.rows(docs)))
+    judge = Judge(docs, labels, id_col, text_col, lang_col, label_col)
+    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), judge.language(lang_col).alias("__lang"), F.col(f"`{text_col}`").cast("string").alias("__text"))
+    out, nll, n, limit, rejected = judge.judged(rows, "__text", F.col("__lang"))
     return out.select(
         F.col("__id").alias(id_col),
         F.col("__lang").alias("lang"),
-        F.col("__n").alias("n_symbols"),
-        F.when(F.col("__n") > 0, F.exp(F.col("__nll") / F.col("__n"))).alias("perplexity"),
-        F.exp("__limit").alias("limit"),
-        F.col("__rejected").alias("rejected"),
+        n.alias("n_symbols"),
+        F.when(n > 0, F.exp(nll / n)).alias("perplexity"),
+        F.exp(limit).alias("limit"),
+        rejected.alias("rejected"),
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
-    """The rows of docs that aren't rejected, with all their columns. With the model in each process no text is shuffled."""
-    judge = Judge(docs, labels, id_col, text_col, lang_col, label_col, broadcast_entries)
-    if judge.here:
-        marked = docs.withColumn("__lang", F.coalesce(F.col(lang_col).cast("string"), F.lit("unknown")))
-        judged = judge.judged(_score_here(marked, judge.grams, judge.contexts, text_col))
-        return judged.where(~F.col("__rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])
-    stay = judge.judged(judge.scored(judge.rows(docs))).where(~F.col("__rejected")).select(F.col("__key").alias("__stay")).distinct()
-    return docs.withColumn("__row", row_key(id_col, text_col)).join(stay, F.col("__row") == F.col("__stay"), "left_semi").drop("__row")
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str) -> DataFrame:
+    """The rows of docs that aren't rejected, with all their columns."""
+    judge = Judge(docs, labels, id_col, text_col, lang_col, label_col)
+    out, _, _, _, rejected = judge.judged(docs, text_col, judge.language(lang_col))
+    return out.where(~rejected).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op6_kneser_ney(spark, sf_dir: str) -> DataFrame:
