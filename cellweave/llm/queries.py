@@ -20,6 +20,7 @@ QUERIES = {
 QUERIES = {name: reachable(query) for name, query in QUERIES.items()}
 ORACLE_SQL = {
     "op1_secret_ownership": secrets.ORACLE,
+    "op3_prefix_rendering": chat.ORACLE,
     "op4_source_mix": mixing.ORACLE,
     "op9_chunk_recipes": exact_dedup.ORACLE,
 }

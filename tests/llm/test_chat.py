@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cellweave.llm import chat
+from tests.oracle import differences
 
 TEXT = st.text(alphabet="ab<|\\n\n>im_startend 🙂A", max_size=30)
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, formatted string, __conv string"
@@ -23,20 +24,45 @@ def test_round_trip(turns):
     assert [s[0] for s in spans[1:]] == [s[1] for s in spans[:-1]] and (not spans or spans[-1][1] == len(out))
 
 
-def test_long_conversations_agree_with_every_prefix(monkeypatch):
+def test_history_rewritten_late_is_told():
     turns = [("user" if k % 2 else "assistant", f"text {k} <|im_end|>") for k in range(203)]
 
-    def last_user_note(t):  # what it adds depends on more than the nearest turns
-        return chat.marked_turns(t) if len(t) % 70 else chat.marked_turns(t) + f"[{len(t)}]"
+    def note_every_70(t):  # the note goes again with the next turn
+        return chat.marked_turns(t) if len(t) % 70 else chat.marked_turns(t) + f"[{len(t)}]" * bool(t)
 
-    for template in (chat.marked_turns, last_user_note):
-        got = chat.locate(turns, template)
-        monkeypatch.setattr(chat, "BLOCK", 10**6)
-        monkeypatch.setattr(chat, "CONTEXT", 10**6)
-        assert got[0] == chat.locate(turns, template)[0] == template(turns)
-        if template is chat.marked_turns:
-            assert got == chat.locate(turns, template)
-        monkeypatch.undo()
+    out, spans, at = chat.locate(turns, note_every_70)
+    assert at == 70 and out == note_every_70(turns) and spans[70] is None and spans[69] is None and spans[68] and spans[71]
+
+
+def test_texts_are_placed_turn_by_turn():
+    def numbered(t):
+        return "".join(f"[{k + 1}] {r}: {x}\n" for k, (r, x) in enumerate(t))
+
+    turns = [("user" if k % 2 else "assistant", f"text {k}") for k in range(120)]
+    out, spans, at = chat.locate(turns, numbered)
+    assert at == -1 and [out[c:d] for *_, c, d in spans] == [x for _, x in turns]
+
+    def by_first(t):  # the first text says how later ones are set
+        return "".join(f"{'>' * len(t[0][1])} {r}: {x}\n" for r, x in t)
+
+    out, spans, at = chat.locate([("user", "abc"), *turns], by_first)
+    assert at == -1 and [out[c:d] for *_, c, d in spans[1:]] == [x for _, x in turns]
+    assert spans[0][2:] == (None, None)  # a text that shows twice has no one place
+
+    def counted(t):
+        return "".join(f"{r} ({len(x)}): {x}\n" for r, x in t)
+
+    _, spans, at = chat.locate([("user", "a"), ("assistant", "longer")], counted)
+    assert spans[0][2] is not None and spans[1][2] is None  # what surrounds the letter isn't what surrounds the text
+
+
+def test_unplaced_turns_are_reported(spark):
+    def counted(t):
+        return "".join(f"{r} ({len(x)}): {x}\n" for r, x in t)
+
+    df = spark.createDataFrame([(1, 0, "assistant", "long", "", ""), (1, 1, "assistant", "x", "", "")], SCHEMA)
+    r = chat.format_chats(df, "conv_id", "turn", "role", "text", counted).first()
+    assert r.unplaced == [0] and [s.text_start is None for s in r.spans] == [True, False]
 
 
 def test_rewritten_history_is_told():
@@ -79,5 +105,7 @@ def test_every_kind_of_row(spark):
 
 def test_the_table_and_the_planted_conversation(spark):
     sf = "/root/testdata/sf0.001"
+    got, want, more, less = differences(chat.op3_prefix_rendering(spark, sf), chat.ORACLE, sf)
+    assert (got, more, less) == (want, [], [])
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     check(chat.op3_prefix_rendering(spark, sf).collect(), [*rows, (-1, 0, "user", chat.PLANTED), (-1, 1, "assistant", chat.PLANTED)])
