@@ -72,8 +72,10 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 def rows_of(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of docs whose row_key is in keys (__stay), a repeated row once, with all their columns. Texts are shuffled once."""
-    marked = docs.withColumn("__row", row_key(id_col, text_col))
-    return marked.join(keys, F.col("__row") == F.col("__stay"), "left_semi").dropDuplicates(["__row"]).drop("__row")
+    own, stay = fresh(docs, "row", "stay")
+    marked = docs.withColumn(own, row_key(id_col, text_col))
+    kept = marked.join(keys.select(F.col("__stay").alias(stay)), F.col(own) == F.col(stay), "left_semi").dropDuplicates([own])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def word_count(text: Column) -> Column:

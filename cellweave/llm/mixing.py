@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import WORD, materialize, word_count
+from cellweave.llm.common import WORD, fresh, materialize, word_count
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -94,29 +94,50 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     return done
 
 
-def mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """(id, size, source_size, target, taken) of each row; taken counts words with repeats: size times the number of times the mix holds the row."""
-    sized = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.coalesce(F.col(text_col), F.lit(""))).alias("size"), hash60(F.col(id_col)).alias("hash")), "sizes")
+def mix_plan(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """(source, source_size, target, times, threshold), one row a source, from (source, size, hash)."""
     per = materialize(source_targets(sized, weights, max_epochs), "targets")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     budgets = per.withColumn("times", whole.cast("bigint")).withColumn("rest", F.col("target") - F.col("times") * F.col("source_size"))
     cut = thresholds(sized, budgets.where(F.col("rest") > 0).select("source", "rest")).withColumnRenamed("source", "c_source")
-    plan = budgets.join(cut, _same(F.col("source"), F.col("c_source")), "left").select(F.col("source").alias("p_source"), "source_size", "target", "times", F.coalesce("threshold", F.lit(-1)).alias("threshold"))
+    plan = budgets.join(cut, _same(F.col("source"), F.col("c_source")), "left").select("source", "source_size", "target", "times", F.coalesce("threshold", F.lit(-1)).alias("threshold"))
+    return materialize(plan, "plan")
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    size = word_count(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"), hash60(F.col(f"`{id_col}`")).alias("hash"))
+
+
+def mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """(id, size, source_size, target, taken, times) of each row; taken counts words with repeats: size times the number of times the mix holds the row."""
+    sized = materialize(_sized(docs, id_col, text_col, source_col), "sizes")
+    plan = mix_plan(sized, weights, max_epochs).withColumnRenamed("source", "p_source")
     out = sized.join(plan, _same(F.col("source"), F.col("p_source")))
     times = F.col("times") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0)
-    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * times).cast("bigint").alias("taken"), times.cast("int").alias("times"), F.col("source").alias("__source"))
+    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * times).cast("bigint").alias("taken"), times.cast("int").alias("times"))
+
+
+#: Plans of so many sources are sent to all tasks; with more of them rows meet their source's row by a shuffle.
+SENT_SOURCES = 100_000
 
 
 def apply_mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """The mix itself: each row of docs as often as it is taken, with all its columns."""
-    times = mix(docs, id_col, text_col, source_col, weights, max_epochs).where(F.col("times") > 0).select(F.col(id_col).alias("__id"), "__source", F.col("times").alias("__times")).distinct()
-    out = docs.join(times, F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")))
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The mix itself: each row of docs as often as it is taken, with all its columns. A row is decided by its own hash and its source's plan, so texts stay where they are."""
+    source, at, times, copy = fresh(docs, "source", "threshold", "times", "copy")
+    plan = mix_plan(materialize(_sized(docs, id_col, text_col, source_col), "sizes"), weights, max_epochs)
+    plan = plan.select(F.col("source").alias(source), F.col("threshold").alias(at), F.col("times").alias(times))
+    if plan.count() <= SENT_SOURCES:
+        plan = F.broadcast(plan)
+    out = docs.join(plan, _same(F.col(f"`{source_col}`"), F.col(source)))
+    taken = F.col(times) + F.when(hash60(F.col(f"`{id_col}`")) < F.col(at), 1).otherwise(0)
+    out = out.withColumn(times, taken.cast("int")).where(F.col(times) > 0)
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_source_mix(spark, sf_dir: str) -> DataFrame:
     """All documents, mixed by source: 100% of all words, weights 5, 2, 1 repeating, at most 3 times a source."""
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text", "source").drop("times", "__source")
+    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text", "source").drop("times")
 
 
 ORACLE = f"""
