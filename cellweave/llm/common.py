@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 _OWN_DIRS: dict[str, str] = {}
+_SCRATCH: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,18 +30,37 @@ def session_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all that materialize() wrote in this session; results that still read it can't be read any more. Runs at the session's end, too."""
+    for path in [p for p in _SCRATCH if f"/cellweave-{spark.sparkContext.applicationId}" in p]:
+        _remove(spark, path)
+        _SCRATCH.discard(path)
+
+
+def _release_at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # a session that was stopped before has nothing left to do it with
+        release(spark)
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir. Only a local[...] session without that setting gets a folder of its own."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    """A folder of this session in the one that all executors share: spark.checkpoint.dir. Only a local[...] session without that setting gets a folder of its own."""
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
-        own = tempfile.mkdtemp(prefix="cellweave-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        _OWN_DIRS[app] = "file://" + own
+        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        if not shared:
+            if not spark.sparkContext.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            own = tempfile.mkdtemp(prefix="cellweave-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            shared = "file://" + own
+        _OWN_DIRS[app] = f"{shared.rstrip('/')}/cellweave-{app}"
+        _SCRATCH.add(_OWN_DIRS[app])
+        atexit.register(_release_at_exit, spark)
     return _OWN_DIRS[app]
 
 
@@ -48,7 +69,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = session_of(df)
     path = f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*written: DataFrame | None) -> None:
+    """Remove what materialize() wrote for these, once nothing reads it any more."""
+    for df in written:
+        if df is not None:
+            _remove(session_of(df), df.scratch_path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -70,12 +100,40 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.sha2(F.concat_ws(":", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256), said), 256)
 
 
-def rows_of(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of docs whose row_key is in keys (__stay), a repeated row once, with all their columns. Texts are shuffled once."""
-    own, stay = fresh(docs, "row", "stay")
-    marked = docs.withColumn(own, row_key(id_col, text_col))
-    kept = marked.join(keys.select(F.col("__stay").alias(stay)), F.col(own) == F.col(stay), "left_semi").dropDuplicates([own])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+#: Bits of a filter of keys: 16 MB, in 4,096 rows, whatever the number of keys.
+FILTER_BITS = 1 << 27
+
+
+def key_filter(hashes: DataFrame, hash_col: str) -> DataFrame:
+    """(bucket, bits) of a column of 64-bit hashes, to be sent to all tasks: it has FILTER_BITS bits at most."""
+    spot = F.pmod(F.col(hash_col), F.lit(FILTER_BITS))
+    return hashes.groupBy(F.bitmap_bucket_number(spot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits"))
+
+
+def with_filter(rows: DataFrame, found: DataFrame, hashed: Column, name: str) -> DataFrame:
+    """rows with a column `name`: whether the filter may have the hash. False is certain, true isn't."""
+    bucket, bits, spot = fresh(rows, "bucket", "bits", "spot")
+    sent = F.broadcast(found.select(F.col("bucket").alias(bucket), F.col("bits").alias(bits)))
+    met = rows.withColumn(spot, F.pmod(hashed, F.lit(FILTER_BITS))).join(sent, F.bitmap_bucket_number(F.col(spot)) == F.col(bucket), "left")
+    at = F.bitmap_bit_position(F.col(spot))
+    byte = F.conv(F.hex(F.substring(F.col(bits), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return met.withColumn(name, F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0, F.lit(False))).drop(bucket, bits, spot)
+
+
+def rows_of(docs: DataFrame, verdicts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs that stay, a repeated row once, with all their columns. verdicts: (key, stay) for each row, key its row_key.
+
+    Only rows that go, or that are there more than once, are a question: a filter of fixed size tells the others, which stay
+    where they are. The rest is shuffled and joined with the keys that stay.
+    """
+    verdicts = materialize(verdicts, "verdicts")
+    doubtful = verdicts.groupBy(F.xxhash64("key").alias("h")).agg(F.count("*").alias("n"), F.bool_and("stay").alias("all")).where("n > 1 OR NOT all")
+    own, doubt, stay = fresh(docs, "row", "doubt", "stay")
+    marked = with_filter(docs.withColumn(own, row_key(id_col, text_col)), materialize(key_filter(doubtful, "h"), "filter"), F.xxhash64(F.col(own)), doubt)
+    keys = verdicts.where("stay").select(F.col("key").alias(stay))
+    rest = marked.where(F.col(doubt)).join(keys, F.col(own) == F.col(stay), "left_semi").dropDuplicates([own])
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return marked.where(~F.col(doubt)).select(*names).unionByName(rest.select(*names))
 
 
 def word_count(text: Column) -> Column:

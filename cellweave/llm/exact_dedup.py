@@ -5,8 +5,10 @@
    the latest. Such places are rarer than MIN_CHUNK is long, so that cuts fall
    in step again soon after an insertion.
 2. A chunk's identifier is a pair of 64-bit hashes. Identifiers are verified:
-   the chunks are grouped by identifier and the least and the greatest content
-   of each group must be equal. Chunk contents are combined before that one
+   those found more than once are counted, and the contents of their chunks are
+   grouped by identifier; the least and the greatest of each group must be
+   equal. A filter of fixed size tells chunks whose identifier is there once:
+   most of a corpus, which stays where it is. Contents are combined before the
    shuffle, so a chunk that a third of all rows hold moves once a task. If an
    identifier stands for two contents, all identifiers are made anew with
    another salt and verified again.
@@ -29,7 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import materialize, rows_of
+from cellweave.llm.common import discard, key_filter, materialize, rows_of, with_filter
 
 MIN_CHUNK, MAX_CHUNK = 256, 4096
 SALTS = 8
@@ -54,44 +56,49 @@ def pair_hash(chunk: Column, salt: int) -> Column:
     return F.array(F.xxhash64(F.lit(2 * salt), chunk), F.xxhash64(chunk, F.lit(2 * salt + 1)))
 
 
-def _colliding(docs: DataFrame, text: Column, hashed: Callable[[Column, int], Column], salt: int) -> bool:
-    """True if an identifier stands for more than one chunk content."""
-    each = docs.select(F.explode(chunks(text)).alias("c")).select(hashed(F.col("c"), salt).alias("h"), "c")
-    each = each.select(F.col("h")[0].alias("h0"), F.col("h")[1].alias("h1"), "c")
+def _colliding(docs: DataFrame, own: DataFrame, text: Column, hashed: Callable[[Column, int], Column], salt: int) -> bool:
+    """True if an identifier stands for more than one chunk content. own: the recipes with this salt."""
+    each = own.where(F.size("recipe") > 0).select(F.explode(F.transform(F.sequence(F.lit(0), (F.size("recipe") / 2 - 1).cast("int")), lambda k: F.struct(F.get("recipe", 2 * k).alias("h0"), F.get("recipe", 2 * k + 1).alias("h1")))).alias("h"))
+    again = each.groupBy("h.h0", "h.h1").agg(F.count("*").alias("n")).where("n > 1")
+    found = materialize(key_filter(again.withColumn("x", F.xxhash64("h0", "h1")), "x"), "filter")
+    each = docs.select(F.explode(chunks(text)).alias("c")).select(hashed(F.col("c"), salt).alias("h"), "c").select(F.col("h")[0].alias("h0"), F.col("h")[1].alias("h1"), "c")
+    each = with_filter(each, found, F.xxhash64("h0", "h1"), "again").where("again")
     seen = each.groupBy("h0", "h1").agg(F.min("c").alias("least"), F.max("c").alias("most"))
-    return not seen.where(F.col("least") != F.col("most")).isEmpty()
+    differ = not seen.where(F.col("least") != F.col("most")).isEmpty()
+    discard(found)
+    return differ
 
 
 def recipes(docs: DataFrame, id_col: str, text_col: str, hashed: Callable[[Column, int], Column] = pair_hash) -> DataFrame:
     """(id, recipe array<bigint>, text_sha256) of each row; equal recipes mean equal texts."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     for salt in range(SALTS):
-        if not _colliding(docs, text, hashed, salt):
-            break
-    else:
-        raise RuntimeError(f"chunk identifiers still stand for several contents after {SALTS} salts")
-    return docs.select(
-        F.col(id_col),
-        F.flatten(F.transform(chunks(text), lambda c: hashed(c, salt))).alias("recipe"),
-        F.sha2(text, 256).alias("text_sha256"),
-    )
+        own = docs.select(
+            F.col(f"`{id_col}`").alias("id"),
+            F.flatten(F.transform(chunks(text), lambda c: hashed(c, salt))).alias("recipe"),
+            F.sha2(text, 256).alias("text_sha256"),
+        )
+        own = materialize(own, "recipes")
+        if not _colliding(docs, own, text, hashed, salt):
+            return own
+        discard(own)
+    raise RuntimeError(f"chunk identifiers still stand for several contents after {SALTS} salts")
 
 
 def mark_duplicates(docs: DataFrame, id_col: str, text_col: str, hashed: Callable[[Column, int], Column] = pair_hash) -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256) of each row; of equal texts the row with the largest id stays."""
-    own = materialize(recipes(docs, id_col, text_col, hashed), "recipes")
-    groups = own.groupBy("recipe").agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size"))
+    own = recipes(docs, id_col, text_col, hashed)
+    groups = own.groupBy("recipe").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
     groups = materialize(groups, "groups")  # so that the join stands on two plain exchanges, and Spark can split a hot group
     out = own.join(groups, "recipe")
-    return out.select(id_col, "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return out.select(F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def deduplicate(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
+    """The rows of docs that stay, with all their columns; a repeated row once."""
     marked = mark_duplicates(docs, id_col, text_col)
-    said = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("-"))
-    stay = marked.where("kept").select(F.sha2(F.concat_ws(":", "text_sha256", said), 256).alias("__stay")).distinct()
-    return rows_of(docs, stay, id_col, text_col)
+    said = F.coalesce(F.concat(F.lit("="), F.col(f"`{id_col}`").cast("string")), F.lit("-"))
+    return rows_of(docs, marked.select(F.sha2(F.concat_ws(":", "text_sha256", said), 256).alias("key"), F.col("kept").alias("stay")), id_col, text_col)
 
 
 def op9_chunk_recipes(spark, sf_dir: str) -> DataFrame:

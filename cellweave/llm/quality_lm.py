@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from cellweave.llm.common import fresh, materialize
+from cellweave.llm.common import discard, fresh, materialize
 
 ORDER = 5
 PAD, NUL = 0x10FFFF, 0x10FFFE
@@ -203,7 +203,7 @@ def train(texts: DataFrame, text_col: str) -> DataFrame:
         level = materialize(level.groupBy(F.substring("g", 2, k).alias("g")).agg(F.count("*").alias("a")), "grams")
         levels[k] = level
     alphabet = levels[1].count() + 1
-    below, model = None, None
+    below, model, belows = None, None, []
     for k in range(1, ORDER + 1):
         level = levels[k]
         n = [r or 0 for r in level.agg(*[F.count_if(F.col("a") == i) for i in (1, 2, 3, 4)]).first()]
@@ -222,9 +222,12 @@ def train(texts: DataFrame, text_col: str) -> DataFrame:
             joined = joined.join(below.select(F.col("g").alias("s"), F.col("p").alias("lower")), F.substring("g", 2, k - 1) == F.col("s"))
             p = F.col("own") + F.col("back") * F.col("lower")
         below = materialize(joined.select("g", p.alias("p")), "level")
+        belows.append(below)
         both = below.select(F.lit(k).alias("k"), "g", F.log("p").alias("v")).unionByName(per.select(F.lit(-k).alias("k"), F.col("h").alias("g"), F.log("back").alias("v")))
         model = both if model is None else model.unionByName(both)
-    return materialize(model.withColumn("v", F.col("v").cast("float")), "model")
+    model = materialize(model.withColumn("v", F.col("v").cast("float")), "model")
+    discard(*levels.values(), *belows)
+    return model
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[pa.RecordBatch]:

@@ -61,3 +61,13 @@ def test_the_query_matches_its_sql(spark):
     sf = "/root/testdata/sf0.001"
     got, want, more, less = differences(e.op9_chunk_recipes(spark, sf), e.ORACLE, sf)
     assert (got, more, less) == (want, [], [])
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["__row", "__stay", "__doubt", "__bucket", "__bits", "__spot", "__ROW_", "key", "stay", "id", "recipe", "kept", "a.b"]
+    df = spark.createDataFrame([(1, "x y"), (2, "x y"), (2, "x y"), (3, None), (4, "z")], "doc_id bigint, text string")
+    for c in names:
+        df = df.withColumn(c, F.lit("mine"))
+    got = e.deduplicate(df, "doc_id", "text")
+    assert got.columns == df.columns and sorted(r.doc_id for r in got.collect()) == [2, 3, 4]
+    assert {tuple(r)[2:] for r in got.collect()} == {("mine",) * len(names)}
