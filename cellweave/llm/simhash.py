@@ -36,15 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import materialize, row_key, rows_of
+from cellweave.llm.common import discard, materialize, row_key, rows_of
 
 BITS = 64
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Variants that a block sorts at once; more are done in turns, by their next bits.
 SORTED_AT_ONCE = 4_000_000
 #: Fingerprints a block should get at most, on average.
-BLOCK_ROWS = 50_000
-MOST_PREFIX_BITS = 20
+BLOCK_ROWS = 3_000
 
 
 def shingle_hashes(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -168,7 +167,7 @@ def links(prints: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
         raise ValueError(f"radius must be even and not negative, not {radius}")
     half = radius // 2
     prefix_bits = 0
-    while prefix_bits < MOST_PREFIX_BITS and n * len(flips(prefix_bits, half)) > BLOCK_ROWS << prefix_bits:
+    while prefix_bits < BITS - 1 and n * len(flips(prefix_bits, half)) > BLOCK_ROWS << prefix_bits:
         prefix_bits += 1
     lead = F.shiftrightunsigned("__print", BITS - prefix_bits) if prefix_bits else F.lit(0).cast("bigint")
     masks = F.array(*[F.lit(int(m)) for m in flips(prefix_bits, half)])
@@ -194,7 +193,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges = materialize(small.where("u <> v").distinct(), "edges")
+        before, edges = edges, materialize(small.where("u <> v").distinct(), "edges")
+        discard(before)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break
@@ -221,8 +221,7 @@ def deduplicate(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHIN
     """The rows of docs of which none of the same component has a smaller id, with all their columns; a repeated row once. Of null ids only, the row with the least key."""
     found = near_duplicates(docs, id_col, text_col, shingle, radius)
     smallest = F.when(F.col("component_id").isNull(), F.col("__key") == F.col("__first")).otherwise(F.col(id_col) == F.col("component_id"))
-    stay = found.where(smallest).select(F.col("__key").alias("__stay")).distinct()
-    return rows_of(docs, stay, id_col, text_col)
+    return rows_of(docs, found.select(F.col("__key").alias("key"), F.coalesce(smallest, F.lit(False)).alias("stay")), id_col, text_col)
 
 
 def op2_simhash_ball(spark, sf_dir: str) -> DataFrame:

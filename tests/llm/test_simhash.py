@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from cellweave.llm import simhash
@@ -99,3 +100,13 @@ def test_one_row_of_near_copies_without_ids_stays(spark):
     df = spark.createDataFrame([(i, t, "", "") for i, t in rows], SCHEMA)
     got = [(r.doc_id, r.text) for r in simhash.deduplicate(df, "doc_id", "text").collect()]
     assert len(got) == 3 and (5, "a b c d e") in got and (None, "zz yy xx ww vv uu") in got
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["__row", "__stay", "__key", "__print", "__id", "__first", "component_id", "key"]
+    df = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e"), (2, "a b c d e"), (3, "quite other words stand here")], "doc_id bigint, text string")
+    for c in names:
+        df = df.withColumn(c, F.lit("mine"))
+    got = simhash.deduplicate(df, "doc_id", "text")
+    assert got.columns == df.columns and sorted(r.doc_id for r in got.collect()) == [1, 3]
+    assert {tuple(r)[2:] for r in got.collect()} == {("mine",) * len(names)}
