@@ -24,6 +24,7 @@ Defined results
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import materialize, session_of
+from cellweave.llm.common import materialize, scratch_dir, session_of
 from cellweave.llm.tokens import END, cuts, default_path, encoded
 
 CAPACITY = 2048
@@ -127,8 +128,8 @@ def reduce_instance(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[l
                         else:
                             best = max(best, held[lo] + held[hi])
                             lo += 1
-                    if best <= partner:
-                        fix(1, big, partner)
+                    if best <= partner:  # nothing that was looked at changes while four of either are left
+                        fix(max(1, (left[big] - 3) // 2 if partner == big else min(left[big], left[partner]) - 3), big, partner)
                         changed = True
                         continue
                 break
@@ -295,14 +296,16 @@ def packed_output(docs: DataFrame, id_col: str, text_col: str, path: str | None
     return narrow.mapInArrow(run, f"sequence_id bigint, n_tokens int, doc_ids array<{kind}>, pieces array<int>, starts array<bigint>, cu_seqlens array<int>, input_ids binary, position_ids binary")
 
 
-def write_packed(packed: DataFrame, path: str) -> None:
-    """The id matrices as Parquet files of fixed-length rows, with their segment lengths and positions."""
+def write_packed(packed: DataFrame, path: str) -> DataFrame:
+    """The id matrices as Parquet files of fixed-length rows, with their segment lengths and positions; returned as they are read back."""
     packed.write.mode("error").parquet(path)
+    return packed.sparkSession.read.schema(packed.schema).parquet(path)
 
 
 def op5_packed_ids(spark, sf_dir: str) -> DataFrame:
-    """All documents; of the two matrices a digest of each row."""
+    """All documents, written and read back; of the two matrices a digest of each row."""
     packed = packed_output(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
+    packed = write_packed(packed, f"{scratch_dir(spark)}/packed-{uuid.uuid4().hex}")
     return packed.select("sequence_id", "n_tokens", "doc_ids", "pieces", "starts", "cu_seqlens", F.crc32("input_ids").alias("input_crc32"), F.crc32("position_ids").alias("position_crc32"))
 
 

@@ -88,3 +88,15 @@ def test_the_query_matches_its_sql(spark):
     assert (got, more, less) == (want, [], [])
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source").collect()]
     check(rows, m.op4_source_mix(spark, sf).collect())
+
+
+def test_columns_of_any_name_are_kept(spark):
+    df = frame(spark, ROWS[:40])
+    for c in ("__id", "__times", "__source", "__copy", "__threshold", "p_source", "times", "threshold"):
+        df = df.withColumn(c, m.F.lit("mine"))
+    for most in (m.SENT_SOURCES, 0):  # both ways of reaching a source's plan
+        m.SENT_SOURCES, before = most, m.SENT_SOURCES
+        got = m.apply_mix(df, "doc_id", "text", "source")
+        m.SENT_SOURCES = before
+        assert got.columns == df.columns and {tuple(r)[5:] for r in got.collect()} == {("mine",) * 8}
+        assert sum(r.times for r in m.mix(df, "doc_id", "text", "source").collect()) == got.count()
