@@ -47,13 +47,13 @@ BASE = (
 PEM = r"-----BEGIN [A-Z ]*PRIVATE KEY-----((?:[\x20\x09-\x0D]*(?:Proc-Type|DEK-Info):[^\x0A\x0D]*)*[\x20\x09-\x0D\\nr]*[A-Za-z0-9+/]{40,}[A-Za-z0-9+/=\\\x20\x09-\x0D]*)(?:-----END [A-Z ]*PRIVATE KEY-----)?"
 ADDED = (
     ("pem", PEM, 1, 40),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, 1),  # from where a run begins, so a run is read once
     ("vendor", r"(?:gh[pousr]_|sk_live_|xox[abprs]-|AIza)[A-Za-z0-9_-]{16,}", 0, 1),
     ("urlcred", r"://[^\x20\x09-\x0D:@/]+:[^\x20\x09-\x0D@/]+@", 0, 1),
     ("blob", r"[A-Za-z0-9+/]{40,}", 0, 40),
 )
-#: A value with more owners than this is a copied example.
-MAX_OWNERS = 1
+#: A value with more owners than this, or in more repositories, is a copied example. A text that is there several times counts once.
+MAX_OWNERS, MAX_REPOS = 1, 2
 #: A live-looking value has at least so many different characters, so many digits and so many letters.
 LIVE_DISTINCT, LIVE_DIGITS, LIVE_LETTERS = 10, 3, 3
 #: A private key is live by its form. Of urlcred the password is judged: people choose it, so it needs no digits, but so many different characters and no placeholder's form.
@@ -61,10 +61,15 @@ PASSWORD, PASSWORD_DISTINCT = r"://[^:]+:(.+)@", 5
 PLACEHOLDER = r"^(?:[$<{\[%].*|.*(?:password|passwd|secret|example|changeme).*)$"
 
 
+#: Spans are placed in runs of so many: appending to an array copies it.
+RUN = 256
+
+
 def _spans(text: Column, rank: int, kind: str, pattern: str, group: int, least: int) -> Column:
     """Spans of one kind, in code points: pieces between matches and the matches themselves alternate, so their lengths give the places."""
     pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>")
+    span_type = "struct<start:int,rank:int,end:int,kind:string,value:string>"
+    none = F.array().cast(f"array<{span_type}>")
 
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + F.length(pair["piece"])
@@ -73,9 +78,18 @@ def _spans(text: Column, rank: int, kind: str, pattern: str, group: int, least:
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), value.alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
+    def placed(pairs: Column) -> Column:
+        def run(done: Column, k: Column) -> Column:
+            begin = F.struct(F.coalesce(F.get(done, F.size(done) - 1)["at"], F.lit(0)).alias("at"), none.alias("out"))
+            return F.concat(done, F.array(F.aggregate(F.slice(pairs, k * RUN + 1, F.lit(RUN)), begin, step)))
+
+        runs = F.sequence(F.lit(0), ((F.size(pairs) - 1) / RUN).cast("int"))
+        nothing = F.array().cast(f"array<struct<at:int,out:array<{span_type}>>>")
+        return F.flatten(F.transform(F.aggregate(runs, nothing, run), lambda r: r["out"]))
+
     pairs = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(found)).alias("piece"), found.alias("match"))
-    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
-    return F.when(text.rlike(pattern), F.filter(placed, lambda s: F.length(s["value"]) >= least)).otherwise(none)
+    spans = F.transform(F.array(pairs), placed)[0]  # so that the text is searched once
+    return F.when(text.rlike(pattern), F.filter(spans, lambda s: F.length(s["value"]) >= least)).otherwise(none)
 
 
 def _live_looking(kind: Column, value: Column) -> Column:
@@ -94,12 +108,12 @@ def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat(s["kind"], F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))))
 
 
-def scan_secrets(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_cols: tuple[str, ...], max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan_secrets(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_cols: tuple[str, ...], max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """One row for each row of docs: id, spans array<struct<start, rank, end, kind, value, n_owners, n_repos, class>> sorted by start, then kind.
 
-    class is "copied" (more than max_owners owners), "live" (few owners, looks live for its kind) or "weak" (few owners, doesn't).
-    Only candidate rows are shuffled, never texts: counts are combined before each shuffle, by (value, owner, repository) first,
-    so a value that a third of all rows hold costs one row a task.
+    class is "copied" (more than max_owners owners, or max_repos repositories, of different texts), "live" (few owners, looks live for its kind) or "weak" (few owners, doesn't).
+    Only candidate rows are shuffled, never texts: they are combined before each shuffle, by (value, text) first, so copies of a
+    text cost one row a task; of a text that several own, the first by name is its owner.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     owner = F.coalesce(F.col(owner_col).cast("string"), F.lit("unknown"))
@@ -115,7 +129,8 @@ def scan_secrets(docs: DataFrame, id_col: str, text_col: str, owner_col: str, re
     rows = materialize(rows, "secrets")  # narrow: candidates only, so that texts are searched once
     found = rows.where(F.size("__spans") > 0)
     spans = found.select("__id", "__key", "__owner", "__repo", F.explode("__spans").alias("s")).withColumn("__value", F.xxhash64("s.value"))
-    owned = spans.groupBy("__value", "__owner", "__repo").agg(F.count("*").alias("n"))
+    texts = spans.groupBy("__value", "__key").agg(F.min(F.struct("__owner", "__repo")).alias("o"))
+    owned = texts.groupBy("__value", "o.__owner", "o.__repo").agg(F.count("*").alias("n"))
     by_owner = owned.groupBy("__value", "__owner").agg(F.count("*").alias("repos"))
     counts = by_owner.groupBy("__value").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
     counts = materialize(counts, "owners")  # so that the join stands on two plain exchanges, and Spark can split a hot value
@@ -125,7 +140,7 @@ def scan_secrets(docs: DataFrame, id_col: str, text_col: str, owner_col: str, re
         "__key",
         F.struct(
             "s.start", "s.rank", "s.end", "s.kind", "s.value", "n_owners", "n_repos",
-            F.when(F.col("n_owners") > max_owners, "copied").when(live, "live").otherwise("weak").alias("class"),
+            F.when((F.col("n_owners") > max_owners) | (F.col("n_repos") > max_repos), "copied").when(live, "live").otherwise("weak").alias("class"),
         ).alias("span"),
     )
     kept = known.where((F.col("span.rank") < len(BASE)) | (F.col("span.class") == "live"))
@@ -174,14 +189,17 @@ def _sql_spans(rank: int, kind: str, pattern: str, group: int, least: int) -> st
     ) WHERE length({value}) >= {least}"""
 
 
-#: The SQL keeps its rule for pem and urlcred, so it answers for texts without those kinds only.
-_SQL_KINDS = [*BASE, ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1), *ADDED[1:]]
+#: The SQL keeps its rule for pem, jwt and urlcred, so it answers for texts without those kinds only.
+_SQL_KINDS = [*BASE, ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1), ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1), *ADDED[2:]]
 ORACLE = f"""
 WITH texts AS (SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang, coalesce(text, '') AS t FROM documents),
 found AS ({" UNION ALL ".join(_sql_spans(k, *spec) for k, spec in enumerate(_SQL_KINDS))}),
-counts AS (SELECT value, count(DISTINCT source) AS n_owners FROM found GROUP BY value),
+counts AS (
+  SELECT value, count(DISTINCT o.a) AS n_owners, count(DISTINCT o) AS n_repos
+  FROM (SELECT value, t, min({{'a': source, 'b': source || '/' || lang}}) AS o FROM (SELECT DISTINCT doc_id, source, lang, value FROM found) f JOIN (SELECT DISTINCT doc_id, t FROM texts) USING (doc_id) GROUP BY value, t)
+  GROUP BY value),
 known AS (
-  SELECT f.*, CASE WHEN n_owners > {MAX_OWNERS} THEN 'copied'
+  SELECT f.*, CASE WHEN n_owners > {MAX_OWNERS} OR n_repos > {MAX_REPOS} THEN 'copied'
     WHEN len(list_distinct(string_split(value, ''))) >= {LIVE_DISTINCT} AND length(regexp_replace(value, '[^0-9]', '', 'g')) >= {LIVE_DIGITS}
      AND length(regexp_replace(value, '[^A-Za-z]', '', 'g')) >= {LIVE_LETTERS} THEN 'live' ELSE 'weak' END AS class
   FROM found f JOIN counts USING (value)),

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from cellweave.llm import secrets as s
 from tests.oracle import differences
@@ -47,11 +50,36 @@ def test_base_spans_and_live_ones(spark):
         assert got[i].n_assign + got[i].n_access + got[i].n_hex == len(want) and set(want) <= set(filter(None, got[i].spans.split(",")))
     at = TEXTS.index(f"x {LIVE} y")
     assert got[at].spans == f"vendor:2:{2 + len(LIVE)}" and got[at].n_live == 1
-    assert got[8].n_copied == got[9].n_copied == 2 and got[8].n_live == 0  # two owners hold it
+    assert got[8].n_copied == got[9].n_copied == 0 and got[8].n_live == 0  # two owners hold it, but as one text
+
+
+def test_owners_and_repositories_of_different_texts_count(spark):
+    rows = [(1, LIVE, "a", "en"), (2, LIVE, "b", "en"), (3, f"see {LIVE}", "a", "en"), (4, f"other {LIVE}", "a", "de")]
+    df = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)
+
+    def classes(some):
+        found = s.scan_secrets(df.where(F.col("doc_id").isin(some)), "doc_id", "text", "source", ("source", "lang")).collect()
+        return {(x["class"], x["n_owners"], x["n_repos"]) for r in found for x in r.spans}
+
+    assert classes([1, 2]) == {("live", 1, 1)}  # copies of one text: the first owner by name
+    assert classes([2, 3]) == set()  # two owners: a copied example, which isn't reported
+    assert classes([3, 4]) == {("live", 1, 2)}
+    df = df.unionByName(spark.createDataFrame([(5, f"third {LIVE}", "a", "fr", "", "")], SCHEMA))
+    assert classes([3, 4, 5]) == set()  # one owner, three repositories
+
+
+def test_long_runs_and_many_spans(spark):
+    """Ten megabytes of one run, and 200,000 spans in a text, in time that grows with their length."""
+    many = ("0123456789abcdef" * 2 + " ") * 200_000
+    df = spark.createDataFrame([(1, "eyJ" * 3_400_000, "a", "en", "", ""), (2, many, "a", "en", "", "")], SCHEMA)
+    began = time.time()
+    got = {r.doc_id: r for r in s.digest(s.scan_secrets(df, "doc_id", "text", "source", ("source", "lang")), "doc_id").collect()}
+    assert time.time() - began < 120 and got[2].n_hex == 200_000 and got[1].n_hex == 0
+    assert got[2].base_sha256 == hashlib.sha256(",".join(f"hex:{33 * k}:{33 * k + 32}" for k in range(200_000)).encode()).hexdigest()
 
 
 def test_copied_examples_are_no_finds_of_added_kinds(spark):
-    got = scan(spark, [(1, LIVE, "a"), (2, LIVE, "b"), (3, LIVE.replace("a1", "z9"), None), (None, LIVE.replace("a1", "y8"), "a"), (3, LIVE.replace("a1", "z9"), None)])
+    got = scan(spark, [(1, LIVE, "a"), (2, f"{LIVE} again", "b"), (3, LIVE.replace("a1", "z9"), None), (None, LIVE.replace("a1", "y8"), "a"), (3, LIVE.replace("a1", "z9"), None)])
     assert sorted((r.doc_id or 0, bool(r.spans)) for r in got) == [(0, True), (1, False), (2, False), (3, True), (3, True)]
     assert scan(spark, []) == []
 
