@@ -1,18 +1,25 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols: insult, weak insult, threat, target, negation, report,
-quote, clause end, other. Four transducers are composed into one machine:
-
-    negation   an insult or threat within three words of a negation is negated
+Tokens become symbols: abusive word, weak word, verb of harm, intention,
+target, negation, report, quote, clause end, other. Six transducers are
+composed into one machine:
+
+    insult     an abusive word is an insult, and so is a weak word within two
+               words after another weak one
+    threat     a verb of harm within three words after an intention is a
+               threat, one without it is mere harm
+    negation   any of these within three words after a negation is negated
     report     after a word of reporting, or in the quotation that it opens,
-               an insult or threat is reported
-    target     an insult or threat in a clause with a target is direct
+               any of these is reported
+    target     an insult or threat in a clause with a target is direct,
+               whichever comes first
     weights    what each of these is worth
 
 The machine reads each clause once; the weight of its path, with the strength
-of each matched word, is the clause's score, so a matched clause counts, not a
-word alone. A document's clause scores and events give its probability by a
-logistic function.
+of each word on it, is the clause's score, and a clause matches from MATCH on.
+Only matched clauses count: their scores, how many are direct, insults or
+threats, and their share of all clauses give a document's probability by a
+logistic function. A weak, negated or reported word by itself matches nothing.
 
 Words come from FIXED lists below and from labelled rows: words and word
 stems that documents labelled toxic have far more often than others. The
@@ -44,25 +51,34 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.common import materialize, session_of
 
-FIT_ROWS, MOST_TERMS = 20_000, 20_000
+FIT_ROWS = 20_000
 THRESHOLD = 0.3
 #: Rows with this remainder of crc32(id as text) by 4 are held out from fitting.
 HELD_OUT = 2
 STEMS = range(3, 9)
+#: A term is learned from so many labelled toxic documents, or this share of them, so there are at most 1 / LEAST_SHARE times the terms of a document.
 LEAST_DOCS, LEAST_SHARE, STRONG, WEAK = 3, 0.004, 3.0, 1.5
+#: The score from which a clause matches.
+MATCH = 1.0
 
 # FIXED: words of the grammar, in English, German, French and Spanish.
-INSULTS = "idiot moron stupid loser scum trash worthless pathetic disgusting imbecile"
-THREATS = "kill hurt beat shoot stab burn destroy töten umbringen verletzen tuer frapper blesser matar golpear herir"
+INSULT_WORDS = "idiot moron stupid loser scum trash worthless pathetic disgusting imbecile"
+THREATS_OF_HARM = "kill hurt beat shoot stab burn destroy töten umbringen verletzen tuer frapper blesser matar golpear herir"
+INTENTIONS = "will gonna going shall i'll we'll want werde werden will wollen vais va allons veux voy va vamos quiero"
 TARGETS = "you your yours yourself he she they them these those du dich dir dein ihr euch tu toi te vous tú ti usted vosotros"
 NEGATIONS = "not no never nor isn't aren't wasn't don't doesn't nicht kein keine nie ne pas jamais nunca jamás"
 REPORTS = "said says wrote writes called calls quoted quotes claimed reported sagte schrieb nannte dit écrit appelé dijo escribió llamó"
 
-OTHER, INSULT, WEAKER, THREAT, TARGET, NEGATION, REPORT, QUOTE, END = "oiwhtnrq."
-#: Events that the composed machine tells, with the worth of each.
-WORTH = {"I": 1.6, "i": 1.0, "d": 0.6, "H": 2.0, "h": 0.3, "w": 0.35, "x": 0.15, "p": 0.3}
-EVENTS = ("I", "i", "H", "h", "w", "x", "p")
-DEFAULT = np.array([-4.0, 1.2, 0.6, 1.0, 0.8, 0.2, 0.1, -0.3, -0.3, 0.0])
+OTHER, ABUSE, WEAK_WORD, HARM, INTENT, TARGET, NEGATION, REPORT, QUOTE, END = "oawvktnrq."
+#: What the machine reads.
+SYMBOLS = OTHER + ABUSE + WEAK_WORD + HARM + INTENT + TARGET + NEGATION + REPORT + QUOTE + END
+#: What insult and threat write; negation and report write NEGATED and REPORTED in their place, target the direct ones.
+INSULT, THREAT, NEGATED, REPORTED = "iTxp"
+DIRECT_INSULT, INSULT_THEN_TARGET, DIRECT_THREAT, THREAT_THEN_TARGET, HARM_TO_TARGET = "IdHDg"
+#: The worth of each.
+WORTH = {DIRECT_INSULT: 1.6, INSULT: 1.0, INSULT_THEN_TARGET: 0.6, DIRECT_THREAT: 2.0, THREAT: 1.2, THREAT_THEN_TARGET: 0.8, HARM_TO_TARGET: 0.4, HARM: 0.2, WEAK_WORD: 0.35, NEGATED: 0.1, REPORTED: 0.15}
+DIRECT, INSULTS, THREATS = set("IdHD"), set("iId"), set("THD")
+DEFAULT = np.array([-4.0, 1.4, 0.8, 1.0, 0.4, 0.6, 0.5, 0.0])
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n]|[\"“”«»„]")
 _ENDS, _QUOTES = set(".!?;:\n"), set("\"“”«»„")
@@ -94,55 +110,98 @@ def compose(a: Transducer, b: Transducer, symbols: str) -> Transducer:
     return Transducer(start, arcs)
 
 
-def _negation() -> Transducer:
-    arcs = {}
-    for left in range(4):
-        for s in "oiwhtrq":
-            arcs[left, s] = (0, "x", 0.0) if left and s in "iwh" else (max(0, left - 1), s, 0.0)
-        arcs[left, NEGATION] = (3, OTHER, 0.0)
-        arcs[left, END] = (0, END, 0.0)
+def _passing(states: int, forget: str) -> dict:
+    """Arcs of a transducer whose state counts words down to 0; the symbols of forget end it at once."""
+    arcs = {(k, s): (max(0, k - 1), s, 0.0) for k in range(states) for s in SYMBOLS + INSULT + THREAT}
+    return arcs | {(k, s): (0, s, 0.0) for k in range(states) for s in forget}
+
+
+def insults() -> Transducer:
+    arcs = _passing(3, END)
+    for k in range(3):
+        arcs[k, ABUSE] = (max(0, k - 1), INSULT, 0.0)
+        arcs[k, WEAK_WORD] = (2, INSULT if k else WEAK_WORD, 0.0)
     return Transducer(0, arcs)
 
 
-def _report() -> Transducer:
-    arcs = {(0, REPORT): (1, OTHER, 0.0), (0, QUOTE): (0, OTHER, 0.0), (1, QUOTE): (2, OTHER, 0.0), (2, QUOTE): (0, OTHER, 0.0), (1, REPORT): (1, OTHER, 0.0), (2, REPORT): (2, OTHER, 0.0), (1, END): (0, END, 0.0)}
-    return Transducer(0, arcs | {(k, s): (k, "p", 0.0) for k in (1, 2) for s in "iwh"})
+def threats() -> Transducer:
+    arcs = _passing(4, END)
+    for k in range(4):
+        arcs[k, INTENT] = (3, OTHER, 0.0)
+        arcs[k, HARM] = (0, THREAT if k else HARM, 0.0)
+    return Transducer(0, arcs)
+
+
+_MEANT = INSULT + THREAT + HARM + WEAK_WORD
+
+
+def negations() -> Transducer:
+    arcs = _passing(4, END)
+    for k in range(4):
+        arcs[k, NEGATION] = (3, OTHER, 0.0)
+        for s in _MEANT:
+            arcs[k, s] = (0, NEGATED if k else s, 0.0)
+    return Transducer(0, arcs)
 
 
-def _target() -> Transducer:
-    arcs = {(0, TARGET): (1, OTHER, 0.0), (1, TARGET): (1, OTHER, 0.0), (2, TARGET): (1, "d", 0.0), (0, INSULT): (2, INSULT, 0.0), (1, INSULT): (1, "I", 0.0), (1, THREAT): (1, "H", 0.0)}
-    return Transducer(0, arcs | {(k, END): (0, END, 0.0) for k in range(3)})
+def reports() -> Transducer:
+    """State 1 after a word of reporting, up to the clause's end; 2 in a quotation that followed it."""
+    arcs = {(k, REPORT): (max(1, k), OTHER, 0.0) for k in range(3)}
+    arcs |= {(0, QUOTE): (0, OTHER, 0.0), (1, QUOTE): (2, OTHER, 0.0), (2, QUOTE): (0, OTHER, 0.0), (1, END): (0, END, 0.0)}
+    return Transducer(0, arcs | {(k, s): (k, REPORTED, 0.0) for k in (1, 2) for s in _MEANT})
 
 
-def _weights() -> Transducer:
+def targets() -> Transducer:
+    """State 1 with a target in the clause; 2 with an insult and 3 with a threat that wait for one."""
+    arcs = {(0, TARGET): (1, OTHER, 0.0), (1, TARGET): (1, OTHER, 0.0), (2, TARGET): (1, INSULT_THEN_TARGET, 0.0), (3, TARGET): (1, THREAT_THEN_TARGET, 0.0)}
+    for k in (0, 2, 3):
+        arcs |= {(k, INSULT): (max(2, k), INSULT, 0.0), (k, THREAT): (3, THREAT, 0.0)}
+    arcs |= {(1, INSULT): (1, DIRECT_INSULT, 0.0), (1, THREAT): (1, DIRECT_THREAT, 0.0), (1, HARM): (1, HARM_TO_TARGET, 0.0)}
+    return Transducer(0, arcs | {(k, END): (0, END, 0.0) for k in range(4)})
+
+
+def worths() -> Transducer:
     return Transducer(0, {(0, s): (0, s, w) for s, w in WORTH.items()})
 
 
 def grammar() -> Transducer:
-    symbols = OTHER + INSULT + WEAKER + THREAT + TARGET + NEGATION + REPORT + QUOTE + END
-    machine = _negation()
-    for part in (_report(), _target(), _weights()):
-        machine = compose(machine, part, symbols)
+    machine = insults()
+    for part in (threats(), negations(), reports(), targets(), worths()):
+        machine = compose(machine, part, SYMBOLS)
     return machine
 
 
+def lexical(token: str, lexicon: dict[str, float], fixed: dict[str, str]) -> tuple[str, float]:
+    """(symbol, strength) of a token: the stronger of its learned terms, else its fixed list."""
+    if token in _ENDS:
+        return END, 0.0
+    if token in _QUOTES:
+        return QUOTE, 0.0
+    best = max((lexicon.get(t, 0.0) for t in terms_of(token)), default=0.0)
+    if best >= STRONG:
+        return ABUSE, best
+    if token in fixed:
+        return fixed[token], STRONG if fixed[token] == ABUSE else 1.0
+    return (WEAK_WORD, best) if best else (OTHER, 0.0)
+
+
+def fixed_words() -> dict[str, str]:
+    lists = ((INTENT, INTENTIONS), (HARM, THREATS_OF_HARM), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (ABUSE, INSULT_WORDS))
+    return {w: s for s, words in lists for w in words.split()}
+
+
+def summary(clauses: list[tuple[float, set[str]]], n_clauses: int, n_words: int) -> np.ndarray:
+    """Features of a document from its matched clauses (score, events)."""
+    scores = [x for x, _ in clauses]
+    kinds = [sum(1 for _, events in clauses if events & kind) for kind in (DIRECT, INSULTS, THREATS)]
+    return np.array([1.0, math.log1p(sum(scores)), math.log1p(max(scores, default=0.0)), *map(math.log1p, kinds), len(clauses) / max(1, n_clauses), math.log1p(n_words) / 10])
+
+
 class Scorer:
     """features(text) by a lexicon of words and stems (ending in *) to strengths."""
 
     def __init__(self, lexicon: dict[str, float]):
-        self.machine, self.lexicon, self.kept = grammar(), lexicon, {}
-        self.fixed = {w: (s, 1.0) for s, words in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in words.split()}
-        self.fixed |= {w: (INSULT, STRONG) for w in INSULTS.split()}
-
-    def symbol(self, token: str) -> tuple[str, float]:
-        if token in _ENDS:
-            return END, 0.0
-        if token in _QUOTES:
-            return QUOTE, 0.0
-        best = max((self.lexicon.get(t, 0.0) for t in terms_of(token)), default=0.0)
-        if best >= STRONG:
-            return INSULT, best
-        return self.fixed.get(token) or ((WEAKER, best) if best else (OTHER, 0.0))
+        self.machine, self.lexicon, self.fixed, self.kept = grammar(), lexicon, fixed_words(), {}
 
     def features(self, text: str) -> np.ndarray:
         tokens = _TOKEN.findall(text.lower())
@@ -152,22 +211,23 @@ class Scorer:
             kept.clear()
             new = set(tokens)
         for t in new:
-            kept[t] = self.symbol(t)
+            kept[t] = lexical(t, self.lexicon, self.fixed)
         read = [kept[t] for t in tokens]
-        events, evidence, most, words = Counter(), 0.0, 0.0, len(tokens)
-        if any(s in "iwh" for s, _ in read):
-            state, clause = self.machine.start, 0.0
+        clauses, ends = [], 1 + sum(s == END for s, _ in read)
+        if any(s in "awv" for s, _ in read):
+            arcs, state, score, events = self.machine.arcs, self.machine.start, 0.0, set()
             for s, strength in read:
-                state, out, w = self.machine.step(state, s)
+                state, out, w = arcs[state, s]
                 if w:
-                    clause += w * max(strength, 1.0)
-                    events["I" if out == "d" else out] += 1
-                elif s == END and clause:
-                    evidence += clause
-                    most, clause = max(most, clause), 0.0
-            evidence += clause
-            most = max(most, clause)
-        return np.array([1.0, math.log1p(evidence), math.log1p(most), *(math.log1p(events[e]) for e in EVENTS[:2]), math.log1p(events["H"] + events["h"]), *(math.log1p(events[e]) for e in ("w", "x", "p")), math.log1p(words) / 10])
+                    score += w * max(strength, 1.0)
+                    events.add(out)
+                elif s == END and score:
+                    if score >= MATCH:
+                        clauses.append((score, events))
+                    score, events = 0.0, set()
+            if score >= MATCH:
+                clauses.append((score, events))
+        return summary(clauses, ends, len(tokens))
 
 
 def terms_of(word: str) -> Iterator[str]:
@@ -179,7 +239,7 @@ def terms_of(word: str) -> Iterator[str]:
 
 
 def _all_terms(text: str) -> set[str]:
-    return {t for w in set(_TOKEN.findall(text.lower())) if w not in _ENDS and w not in _QUOTES and len(w) <= 40 for t in terms_of(w)}
+    return {t for w in set(_TOKEN.findall(text.lower())) if w not in _ENDS and w not in _QUOTES for t in terms_of(w)}
 
 
 def _count_terms(rows: DataFrame, known: set[str] | None) -> DataFrame:
@@ -241,7 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         return {}, DEFAULT
     often = _count_terms(rows.where("__toxic = 1"), None)
     often = materialize(often, "toxicity")
-    top = often.groupBy("term").agg(F.sum("n").alias("all")).where(F.col("all") >= max(LEAST_DOCS, LEAST_SHARE * n[1].sum() / 2)).orderBy(F.desc("all"), "term").limit(MOST_TERMS)
+    top = often.groupBy("term").agg(F.sum("n").alias("all")).where(F.col("all") >= max(LEAST_DOCS, LEAST_SHARE * n[1].sum() / 2))
     candidates = {r["term"] for r in top.select("term").collect()}
     toxic = [{}, {}]
     for r in often.join(F.broadcast(top.select("term")), "term", "left_semi").collect():
@@ -260,13 +320,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
 
     made = rows.mapInArrow(run, "x array<double>, y int").toArrow()
     x, y = np.array(made["x"].to_pylist()), made["y"].to_numpy().astype(float)
+    order = np.lexsort((y, *x.T))  # rows arrive in any order, sums shouldn't
+    x, y = x[order], y[order]
     return both, fit_logistic(x, y)
 
 
 def score(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarray, id_col: str, text_col: str) -> DataFrame:
     """(id, score) of each row, in one pass without a shuffle."""
     kind = docs.schema[id_col].dataType.simpleString()
-    sent = session_of(docs).sparkContext.broadcast((lexicon, weights))  # MOST_TERMS terms at most
+    sent = session_of(docs).sparkContext.broadcast((lexicon, weights))  # terms of fit_rows documents at most, each in LEAST_SHARE of those labelled toxic
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, w = sent.value

@@ -9,40 +9,54 @@ import numpy as np
 from cellweave.llm import toxicity as t
 
 SCHEMA = "doc_id bigint, text string, score string, __id string"
-SYMBOLS = t.OTHER + t.INSULT + t.WEAKER + t.THREAT + t.TARGET + t.NEGATION + t.REPORT + t.QUOTE + t.END
+SYMBOLS = t.SYMBOLS
 
 
 def plain(symbols: str) -> list[str]:
-    """The event of each symbol, one rule after another."""
-    out, since, report, target, pending = [], 9, 0, False, False
-    for s in symbols:
-        since += 1
-        event = s
-        if s == t.NEGATION:
-            since, event = 0, t.OTHER
-        elif s in "iwh" and since <= 3:
-            event, since = "x", 9
-        if event in "iwh" and report:
-            event = "p"
-        if s == t.REPORT:
-            report, event = report or 1, t.OTHER
-        if s == t.QUOTE:
-            report, event = {0: 0, 1: 2, 2: 0}[report], t.OTHER
-        if event == t.TARGET:
-            event, target, pending = ("d" if pending else t.OTHER), True, False
-        elif event == t.INSULT:
-            event, pending = ("I", False) if target else ("i", True)
-        elif event == t.THREAT:
-            event = "H" if target else "h"
-        if s == t.END:
-            since, report, target, pending = 9, 2 if report == 2 else 0, False, False
-        out.append(event)
+    """The event of each symbol, one rule after another over whole clauses, without any machine."""
+    out, quoted = [], False
+    clauses = symbols.replace(".", ". ").split(" ")
+    for clause in clauses:
+        said = list(clause)
+        for k, s in enumerate(clause):  # insult: an abusive word, or a weak one within two words after another
+            if s == "a" or (s == "w" and "w" in clause[max(0, k - 2) : k]):
+                said[k] = "i"
+        intent = -9
+        for k, s in enumerate(clause):  # threat: a verb of harm within three words after an intention that no other verb took up
+            if s == "v":
+                said[k], intent = ("T" if k - intent <= 3 else "v"), -9
+            elif s == "k":
+                said[k], intent = "o", k
+        no = -9
+        for k, s in enumerate(said):
+            if s in "iTvw":
+                said[k], no = ("x" if k - no <= 3 else s), -9
+            elif s == "n":
+                said[k], no = "o", k
+        told = False
+        for k, s in enumerate(said):
+            if s in "iTvw" and (told or quoted):
+                said[k] = "p"
+            elif s == "r":
+                said[k], told = "o", True
+            elif s == "q":
+                quoted, told, said[k] = (told and not quoted), False, "o"
+        target, waits = False, ""
+        for k, s in enumerate(said):
+            if s == "t":
+                said[k] = {"": "o", "i": "d", "T": "D"}[waits]
+                target, waits = True, ""
+            elif target and s in "iTv":
+                said[k] = {"i": "I", "T": "H", "v": "g"}[s]
+            elif s in "iT":
+                waits = "T" if "T" in (s, waits) else "i"
+        out += said
     return out
 
 
 def test_the_composed_machine():
     m, rng = t.grammar(), random.Random(7)
-    for _ in range(4000):
+    for _ in range(6000):
         symbols = "".join(rng.choice(SYMBOLS) for _ in range(rng.randint(1, 14)))
         state, got = m.start, []
         for s in symbols:
@@ -52,6 +66,31 @@ def test_the_composed_machine():
         assert got == plain(symbols), symbols
 
 
+def plain_score(text, lexicon, weights):
+    """A document's score by the plain rules."""
+    read = [t.lexical(x, lexicon, t.fixed_words()) for x in t._TOKEN.findall((text or "").lower())]
+    events = plain("".join(s for s, _ in read))
+    clauses, now = [], []
+    for (s, strength), e in zip([*read, (t.END, 0.0)], [*events, t.END], strict=True):
+        if s == t.END:
+            clauses.append((sum(w for w, _ in now), {e for _, e in now}))
+            now = []
+        elif e in t.WORTH:
+            now.append((t.WORTH[e] * max(strength, 1.0), e))
+    x = t.summary([c for c in clauses if c[0] >= t.MATCH], len(clauses), len(read))
+    return 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+
+
+def test_scores_of_a_table_follow_the_plain_rules(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    lexicon, weights = t.fit(docs, labels, "doc_id", "text", "toxic")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    got = {r.doc_id: r.score for r in t.score(docs, lexicon, weights, "doc_id", "text").collect()}
+    assert lexicon and set(got) == set(texts)
+    assert max(abs(got[d] - plain_score(x, lexicon, weights)) for d, x in texts.items()) < 1e-9
+
+
 def test_clauses_count_more_than_words():
     s, w = t.Scorer({}), t.DEFAULT
 
@@ -60,7 +99,15 @@ def test_clauses_count_more_than_words():
 
     direct, bare, negated, reported = of("You are an idiot."), of("An idiot."), of("You are not an idiot."), of("He said “you idiot” to me.")
     assert direct > bare > negated and direct > reported and direct > of("You are here. An idiot.")
-    assert of("") < 0.1 and of("kill you") < of("you kill") and of("Nothing here.") < 0.1
+    assert of("") < 0.1 and of("kill you") < of("I will kill you") and of("Nothing here.") < 0.1
+    assert of("He said he will kill you") < of("He will kill you") > of("He will not kill you")
+
+
+def test_contradictory_labels(spark):
+    docs = spark.createDataFrame([(k, f"word{k} you idiot") for k in range(12)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, y) for k in range(12) for y in (0, k % 2)], "doc_id bigint, toxic int")
+    one = spark.createDataFrame([(k, k % 2) for k in range(12)], "doc_id bigint, toxic int")
+    assert (t.fit(docs, labels, "doc_id", "text", "toxic")[1] == t.fit(docs, one, "doc_id", "text", "toxic")[1]).all()  # the greatest label holds
 
 
 def test_every_kind_of_row(spark):
