@@ -61,7 +61,7 @@ from cellweave.llm.common import discard, fresh, materialize
 ORDER = 5
 PAD, NUL = 0x10FFFF, 0x10FFFE
 #: Characters that are looked at at once.
-AT_ONCE = 1_000_000
+AT_ONCE = 500_000
 BLOCK_BYTES = 16_000_000
 #: Shards of the model; the contexts of a character are in each of SPREAD parts that its successors are dealt over.
 SHARDS, SPREAD = 128, 8
@@ -118,13 +118,29 @@ class Codes:
         for text in texts:
             for at in range(0, len(text), AT_ONCE):
                 used[symbols(text[at : at + AT_ONCE])] = True
+        self.alphabet = np.flatnonzero(used).astype(np.uint32)
         self.dense = np.cumsum(used, dtype=np.uint32)
-        self.exact = int(self.dense[-1]) < PACKED
+        self.exact = len(self.alphabet) < PACKED
         for self.radix in (PACKED,) if self.exact else MULTIPLIERS:
-            if self._found(texts):
+            if self._packed(texts) if self.exact else self._found(texts):
                 return
         raise RuntimeError("hashes of different n-grams agree under every multiplier")
 
+    def _packed(self, texts: list[str]) -> bool:
+        """Find keys, grams (their characters, a row each) and counts: the key says the characters."""
+        keys, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for flat, at, _ in windows(texts):
+            key, n = np.unique(self.of(flat, at), return_counts=True)
+            keys.append(key)
+            counts.append(n)
+        every = np.concatenate(keys)
+        self.keys = np.unique(every)
+        self.counts = np.bincount(np.searchsorted(self.keys, every), np.concatenate(counts), len(self.keys)).astype(np.int64)
+        bits = PACKED.bit_length() - 1
+        places = [(self.keys >> np.uint64(bits * (ORDER - 1 - k))) & np.uint64(PACKED - 1) for k in range(ORDER)]
+        self.grams = self.alphabet[np.stack(places, axis=1).astype(np.int64) - 1]
+        return True
+
     def of(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
         dense = self.dense[flat].astype(np.uint64)
         code = np.zeros(max(0, len(flat) - ORDER + 1), np.uint64)
@@ -133,13 +149,13 @@ class Codes:
         return code[at]
 
     def _found(self, texts: list[str]) -> bool:
-        """Find keys, grams (their characters, a row each) and counts; False if a code stands for two n-grams."""
+        """The same by hashes; False if one stands for two n-grams."""
         keys, grams, counts = [np.empty(0, np.uint64)], [np.empty((0, ORDER), np.uint32)], [np.empty(0, np.int64)]
         for flat, at, _ in windows(texts):
             code = self.of(flat, at)
             key, first, n = np.unique(code, return_index=True, return_counts=True)
             gram = flat[at[first][:, None] + np.arange(ORDER)]
-            if not self.exact and (flat[at[:, None] + np.arange(ORDER)] != gram[np.searchsorted(key, code)]).any():
+            if (flat[at[:, None] + np.arange(ORDER)] != gram[np.searchsorted(key, code)]).any():
                 return False
             keys.append(key)
             grams.append(gram)
@@ -148,7 +164,7 @@ class Codes:
         self.keys, first, place = np.unique(every, return_index=True, return_inverse=True)
         self.grams = all_grams[first]
         self.counts = np.bincount(place, np.concatenate(counts), len(self.keys)).astype(np.int64)
-        return self.exact or bool((self.grams[place] == all_grams).all())
+        return bool((self.grams[place] == all_grams).all())
 
 
 def texts_of(column: pa.Array) -> list[str]:
