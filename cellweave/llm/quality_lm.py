@@ -61,8 +61,8 @@ from cellweave.llm.common import discard, fresh, materialize
 ORDER = 5
 PAD, NUL = 0x10FFFF, 0x10FFFE
 #: Characters that are looked at at once.
-AT_ONCE = 500_000
-BLOCK_BYTES = 16_000_000
+AT_ONCE = 300_000
+BLOCK_BYTES = 8_000_000
 #: Shards of the model; the contexts of a character are in each of SPREAD parts that its successors are dealt over.
 SHARDS, SPREAD = 128, 8
 #: Partitions of documents, of a few blocks each, whose requests meet the same copy of a shard.
@@ -178,8 +178,11 @@ def blocks_of(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.Table]:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
         start, base = 0, 0
         while (i := int(np.searchsorted(ends - base + size, BLOCK_BYTES))) < len(ends):
-            yield pa.Table.from_batches([*held, batch.slice(start, i + 1 - start)])
-            held, size, start, base = [], 0, i + 1, int(ends[i])
+            held.append(batch.slice(start, i + 1 - start))
+            block, held = pa.Table.from_batches(held), []
+            yield block
+            del block
+            size, start, base = 0, i + 1, int(ends[i])
         if start < len(ends):
             held.append(batch.slice(start))
             size += int(ends[-1]) - base
@@ -278,17 +281,23 @@ def _asked(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[pa.Record
     """A row (key, block, shard, n, grams) for each block and shard: its different n-grams, compressed by place."""
     press = zstandard.ZstdCompressor(level=3)
     copy = TaskContext.get().partitionId() // MANY_BLOCKS % copies
-    for number, block in enumerate(blocks_of(batches, 0)):
+
+    def rows(block: pa.Table, number: int) -> pa.RecordBatch:
         texts = texts_of(block.column(0))
-        grams = Codes(texts).grams
-        if not len(grams):
-            continue
-        name, to = block_id(texts, number), shard(grams[:, ORDER - 2], grams[:, ORDER - 1])
+        name, grams = block_id(texts, number), Codes(texts).grams
+        to = shard(grams[:, ORDER - 2], grams[:, ORDER - 1])
         order = np.argsort(to, kind="stable")
         found, first = np.unique(to[order], return_index=True)
-        parts = np.split(order, first[1:])
+        parts = np.split(order, first[1:]) if len(order) else []
         packed = [press.compress(np.ascontiguousarray(grams[p].T).tobytes()) for p in parts]
-        yield pa.RecordBatch.from_arrays([pa.array(found + copy * SHARDS), pa.array([name] * len(found)), pa.array(found.astype(np.int32)), pa.array([len(p) for p in parts], pa.int32()), pa.array(packed, pa.binary())], names=["key", "block", "shard", "n", "grams"])
+        return pa.RecordBatch.from_arrays([pa.array(found + copy * SHARDS, pa.int64()), pa.array([name] * len(found), pa.int64()), pa.array(found.astype(np.int32)), pa.array([len(p) for p in parts], pa.int32()), pa.array(packed, pa.binary())], names=["key", "block", "shard", "n", "grams"])
+
+    number, blocks = 0, blocks_of(batches, 0)
+    while (block := next(blocks, None)) is not None:
+        made = rows(block, number)
+        del block  # before the next one is brought together
+        yield made
+        number += 1
 
 
 def _fixed(points: np.ndarray) -> pa.Array:
@@ -335,12 +344,20 @@ def _answered(asked: pa.Table, model: pa.Table, alphabet: int) -> pa.Table:
 
 def _packed_blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
     """A row (block, rows) for each block: all columns, compressed."""
-    for number, block in enumerate(blocks_of(batches, at)):
-        sink = pa.BufferOutputStream()
+
+    def row(block: pa.Table, number: int) -> pa.RecordBatch:
+        name, sink = block_id(texts_of(block.column(at)), number), pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, block.schema) as out:  # compressed as one, so that columns that say the same cost once
             out.write_table(block.combine_chunks())
         packed = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
-        yield pa.RecordBatch.from_arrays([pa.array([block_id(texts_of(block.column(at)), number)]), pa.array([packed], pa.binary())], names=["block", "rows"])
+        return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([packed], pa.binary())], names=["block", "rows"])
+
+    number, blocks = 0, blocks_of(batches, at)
+    while (block := next(blocks, None)) is not None:
+        made = row(block, number)
+        del block
+        yield made
+        number += 1
 
 
 def _summed(packed: pa.Table, answers: pa.Table, at: int, schema: pa.Schema) -> pa.Table:
