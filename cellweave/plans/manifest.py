@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from cellweave.functions.timeline import Duration, Span, deliveries, epochs
 from cellweave.operators import reduce, resolve
+from cellweave.plans import plugins
 
 AGGREGATES = ("vote", "best", "median", "mean", "min", "max", "percentile", "score_weighted", "inverse_variance", "none")
 
@@ -213,16 +214,17 @@ def at_epochs(looks: DataFrame, spans: Sequence[Span], when: str, out: str = "ep
     return met.withColumn(out, F.col("e0")).drop("__day", "e0", "e1")
 
 
-def deliver(manifest: Manifest, looks: DataFrame, keys: Sequence[str] = ("cell",), order: Sequence[str] = ("acquired", "oid", "line")) -> DataFrame:
+def deliver(manifest: Manifest, looks: DataFrame, keys: Sequence[str] = ("cell",), order: Sequence[str] = ("acquired", "oid", "line"), reducers: Sequence = ()) -> DataFrame:
     """The products: looks to epoch winners to delivered layers, one row a cell and delivery period.
 
     Epochs and periods come from the manifest as a small bridge table; winners are found once and shared by all periods.
+    reducers: plug-ins for what the declared vocabulary can't say; they read the winners of a period's epochs.
     """
     from pyspark.sql import functions as F
 
     spark = looks.sparkSession
     bridge = [(p.start, e.start, k) for p in manifest.time.deliveries() for k, e in enumerate(p.epochs)]
-    sources = sorted({x.source for x in manifest.layers} - {"acquired"})
+    sources = sorted({x.source for x in manifest.layers}.union(*[r.requires for r in reducers]) - {*keys, *order, "score", "epoch_start"})
     at = at_epochs(looks, manifest.time.epochs(), "acquired")
     snaps = resolve.snapshots(at, [*keys, "epoch_start"], order, sources)
     periods = spark.createDataFrame(bridge, "period timestamp, epoch_start timestamp, epoch int")
@@ -240,5 +242,8 @@ def deliver(manifest: Manifest, looks: DataFrame, keys: Sequence[str] = ("cell",
             if "spread" in one.columns:
                 one = one.withColumnRenamed("spread", f"{x.name}_spread")
         out = one if out is None else out.join(one, by)
+    for r in reducers:
+        one = plugins.apply_reducer(rows, by, r)
+        out = one if out is None else out.join(one, by)
     counts = reduce.epoch_counts(rows, by)
     return counts if out is None else out.join(counts, by)
