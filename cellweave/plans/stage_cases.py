@@ -92,7 +92,7 @@ def plugin_mapper(spark, d):
 
 
 _AT = "(-10.003 + col * 0.07) AS lon, (40.001 - row * 0.05) AS lat"
-_PIXEL = "(lon + 180) / 360 * 65536 AS x, (0.5 - ln(tan(pi() / 4 + radians(lat) / 2)) / (2 * pi())) * 65536 AS y"
+_PIXEL = "(lon + 180) / 360 * 2048 AS x, (0.5 - ln(tan(pi() / 4 + radians(lat) / 2)) / (2 * pi())) * 2048 AS y"
 
 
 def _placed(spark, d):
@@ -103,7 +103,7 @@ def _placed(spark, d):
 SELECT floor(x)::BIGINT AS px, floor(y)::BIGINT AS py, round(avg(value), 6)::DOUBLE AS value FROM p GROUP BY 1, 2""")
 def mosaic_mean(spark, d):
     cells = _placed(spark, d).where("lat BETWEEN -85 AND 85")
-    return sinks.mosaic(cells, 8, ["value"], False).select("px", "py", F.round("value", 6).alias("value"))
+    return sinks.mosaic(cells, 3, ["value"], False).select("px", "py", F.round("value", 6).alias("value"))
 
 
 @query(f"""WITH {RASTER_SQL}, placed AS (SELECT *, {_AT} FROM raster), p AS (SELECT *, {_PIXEL} FROM placed WHERE lat BETWEEN -85 AND 85)
@@ -111,7 +111,7 @@ SELECT floor(x)::BIGINT AS px, floor(y)::BIGINT AS py, cls FROM p
 QUALIFY row_number() OVER (PARTITION BY floor(x), floor(y) ORDER BY round((x - floor(x) - 0.5) ** 2 + (y - floor(y) - 0.5) ** 2, 9), row, col) = 1""")
 def mosaic_nearest(spark, d):
     cells = _placed(spark, d).where("lat BETWEEN -85 AND 85")
-    return sinks.mosaic(cells, 8, ["cls"], True)
+    return sinks.mosaic(cells, 3, ["cls"], True)
 
 
 @query(f"WITH {RASTER_SQL} SELECT cls % 4 AS period, 'classes' AS asset, count(DISTINCT row // 8 * 8 + col // 8) AS tiles, min(col)::DOUBLE AS west, min(row)::DOUBLE AS south, max(col) + 1.0::DOUBLE AS east, max(row) + 1.0::DOUBLE AS north FROM raster GROUP BY 1")
