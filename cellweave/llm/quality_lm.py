@@ -47,6 +47,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -134,8 +135,11 @@ class Codes:
             keys.append(key)
             counts.append(n)
         every = np.concatenate(keys)
-        self.keys = np.unique(every)
-        self.counts = np.bincount(np.searchsorted(self.keys, every), np.concatenate(counts), len(self.keys)).astype(np.int64)
+        order = np.argsort(every)
+        every = every[order]
+        first = np.flatnonzero(np.append(True, every[1:] != every[:-1])[: len(every)])
+        self.keys = every[first]
+        self.counts = np.add.reduceat(np.concatenate(counts)[order], first) if len(first) else np.empty(0, np.int64)
         bits = PACKED.bit_length() - 1
         places = [(self.keys >> np.uint64(bits * (ORDER - 1 - k))) & np.uint64(PACKED - 1) for k in range(ORDER)]
         self.grams = self.alphabet[np.stack(places, axis=1).astype(np.int64) - 1]
@@ -375,9 +379,9 @@ def _summed(packed: pa.Table, answers: pa.Table, at: int, schema: pa.Schema) ->
             raise RuntimeError("the rows of a block came in another order than before; write them to a table first")
         logp = np.empty(len(order), np.float64)
         logp[order] = said
-        nll, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        nll, n, places = np.zeros(len(texts)), np.zeros(len(texts), np.int64), pd.Index(codes.keys)
         for flat, where, who in windows(texts):
-            nll -= np.bincount(who, logp[np.searchsorted(codes.keys, codes.of(flat, where))], len(texts))
+            nll -= np.bincount(who, logp[places.get_indexer(codes.of(flat, where))], len(texts))
             n += np.bincount(who, minlength=len(texts))
         done.append(pa.Table.from_arrays([*block.columns, pa.chunked_array([nll]), pa.chunked_array([n])], schema=schema))
     return pa.concat_tables(done) if done else schema.empty_table()
