@@ -63,7 +63,7 @@ ORDER = 5
 PAD, NUL = 0x10FFFF, 0x10FFFE
 #: Characters that are looked at at once.
 AT_ONCE = 300_000
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 6_000_000
 #: Shards of the model; the contexts of a character are in each of SPREAD parts that its successors are dealt over.
 SHARDS, SPREAD = 128, 8
 #: Partitions of documents, of a few blocks each, whose requests meet the same copy of a shard.
