@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cellweave.llm import chat, exact_dedup, mixing, packing, quality_lm, quality_rules, secrets, simhash, toxicity
+from cellweave.llm import chat, exact_dedup, fim, lloyd, mixing, packing, quality_lm, quality_rules, repeats, secrets, simhash, toxicity
 from cellweave.llm.common import reachable
 
 QUERIES = {
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_clause_grammar": toxicity.op8_clause_grammar,
     "op9_chunk_recipes": exact_dedup.op9_chunk_recipes,
     "op10_best_fit": packing.op10_best_fit,
+    "op11_fill_in_middle": fim.op11_fill_in_middle,
+    "op12_radix_repeats": repeats.op12_radix_repeats,
+    "op13_delta_lloyd": lloyd.op13_delta_lloyd,
 }
 QUERIES = {name: reachable(query) for name, query in QUERIES.items()}
 ORACLE_SQL = {
@@ -23,4 +26,6 @@ ORACLE_SQL = {
     "op3_prefix_rendering": chat.ORACLE,
     "op4_source_mix": mixing.ORACLE,
     "op9_chunk_recipes": exact_dedup.ORACLE,
+    "op11_fill_in_middle": fim.ORACLE,
+    "op13_delta_lloyd": lloyd.ORACLE,
 }
