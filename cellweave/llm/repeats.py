@@ -6,10 +6,11 @@ significant digits, a pass a digit. A digit may be any function of the window's
 own bytes, since equal windows then have equal digits, and only the groups
 matter. These digits keep suffixes together that stand together:
 
-1. The window's anchor: of its ANCHOR-byte strings the one with the least hash,
-   the first of several. A run of some 18 suffixes shares one, so it moves once.
+1. The window's anchor: of its ANCHOR-byte strings the one whose first bytes
+   have the least hash, the first of several. A run of some 14 suffixes shares
+   one, so it moves once.
 2. The run: the bytes that all suffixes of the run cover, the same for copies.
-3. The whole window, 128 bits of hash over all its bytes.
+3. The whole window, 96 bits of hash over all its bytes.
 
 A suffix goes to the next pass only while its group isn't settled: groups of
 one document drop out after pass 1; after pass 2 all but the run's first
@@ -48,7 +49,9 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.common import materialize, scratch_dir, session_of, table
 
-LENGTH, ANCHOR = 50, 16
+LENGTH, ANCHOR = 50, 24
+#: Bits of an anchor's digit: it only tells which suffixes go on. Those of runs and windows, which decide, have 96.
+ANCHOR_BITS = 48
 #: Bytes of the texts in a block, window starts that are looked at in one go, and different digits in a shard, about.
 BLOCK_BYTES, SLAB, SHARD_KEYS = 8 << 20, 1 << 18, 1 << 20
 _U = np.uint64
@@ -100,7 +103,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, slab: int
     for a in range(0, len(data) - length + 1, slab):
         b = min(a + slab, len(data) - length + 1)
         w = words(data[a : b + length - 1])
-        key = _fold(_fold(np.full(len(w) - 8, 7, np.uint64), w[:-8], 0), w[8:], 0)
+        key = _fold(_fold(np.full(len(w) - 8, 7, np.uint64), w[:-8], 0), w[8:], 0)[: len(w) + 8 - ANCHOR]
         key = (key & ~low_bits) | np.arange(len(key), dtype=np.uint64)
         done = 1
         while done < width:
@@ -159,7 +162,7 @@ class Block:
         self.count, anchor = unpack(row["count"], np.uint8).astype(np.int64), unpack(row["anchor"], np.uint8)
         self.doc = self.ids[np.searchsorted(self.offsets, self.first, side="right") - 1]
         self.words = words(self.data)
-        self.anchor = digest(self.words, self.first + anchor, ANCHOR, 0)[:, None]
+        self.anchor = (digest(self.words, self.first + anchor, ANCHOR, 0) >> _U(64 - ANCHOR_BITS))[:, None]
 
     def _asked(self, keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The different keys in order, the least low and the greatest high of each, and for each row of keys its place among them."""
@@ -173,16 +176,31 @@ class Block:
             return keys, low, high, place
         return sorted_keys[at], np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at), place
 
-    def asks(self, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Kind 1: anchors and their documents. 2: live anchors and their runs. 3: live runs and their documents. 4: windows of unsettled runs and their documents."""
+    @staticmethod
+    def _hashed(*parts: np.ndarray) -> np.ndarray:
+        return np.stack([parts[0], parts[1] & _U(0xFFFFFFFF)], axis=1)
+
+    def asks(self, kind: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(keys, low, high, shard, place). Kind 1: anchors, and whether several documents here have them. 2: live anchors and their runs. 3: live runs and their least document. 4: windows of unsettled runs and their least document."""
         if kind == 1:
-            return self._asked(self.anchor, self.doc, self.doc)
-        if kind == 2:
+            keys, low, high, place = self._asked(self.anchor, self.doc, self.doc)
+            low, high = np.full(len(keys), 2 * self.number), 2 * self.number + (low != high)
+        elif kind == 2:
             said = self.run[:, 0].view(np.int64)
-            return self._asked(self.anchor[self.live], said, said)
-        if kind == 3:
-            return self._asked(self.run, self.doc[self.live], self.doc[self.live])
-        return self._asked(np.stack([digest(self.words, self.window, self.length, k) for k in (0, 2)], axis=1), self.window_doc, self.window_doc)
+            keys, low, high, place = self._asked(self.anchor[self.live], said, said)
+        else:
+            keys, low, _, place = self._asked(self.run, *[self.doc[self.live]] * 2) if kind == 3 else self._asked(self._windows(), self.window_doc, self.window_doc)
+            high = low
+        shard = (keys[:, 0] >> _U((ANCHOR_BITS if kind < 3 else 64) - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+        if kind > 2:  # random keys, so the order is the documents'
+            order = np.lexsort((low, shard))
+            back = np.empty_like(order)
+            back[order] = np.arange(len(order))
+            keys, low, high, shard, place = keys[order], low[order], high[order], shard[order], back[place]
+        return keys, low, high, shard, place
+
+    def _windows(self) -> np.ndarray:
+        return self._hashed(*[digest(self.words, self.window, self.length, k) for k in (0, 2)])
 
     def take(self, kind: int, low: np.ndarray, high: np.ndarray, place: np.ndarray) -> None:
         """What pass `kind` found: the least low and the greatest high of each of the keys that were asked."""
@@ -191,7 +209,7 @@ class Block:
             self.live = np.flatnonzero(low != high)
             a, b = self.first[self.live], self.first[self.live] + self.count[self.live] - 1
             ends = [(digest(self.words, a, self.length, k), digest(self.words, b, self.length, k)) for k in (0, 2)]
-            self.run = np.stack([_fold(_fold(x, y, k), self.count[self.live].astype(np.uint64), k) for k, (x, y) in zip((0, 2), ends, strict=True)], axis=1)
+            self.run = self._hashed(*[_fold(_fold(x, y, k), self.count[self.live].astype(np.uint64), k) for k, (x, y) in zip((0, 2), ends, strict=True)])
         elif kind == 2:
             self.contested = low != high
         elif kind == 3:
@@ -215,13 +233,25 @@ class Block:
 
 
 def _sent(block: Block, kind: int, bits: int) -> Iterator[list]:
-    keys, low, high, _ = block.asks(kind)
-    shard = (keys[:, 0] >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    keys, low, high, shard, _ = block.asks(kind, bits)
     at = np.searchsorted(shard, np.arange((1 << bits) + 1))
     for s in np.flatnonzero(at[1:] > at[:-1]):
         own = slice(at[s], at[s + 1])
-        split = [np.diff(keys[own, 0], prepend=_U(0)), *keys[own, 1:].T]
-        yield [kind, int(s), block.number, pack(np.concatenate(split)), pack(low[own]), pack(high[own] - low[own])]
+        if kind < 3:
+            said = pack(np.diff(keys[own, 0], prepend=_U(0))), pack(low[own]), pack(high[own] - low[own])
+        else:
+            said = keys[own, 0].tobytes() + keys[own, 1].astype(np.uint32).tobytes(), pack(np.diff(low[own], prepend=0)), b""
+        yield [kind, int(s), block.number, *said]
+
+
+def _heard(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (a row a lane), low and high of what _sent sent."""
+    if row["kind"] < 3:
+        keys, low = np.cumsum(unpack(row["keys"], np.uint64), dtype=np.uint64)[None], unpack(row["low"], np.int64)
+        return keys, low, low + unpack(row["high"], np.int64)
+    low = np.cumsum(unpack(row["low"], np.int64))
+    n = len(low)
+    return np.stack([np.frombuffer(row["keys"][: 8 * n], np.uint64), np.frombuffer(row["keys"][8 * n :], np.uint32).astype(np.uint64)]), low, low
 
 
 def _rows(rows: list[list], names: str) -> pa.RecordBatch:
@@ -233,21 +263,18 @@ def _rows(rows: list[list], names: str) -> pa.RecordBatch:
 def _told(asked: pa.Table) -> pa.Table:
     """A shard of a pass: all its digits are ordered, equal ones meet, and each block learns what others changed."""
     kind, rows = asked["kind"][0].as_py(), asked.to_pylist()
-    lanes = 1 if kind < 3 else 2
-    parts, size = [], []
-    for r in rows:
-        flat = unpack(r["keys"], np.uint64).reshape(lanes, -1)
-        parts.append(np.concatenate([np.cumsum(flat[:1], axis=1, dtype=np.uint64), flat[1:]]))
-        size.append(flat.shape[1])
-    keys = np.concatenate(parts, axis=1)
-    low = np.concatenate([unpack(r["low"], np.int64) for r in rows])
-    high = low + np.concatenate([unpack(r["high"], np.int64) for r in rows])
+    heard = [_heard(r) for r in rows]
+    size = [len(x[1]) for x in heard]
+    keys, low, high = (np.concatenate(x, axis=-1) for x in zip(*heard, strict=True))
+    del heard
     order = np.lexsort(keys[::-1])
     ordered = keys[:, order]
     new = np.concatenate(([True], (ordered[:, 1:] != ordered[:, :-1]).any(axis=0)))
     at, group = np.flatnonzero(new), np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
     least, most = np.minimum.reduceat(low[order], at)[group], np.maximum.reduceat(high[order], at)[group]
+    if kind > 2:
+        most = least
     changed = (least != low) | (most != high)
     out, begin = [], 0
     for r, n in zip(rows, size, strict=True):
@@ -263,12 +290,11 @@ def _known(row: dict, told: list[dict], bits: dict[int, int], passes: int, lengt
     """The block after so many kinds of answers."""
     block = Block(row, length)
     for kind in range(1, passes + 1):
-        keys, low, high, place = block.asks(kind)
+        _, low, high, shard, place = block.asks(kind, bits[kind])
         low, high = low.copy(), high.copy()
-        shard = keys[:, 0] >> _U(64 - bits[kind]) if bits[kind] else np.zeros(len(keys), np.uint64)
         for t in told:
             if t["kind"] == kind:
-                spot = np.searchsorted(shard, _U(t["shard"])) + unpack(t["spot"], np.int32)
+                spot = np.searchsorted(shard, t["shard"]) + unpack(t["spot"], np.int32)
                 low[spot] = unpack(t["low"], np.int64)
                 high[spot] = low[spot] + unpack(t["high"], np.int64)
         block.take(kind, low, high, place)
