@@ -27,5 +27,6 @@ ORACLE_SQL = {
     "op4_source_mix": mixing.ORACLE,
     "op9_chunk_recipes": exact_dedup.ORACLE,
     "op11_fill_in_middle": fim.ORACLE,
+    "op12_radix_repeats": repeats.ORACLE,
     "op13_delta_lloyd": lloyd.ORACLE,
 }

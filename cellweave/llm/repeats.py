@@ -56,6 +56,8 @@ ANCHOR_BITS = 48
 BLOCK_BYTES, SLAB, SHARD_KEYS = 8 << 20, 1 << 18, 1 << 20
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
+#: Bytes of a piece of a text in SQL.
+PIECE = 500
 NO_ID = np.iinfo(np.int64).max
 _ASKED = "kind int, shard int, block bigint, keys binary, low binary, high binary"
 _TOLD = "kind int, shard int, block bigint, spot binary, low binary, high binary"
@@ -380,3 +382,19 @@ def op12_radix_repeats(spark, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
     gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Windows as hex text, so that DuckDB cuts bytes; texts go through pieces, since a place deep in a long text is found by walking to it.
+ORACLE = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT row, doc_id, {PIECE} * i AS base, substr(h, {2 * PIECE} * i + 1, {2 * (PIECE + LENGTH - 1)}) AS h FROM d, unnest(range(length(h) // {2 * PIECE} + 1)) AS u(i)),
+w AS (SELECT row, doc_id, base + i AS s, substr(h, 2 * i + 1, {2 * LENGTH}) AS x FROM p, unnest(range(least({PIECE}, length(h) // 2 - {LENGTH - 1}))) AS u(i)),
+m AS (SELECT row, doc_id, s, min(doc_id) OVER (PARTITION BY x) AS first FROM w),
+g AS (SELECT row, s, sum(new) OVER (PARTITION BY row ORDER BY s) AS run FROM (
+  SELECT row, s, CASE WHEN s - lag(s) OVER (PARTITION BY row ORDER BY s) <= {LENGTH} THEN 0 ELSE 1 END AS new FROM m WHERE first < doc_id OR (doc_id IS NULL AND first IS NOT NULL))),
+r AS (SELECT row, run, min(s) AS a, max(s) + {LENGTH} AS b FROM g GROUP BY row, run),
+e AS (SELECT row, a, b, lag(b, 1, 0) OVER (PARTITION BY row ORDER BY a) AS before FROM r),
+k AS (SELECT row, sum(b - a)::BIGINT AS n, count(*) AS spans, max(b) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM e JOIN d USING (row) GROUP BY row)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (row)
+"""
