@@ -3,8 +3,15 @@
 Every whole text is searched for credential-shaped spans. The hash of each
 candidate value is then counted over the whole corpus by distinct owners and
 distinct repositories: a value that many owners carry is a copied example, a
-value that one owner carries and that looks random is a live-looking
-credential.
+value that one owner carries, in whatever number of its repositories, and that
+looks random is a live-looking credential. Two cases lie between: a value that
+different texts of two owners hold is copied, while one text that a few owners
+hold alike may be a mirror of its owner's; it is copied once it has more than
+MAX_OWNERS owners, or more than one and MAX_REPOS repositories.
+
+The patterns use nothing but what both Java's matcher and RE2 read alike, and
+no pattern repeats a group without bound or reads a run again from many places,
+so the time grows with the text and the matcher's stack doesn't.
 
 Base kinds (assign, access, hex) are always reported, whatever their class.
 The further kinds of ADDED are candidates only: one is reported where its
@@ -43,17 +50,20 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]{12,}", 0, 16),
     ("hex", r"[0-9a-f]{32,}", 0, 32),
 )
-#: A whole private key; its value is the body, so that two keys are two values. Without its last line a key still counts.
-PEM = r"-----BEGIN [A-Z ]*PRIVATE KEY-----((?:[\x20\x09-\x0D]*(?:Proc-Type|DEK-Info):[^\x0A\x0D]*)*[\x20\x09-\x0D\\nr]*[A-Za-z0-9+/]{40,}[A-Za-z0-9+/=\\\x20\x09-\x0D]*)(?:-----END [A-Z ]*PRIVATE KEY-----)?"
+#: A whole private key with up to HEADERS header lines (the format has two); its value is the body, so that two keys are two values. Without its last line a key still counts.
+HEADERS = 8
+PEM = rf"-----BEGIN [A-Z ]*PRIVATE KEY-----((?:[\x20\x09-\x0D]*[A-Z][A-Za-z-]*:[^\x0A\x0D]*){{0,{HEADERS}}}[\x20\x09-\x0D\\nr]*[A-Za-z0-9+/]{{40,}}[A-Za-z0-9+/=\\\x20\x09-\x0D]*)(?:-----END [A-Z ]*PRIVATE KEY-----)?"
+#: A token's first part has a bound, as each place where one might begin is tried.
+JWT = r"eyJ[A-Za-z0-9_-]{8,900}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
 ADDED = (
     ("pem", PEM, 1, 40),
-    ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, 1),  # from where a run begins, so a run is read once
+    ("jwt", JWT, 0, 1),
     ("vendor", r"(?:gh[pousr]_|sk_live_|xox[abprs]-|AIza)[A-Za-z0-9_-]{16,}", 0, 1),
     ("urlcred", r"://[^\x20\x09-\x0D:@/]+:[^\x20\x09-\x0D@/]+@", 0, 1),
     ("blob", r"[A-Za-z0-9+/]{40,}", 0, 40),
 )
-#: A value with more owners than this, or in more repositories, is a copied example. A text that is there several times counts once.
-MAX_OWNERS, MAX_REPOS = 1, 2
+#: A value is a copied example if different texts of more than one owner hold it, if it has more than MAX_OWNERS owners, or more than one and more than MAX_REPOS repositories.
+MAX_OWNERS, MAX_REPOS = 3, 4
 #: A live-looking value has at least so many different characters, so many digits and so many letters.
 LIVE_DISTINCT, LIVE_DIGITS, LIVE_LETTERS = 10, 3, 3
 #: A private key is live by its form. Of urlcred the password is judged: people choose it, so it needs no digits, but so many different characters and no placeholder's form.
@@ -111,9 +121,9 @@ def _joined(spans: Column) -> Column:
 def scan_secrets(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_cols: tuple[str, ...], max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """One row for each row of docs: id, spans array<struct<start, rank, end, kind, value, n_owners, n_repos, class>> sorted by start, then kind.
 
-    class is "copied" (more than max_owners owners, or max_repos repositories, of different texts), "live" (few owners, looks live for its kind) or "weak" (few owners, doesn't).
-    Only candidate rows are shuffled, never texts: they are combined before each shuffle, by (value, text) first, so copies of a
-    text cost one row a task; of a text that several own, the first by name is its owner.
+    n_owners and n_repos count all rows that hold the value. class is "copied" (as said above), "live" (not copied, and looks
+    live for its kind) or "weak" (not copied, and doesn't). Only candidate rows are shuffled, never texts, and they are combined
+    before each shuffle: by (value, text), whose owner is the first by name of those that hold it, and by (value, repository).
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     owner = F.coalesce(F.col(owner_col).cast("string"), F.lit("unknown"))
@@ -129,10 +139,11 @@ def scan_secrets(docs: DataFrame, id_col: str, text_col: str, owner_col: str, re
     rows = materialize(rows, "secrets")  # narrow: candidates only, so that texts are searched once
     found = rows.where(F.size("__spans") > 0)
     spans = found.select("__id", "__key", "__owner", "__repo", F.explode("__spans").alias("s")).withColumn("__value", F.xxhash64("s.value"))
-    texts = spans.groupBy("__value", "__key").agg(F.min(F.struct("__owner", "__repo")).alias("o"))
-    owned = texts.groupBy("__value", "o.__owner", "o.__repo").agg(F.count("*").alias("n"))
+    texts = spans.groupBy("__value", "__key").agg(F.min("__owner").alias("o"))
+    of_texts = texts.groupBy("__value", "o").agg(F.count("*").alias("n")).groupBy("__value").agg(F.count("*").alias("n_firsts"))
+    owned = spans.groupBy("__value", "__owner", "__repo").agg(F.count("*").alias("n"))
     by_owner = owned.groupBy("__value", "__owner").agg(F.count("*").alias("repos"))
-    counts = by_owner.groupBy("__value").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
+    counts = by_owner.groupBy("__value").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos")).join(of_texts, "__value")
     counts = materialize(counts, "owners")  # so that the join stands on two plain exchanges, and Spark can split a hot value
     live = _live_looking(F.col("s.kind"), F.col("s.value"))
     known = spans.join(counts, "__value").select(
@@ -140,7 +151,7 @@ def scan_secrets(docs: DataFrame, id_col: str, text_col: str, owner_col: str, re
         "__key",
         F.struct(
             "s.start", "s.rank", "s.end", "s.kind", "s.value", "n_owners", "n_repos",
-            F.when((F.col("n_owners") > max_owners) | (F.col("n_repos") > max_repos), "copied").when(live, "live").otherwise("weak").alias("class"),
+            F.when((F.col("n_firsts") > 1) | (F.col("n_owners") > max_owners) | ((F.col("n_owners") > 1) & (F.col("n_repos") > max_repos)), "copied").when(live, "live").otherwise("weak").alias("class"),
         ).alias("span"),
     )
     kept = known.where((F.col("span.rank") < len(BASE)) | (F.col("span.class") == "live"))
@@ -189,20 +200,30 @@ def _sql_spans(rank: int, kind: str, pattern: str, group: int, least: int) -> st
     ) WHERE length({value}) >= {least}"""
 
 
-#: The SQL keeps its rule for pem, jwt and urlcred, so it answers for texts without those kinds only.
-_SQL_KINDS = [*BASE, ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1), ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1), *ADDED[2:]]
+def _sql_live() -> str:
+    def different(x: str) -> str:
+        return f"len(list_distinct(string_split({x}, '')))"
+
+    def chars(of: str) -> str:
+        return f"length(regexp_replace(value, '[^{of}]', '', 'g'))"
+
+    password = f"regexp_extract(value, '{PASSWORD}', 1)"
+    chosen = f"{different(password)} >= {PASSWORD_DISTINCT} AND NOT regexp_matches(lower({password}), '{PLACEHOLDER}')"
+    random = f"{different('value')} >= {LIVE_DISTINCT} AND {chars('0-9')} >= {LIVE_DIGITS} AND {chars('A-Za-z')} >= {LIVE_LETTERS}"
+    return f"CASE kind WHEN 'pem' THEN true WHEN 'urlcred' THEN {chosen} ELSE {random} END"
+
+
 ORACLE = f"""
 WITH texts AS (SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang, coalesce(text, '') AS t FROM documents),
-found AS ({" UNION ALL ".join(_sql_spans(k, *spec) for k, spec in enumerate(_SQL_KINDS))}),
-counts AS (
-  SELECT value, count(DISTINCT o.a) AS n_owners, count(DISTINCT o) AS n_repos
-  FROM (SELECT value, t, min({{'a': source, 'b': source || '/' || lang}}) AS o FROM (SELECT DISTINCT doc_id, source, lang, value FROM found) f JOIN (SELECT DISTINCT doc_id, t FROM texts) USING (doc_id) GROUP BY value, t)
+found AS ({" UNION ALL ".join(_sql_spans(k, *spec) for k, spec in enumerate([*BASE, *ADDED]))}),
+firsts AS (
+  SELECT value, count(DISTINCT o) AS n_firsts
+  FROM (SELECT value, t, min(source) AS o FROM (SELECT DISTINCT doc_id, source, value FROM found) f JOIN (SELECT DISTINCT doc_id, t FROM texts) USING (doc_id) GROUP BY value, t)
   GROUP BY value),
+counts AS (SELECT value, count(DISTINCT source) AS n_owners, count(DISTINCT {{'a': source, 'b': lang}}) AS n_repos FROM found GROUP BY value),
 known AS (
-  SELECT f.*, CASE WHEN n_owners > {MAX_OWNERS} OR n_repos > {MAX_REPOS} THEN 'copied'
-    WHEN len(list_distinct(string_split(value, ''))) >= {LIVE_DISTINCT} AND length(regexp_replace(value, '[^0-9]', '', 'g')) >= {LIVE_DIGITS}
-     AND length(regexp_replace(value, '[^A-Za-z]', '', 'g')) >= {LIVE_LETTERS} THEN 'live' ELSE 'weak' END AS class
-  FROM found f JOIN counts USING (value)),
+  SELECT f.*, CASE WHEN n_firsts > 1 OR n_owners > {MAX_OWNERS} OR (n_owners > 1 AND n_repos > {MAX_REPOS}) THEN 'copied' WHEN {_sql_live()} THEN 'live' ELSE 'weak' END AS class
+  FROM found f JOIN counts USING (value) JOIN firsts USING (value)),
 kept AS (SELECT *, kind || ':' || start || ':' || "end" AS said FROM known WHERE rank < {len(BASE)} OR class = 'live'),
 by_doc AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
