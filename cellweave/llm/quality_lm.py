@@ -57,7 +57,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from cellweave.llm.common import discard, fresh, materialize
+from cellweave.llm.common import discard, fresh, give_back, lean, materialize
 
 ORDER = 5
 PAD, NUL = 0x10FFFF, 0x10FFFE
@@ -209,12 +209,15 @@ def shard(before: np.ndarray, last: np.ndarray) -> np.ndarray:
     return (mixed >> np.uint64(40)).astype(np.int64) % SHARDS
 
 
+@lean
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks_of(batches, 0):
         found = Codes(texts_of(block.column(0)))
         strings = np.ascontiguousarray(found.grams).view(f"<U{ORDER}").ravel()
         for at in range(0, len(strings), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(strings[at : at + 50_000].tolist(), pa.string()), pa.array(found.counts[at : at + 50_000])], names=["g", "a"])
+        del found, strings
+        give_back()
 
 
 def train(texts: DataFrame, text_col: str) -> DataFrame:
@@ -253,6 +256,7 @@ def train(texts: DataFrame, text_col: str) -> DataFrame:
     return model
 
 
+@lean
 def _dealt(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[pa.RecordBatch]:
     """The model's rows (k, g, v) with the shards that need them: key is copy * SHARDS + shard, g its code points."""
     for batch in batches:
@@ -281,6 +285,7 @@ def _dealt(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[pa.Record
                 yield pa.RecordBatch.from_arrays([pa.array(key[at : at + 50_000] + copy * SHARDS), *part.columns], names=["key", "k", "g", "v"])
 
 
+@lean
 def _asked(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[pa.RecordBatch]:
     """A row (key, block, shard, n, grams) for each block and shard: its different n-grams, compressed by place."""
     press = zstandard.ZstdCompressor(level=3)
@@ -300,6 +305,7 @@ def _asked(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[pa.Record
     while (block := next(blocks, None)) is not None:
         made = rows(block, number)
         del block  # before the next one is brought together
+        give_back()
         yield made
         number += 1
 
@@ -309,6 +315,7 @@ def _fixed(points: np.ndarray) -> pa.Array:
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * width), rows, [None, pa.py_buffer(np.ascontiguousarray(points))])
 
 
+@lean
 def _answered(asked: pa.Table, model: pa.Table, alphabet: int) -> pa.Table:
     """(block, shard, logp) for each row of requests: of the last character of each n-gram, the longest seen first."""
     schema = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("logp", pa.binary())])
@@ -346,6 +353,7 @@ def _answered(asked: pa.Table, model: pa.Table, alphabet: int) -> pa.Table:
     return pa.table([asked["block"], asked["shard"], pa.array([press.compress(x.tobytes()) for x in parts], pa.binary())], schema=schema)
 
 
+@lean
 def _packed_blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
     """A row (block, rows) for each block: all columns, compressed."""
 
@@ -360,10 +368,12 @@ def _packed_blocks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.Re
     while (block := next(blocks, None)) is not None:
         made = row(block, number)
         del block
+        give_back()
         yield made
         number += 1
 
 
+@lean
 def _summed(packed: pa.Table, answers: pa.Table, at: int, schema: pa.Schema) -> pa.Table:
     """The rows of a block with nll and the number of characters of each."""
     done, open_ = [], zstandard.ZstdDecompressor()

@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import materialize, scratch_dir, session_of, table
+from cellweave.llm.common import lean, materialize, scratch_dir, session_of, table
 
 LENGTH, ANCHOR = 50, 24
 #: Bits of an anchor's digit: it only tells which suffixes go on. Those of runs and windows, which decide, have 96.
@@ -137,6 +137,7 @@ def _block(part: int, number: int, ids: list, texts: list[bytes], length: int) -
     return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["block", "n", "ids", "none", "sizes", "data", "first", "count", "anchor"])
 
 
+@lean
 def _blocks(batches: Iterator[pa.RecordBatch], length: int, block_bytes: int) -> Iterator[pa.RecordBatch]:
     part, number, size, ids, texts = TaskContext.get().partitionId(), 0, 0, [], []
     for batch in batches:
@@ -262,6 +263,7 @@ def _rows(rows: list[list], names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[t]) for k, (_, t) in enumerate(fields)], names=[n for n, _ in fields])
 
 
+@lean
 def _told(asked: pa.Table) -> pa.Table:
     """A shard of a pass: all its digits are ordered, equal ones meet, and each block learns what others changed."""
     kind, rows = asked["kind"][0].as_py(), asked.to_pylist()
@@ -303,12 +305,14 @@ def _known(row: dict, told: list[dict], bits: dict[int, int], passes: int, lengt
     return block
 
 
+@lean
 def _asking(batches: Iterator[pa.RecordBatch], bits: int, length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             yield _rows(list(_sent(Block(row, length), 1, bits)), _ASKED)
 
 
+@lean
 def _asking_more(own: pa.Table, told: pa.Table, kinds: tuple[int, ...], bits: dict[int, int], passes: int, length: int) -> pa.Table:
     rows = []
     for row in own.to_pylist():
@@ -318,6 +322,7 @@ def _asking_more(own: pa.Table, told: pa.Table, kinds: tuple[int, ...], bits: di
     return pa.Table.from_batches([_rows(rows, _ASKED)])
 
 
+@lean
 def _finished(own: pa.Table, told: pa.Table, bits: dict[int, int], length: int) -> pa.Table:
     (row,) = own.to_pylist()
     block = _known(row, told.to_pylist(), bits, 4, length)
@@ -367,7 +372,7 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, length: int = LE
             asked = blocks.mapInArrow(partial(_asking, bits=of[1], length=length), _ASKED)
         else:
             asked = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(asking(kinds, passes), _ASKED)
-        found = materialize(asked.groupBy("kind", "shard").applyInArrow(_told, _TOLD), "told")
+        found = materialize(asked.groupBy("kind", "shard").applyInArrow(lambda shard: _told(shard), _TOLD), "told")
         told = found if told is None else told.unionByName(found)
 
     def last(own: pa.Table, known: pa.Table) -> pa.Table:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import discard, materialize, row_key, rows_of
+from cellweave.llm.common import discard, lean, materialize, row_key, rows_of
 
 BITS = 64
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -69,6 +69,7 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view(np.uint64)[0])
 
 
+@lean
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch], shingle: int, seed: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = [simhash(shingle_hashes(t.as_py() or b"", shingle, seed)) for t in batch.column(1)]
@@ -147,6 +148,7 @@ def _collisions(prints: np.ndarray, spent: np.ndarray, bits: int, half: int) ->
     return np.concatenate(first), np.concatenate(second)
 
 
+@lean
 def _block_links(block: pa.Table, prefix_bits: int, radius: int) -> pa.Table:
     prints = np.unique(block["__print"].to_numpy().view(np.uint64))
     prefix, bits = int(block["__block"][0].as_py()), BITS - prefix_bits
