@@ -1,12 +1,11 @@
-"""Spectra: continuum removal and band depth as column functions; matched filters as grouped Arrow-batched linear algebra."""
+"""Spectra: continuum removal and band depth as column functions; matched filters stand in operators/moments.py."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -33,84 +32,3 @@ def band_depth(values: Column, wavelengths: Sequence[float], left: Sequence[int]
     removed = continuum_removed(values, wavelengths, left, right, centre)
     mean = F.aggregate(removed, F.lit(0.0), lambda a, x: a + x) / len(centre)
     return 1 - mean
-
-
-def filter_vector(x: np.ndarray, target: np.ndarray, shrink: float = 0.05) -> tuple[np.ndarray, np.ndarray] | None:
-    """(mean, w) of a matched filter: covariance held towards its diagonal; None of too few spectra."""
-    if len(x) < 2:
-        return None
-    mean = x.mean(axis=0)
-    cov = np.cov(x, rowvar=False, bias=True)
-    cov = (1 - shrink) * cov + shrink * np.diag(np.diag(cov)) + 1e-12 * np.eye(len(mean))
-    s = target - mean
-    v = np.linalg.solve(cov, s)
-    return mean, v / (s @ v)
-
-
-def window_filter(pixels: DataFrame, target: Sequence[float], stride: int, min_n: int = 20, keys: Sequence[str] = ("granule",), spectrum: str = "reflectance") -> DataFrame:
-    """(keys, row, col, mf, bg_n): matched filter with the background of lattice windows, blended.
-
-    Windows are two strides wide and begin at multiples of the stride, so every pixel lies in four; they are anchored to the
-    lattice, not to a block, and results don't depend on partitions. A pixel's four filters are weighted by tents that sum to 1;
-    windows of fewer than min_n spectra drop out and the others share their weight. One group is one window.
-    """
-    t = np.asarray(target, float)
-    at = pixels
-    for axis, w in (("row", "__wr"), ("col", "__wc")):
-        k = F.floor(F.col(axis) / stride)
-        at = at.withColumn(w, F.explode(F.array(k - 1, k)))
-
-    def window(part: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(part[spectrum].to_numpy()).astype(float)
-        ok = np.isfinite(x).all(axis=1)
-        found = filter_vector(x[ok], t) if ok.sum() >= min_n else None
-        out = part[[*keys, "row", "col"]].copy()
-        tent = np.ones(len(part))
-        for axis, w in (("row", "__wr"), ("col", "__wc")):
-            tent *= 1 - np.abs((part[axis].to_numpy() + 0.5) / stride - (part[w].to_numpy() + 1))
-        out["w"] = tent if found else 0.0
-        out["x"] = tent * ((x - found[0]) @ found[1]) if found else 0.0
-        out["n"] = float(ok.sum()) if found else 0.0
-        return out[ok]
-
-    kinds = dict(pixels.dtypes)
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in (*keys, "row", "col")), "w double", "x double", "n double"])
-    parts = at.groupBy(*keys, "__wr", "__wc").applyInPandas(window, schema)
-    blended = parts.groupBy(*keys, "row", "col").agg(F.sum("x").alias("x"), F.sum("w").alias("w"), F.sum(F.col("w") * F.col("n")).alias("n"))
-    return blended.select(*keys, "row", "col", F.when(F.col("w") > 0, F.col("x") / F.col("w")).alias("mf"), F.when(F.col("w") > 0, F.col("n") / F.col("w")).otherwise(0.0).alias("bg_n"))
-
-
-def column_filter(pixels: DataFrame, target: Sequence[float], min_n: int = 20, max_radius: int = 64, trim: float | None = 3.0, keys: Sequence[str] = ("granule",), spectrum: str = "reflectance") -> DataFrame:
-    """(keys, s_row, s_col, mf, bg_n): matched filter with the background of the detector column and, if that is short, its neighbours.
-
-    Columns take more neighbours until they have min_n spectra. With trim, pixels whose first filter lies so many standard
-    deviations out are left out of a second estimate. Each column's group holds its neighbourhood only.
-    """
-    t = np.asarray(target, float)
-    n = pixels.groupBy(*keys, "s_col").agg(F.count("*").alias("n"))
-    offers = n.withColumn("__of", F.explode(F.sequence(F.col("s_col") - max_radius, F.col("s_col") + max_radius)))  # within the radius only
-    near = offers.join(n.select(*keys, F.col("s_col").alias("__of")), [*keys, "__of"]).withColumn("r", F.abs(F.col("s_col") - F.col("__of")))
-    upto = F.sum("n").over(Window.partitionBy(*keys, "__of").orderBy("r").rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    ring = F.sum("n").over(Window.partitionBy(*keys, "__of", "r"))
-    near = near.withColumn("before", upto - ring).where((F.col("before") < min_n) | (F.col("r") == 0))
-    rows = pixels.join(near.select(*keys, "s_col", "__of"), [*keys, "s_col"])
-
-    def column(part: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(part[spectrum].to_numpy()).astype(float)
-        ok = np.isfinite(x).all(axis=1)
-        part, x = part[ok], x[ok]
-        own = (part["s_col"] == part["__of"]).to_numpy()
-        out = part.loc[own, [*keys, "s_row", "s_col"]].copy()
-        found = filter_vector(x, t) if len(x) >= min(min_n, 2) else None
-        if found and trim:
-            y = (x - found[0]) @ found[1]
-            keep = np.abs(y - y.mean()) <= trim * y.std() if y.std() > 0 else np.ones(len(y), bool)
-            found = filter_vector(x[keep], t) or found
-        out["mf"] = (x[own] - found[0]) @ found[1] if found else np.nan
-        out["bg_n"] = float(len(x)) if found else 0.0
-        return out
-
-    kinds = dict(pixels.dtypes)
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in (*keys, "s_row", "s_col")), "mf double", "bg_n double"])
-    return rows.groupBy(*keys, "__of").applyInPandas(column, schema)
-

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import columns as C
 from cellweave.functions import scorers, spectra, timeline
-from cellweave.operators import catalog, classes, lattice, publish, rank, reduce, resample, resolve
+from cellweave.operators import catalog, classes, lattice, moments, publish, rank, reduce, resample, resolve
 from cellweave.plans import gated_cases, stage_cases
 from cellweave.sources.tables import INDEX_SQL, LOOK_ORDER, LOOKS_SQL, RASTER_SQL, index, looks, raster, table
 
@@ -590,22 +590,60 @@ def band_depth(spark, d):
     return _spectra(spark, d).select("vec_id", F.round(spectra.band_depth(F.col("v"), _WAVES, _LEFT, _RIGHT, _CENTRE), 5).alias("depth"))
 
 
-def _cube(spark, d) -> DataFrame:
+def _cube(spark, d, bands: int) -> DataFrame:
     k = F.col("vec_id")
-    return table(spark, d, "embeddings").select((k % 2).alias("granule"), F.floor(k / 40).alias("row"), (k % 40).alias("col"), F.floor(k / 40).alias("s_row"), (k % 40).alias("s_col"), F.col("embedding").alias("reflectance"))
+    return table(spark, d, "embeddings").select((k % 2).alias("granule"), F.floor(k / 40).alias("row"), (k % 40).alias("col"), F.floor(k / 40).alias("s_row"), (k % 40).alias("s_col"), F.slice("embedding", 1, bands).alias("reflectance"))
 
 
-_TARGET = [(k * 7 % 11 - 5) / 10 for k in range(64)]
+_TARGET = [0.4, -0.3]
+#: Two bands, so that the filter has a closed form; tests/test_moments.py holds more bands against NumPy.
+_CUBE_SQL = "cube AS (SELECT vec_id % 2 AS granule, vec_id // 40 AS r, vec_id % 40 AS c, embedding[1]::DOUBLE AS x1, embedding[2]::DOUBLE AS x2, embedding[:6]::DOUBLE[] AS v FROM embeddings)"
 
 
-@query()
+def _solved_sql(rows: str, keys: str) -> str:
+    return f"""SELECT {keys}, n, m1, m2, v1 / (s1 * v1 + s2 * v2) AS w1, v2 / (s1 * v1 + s2 * v2) AS w2 FROM (
+  SELECT *, (d * s1 - b * s2) / (a * d - b * b) AS v1, (a * s2 - b * s1) / (a * d - b * b) AS v2 FROM (
+    SELECT * EXCLUDE (a, d), a + (a + d) / 2 * 1e-9 AS a, d + (a + d) / 2 * 1e-9 AS d, 0.4 - m1 AS s1, -0.3 - m2 AS s2 FROM (
+      SELECT {keys}, count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, var_samp(x1) AS a, var_samp(x2) AS d, 0.95 * covar_samp(x1, x2) AS b FROM {rows} GROUP BY ALL) WHERE n >= 20))"""
+
+
+_NEAR_SQL = f"""WITH {_CUBE_SQL}, near AS (SELECT *, (1 - abs(r - kr * 10) / 10.0::DOUBLE) * (1 - abs(c - kc * 10) / 10.0::DOUBLE) AS t FROM (SELECT *, r // 10 + i AS kr, c // 10 + j AS kc FROM cube, range(2) y(i), range(2) z(j)) WHERE abs(r - kr * 10) < 10 AND abs(c - kc * 10) < 10),
+f AS ({_solved_sql("near", "granule, kr, kc")})"""
+_BLEND_SQL = "SELECT n.granule, r AS row, c AS col, round(sum(t * (w1 * (x1 - m1) + w2 * (x2 - m2))) / sum(t) FILTER (g.n IS NOT NULL), 6) AS mf, round(sum(t * g.n) / sum(t) FILTER (g.n IS NOT NULL), 6) AS bg_n FROM near n LEFT JOIN {f} g ON n.granule = g.granule AND n.kr = g.kr AND n.kc = g.kc GROUP BY n.granule, r, c"
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in ("mf", "bg_n")})
+
+
+@query(_NEAR_SQL + " " + _BLEND_SQL.format(f="f"))
 def mf_window(spark, d):
-    return spectra.window_filter(_cube(spark, d), _TARGET, 10).withColumn("mf", F.round("mf", 6))
+    return _rounded(moments.window_filter(_cube(spark, d, 2), _TARGET, 10))
+
+
+@query(f"""{_NEAR_SQL}, y AS (SELECT near.*, w1 * (x1 - m1) + w2 * (x2 - m2) AS y FROM near JOIN f USING (granule, kr, kc)),
+kept AS (SELECT * FROM y QUALIFY y <= quantile_cont(y, 0.9) OVER (PARTITION BY granule, kr, kc)), again AS ({_solved_sql("kept", "granule, kr, kc")}),
+best AS (SELECT granule, kr, kc, coalesce(a.n, f.n) AS n, coalesce(a.m1, f.m1) AS m1, coalesce(a.m2, f.m2) AS m2, coalesce(a.w1, f.w1) AS w1, coalesce(a.w2, f.w2) AS w2 FROM f LEFT JOIN again a USING (granule, kr, kc))
+""" + _BLEND_SQL.format(f="best"))
+def mf_window_trimmed(spark, d):
+    return _rounded(moments.window_filter(_cube(spark, d, 2), _TARGET, 10, trim=0.1))
 
 
-@query()
+@query(f"""WITH {_CUBE_SQL}, k AS (SELECT granule, c, count(*) AS n FROM cube GROUP BY 1, 2),
+near AS (SELECT a.granule, a.c AS c, b.c AS o, abs(a.c - b.c) AS far, sum(b.n) OVER (PARTITION BY a.granule, a.c ORDER BY abs(a.c - b.c)) AS upto FROM k a JOIN k b ON a.granule = b.granule AND abs(a.c - b.c) <= 64),
+reach AS (SELECT granule, c, min(far) AS most FROM near WHERE upto >= 20 GROUP BY 1, 2), pool AS (SELECT n.granule, n.c, x1, x2 FROM near n JOIN reach USING (granule, c) JOIN cube x ON x.granule = n.granule AND x.c = n.o WHERE far <= most),
+f AS ({_solved_sql("pool", "granule, c")})
+SELECT cube.granule, r AS s_row, cube.c AS s_col, round(w1 * (x1 - m1) + w2 * (x2 - m2), 6) AS mf, round(n, 6)::DOUBLE AS bg_n FROM cube LEFT JOIN f ON cube.granule = f.granule AND cube.c = f.c""")
 def mf_column(spark, d):
-    return spectra.column_filter(_cube(spark, d), _TARGET).withColumn("mf", F.round("mf", 6))
+    return _rounded(moments.column_filter(_cube(spark, d, 2), _TARGET))
+
+
+@query(f"""WITH {_CUBE_SQL}, s AS (SELECT granule, b, sqrt(var_pop(v[b] - (v[b - 1] + v[b + 1]) / 2) / 1.5) AS s FROM cube, range(2, 6) t(b) GROUP BY 1, 2),
+e AS (SELECT granule, b, s FROM s UNION ALL SELECT granule, CASE b WHEN 2 THEN 1 ELSE 6 END, s FROM s WHERE b IN (2, 5))
+SELECT granule, b AS band, round(greatest(s, median(s) OVER (PARTITION BY granule) * 1e-3, 1e-12), 8) AS sigma FROM e""")
+def noise_sigma(spark, d):
+    found = moments.noise(moments.moments(_cube(spark, d, 6), ["granule"], "reflectance"), ["granule"])
+    return found.select("granule", F.posexplode("sigma").alias("band", "sigma")).select("granule", (F.col("band") + 1).alias("band"), F.round("sigma", 8).alias("sigma"))
 
 
 # --- publishing ----------------------------------------------------------------------------------------------------------------

@@ -5,11 +5,10 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.functions import columns, spectra
+from cellweave.functions import columns
 from cellweave.functions.timeline import Duration, deliveries, epochs
 from cellweave.operators import catalog, classes, gated, lattice, publish, rank, resample, resolve
 from cellweave.plans import gated_cases
@@ -157,28 +156,6 @@ def test_resampling(spark):
     assert [r.v for r in resample.as_of(left, right, ["k"], "t", "u", "v", 60).orderBy("t").collect()] == [5.0, None]
 
 
-def test_matched_filter_windows(spark):
-    rng = np.random.default_rng(4)
-    cube = rng.normal(size=(12, 12, 4))
-    target = [1.0, -0.5, 0.2, 0.7]
-    df = spark.createDataFrame([("g", r, c, cube[r, c].tolist()) for r in range(12) for c in range(12)], "granule string, row int, col int, reflectance array<double>")
-    got = {(r.row, r.col): (r.mf, r.bg_n) for r in spectra.window_filter(df, target, 4, min_n=5).collect()}
-    for r, c in ((0, 0), (5, 6), (11, 3)):
-        total, weight = 0.0, 0.0
-        for wr in (r // 4 - 1, r // 4):
-            for wc in (c // 4 - 1, c // 4):
-                x = np.array([cube[a, b] for a in range(4 * wr, 4 * wr + 8) for b in range(4 * wc, 4 * wc + 8) if 0 <= a < 12 and 0 <= b < 12])
-                w = (1 - abs((r + 0.5) / 4 - (wr + 1))) * (1 - abs((c + 0.5) / 4 - (wc + 1)))
-                if len(x) >= 5:
-                    mean, v = spectra.filter_vector(x, np.array(target))
-                    total, weight = total + w * ((cube[r, c] - mean) @ v), weight + w
-        assert abs(got[r, c][0] - total / weight) < 1e-9
-    assert {k: round(v[0], 9) for k, v in got.items()} == {(r.row, r.col): round(r.mf, 9) for r in spectra.window_filter(df.repartition(5), target, 4, min_n=5).collect()}
-    column = spectra.column_filter(df.withColumnRenamed("row", "s_row").withColumnRenamed("col", "s_col"), target, min_n=20, trim=None).collect()
-    mean, v = spectra.filter_vector(cube[:, 3:6].reshape(-1, 4), np.array(target))
-    assert abs(next(r.mf for r in column if (r.s_row, r.s_col) == (2, 4)) - (cube[2, 4] - mean) @ v) < 1e-9
-
-
 def test_publishing(spark):
     cells = spark.createDataFrame([(0, 0, 1, 5.0), (0, 1, 0, None), (0, 2, 9, 50.0)], "row int, col int, cls int, v double")
     with pytest.raises(Exception, match="same cell"):
