@@ -142,8 +142,12 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("bigint")
 
 
+#: Bytes of the Arrow batches that go to Python workers and back; a session that sets its own keeps it. Texts are long: at Spark's 64 MB, two tasks hold some 400 MB of batches beside the heap.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4194304b"
+
+
 def reachable(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """The query, with this package's folder on the path of the session's Python workers, whatever folder the driver runs in."""
+    """The query, with this package's folder on the path of the session's Python workers, whatever folder the driver runs in, and batches of BATCH_BYTES."""
     root = str(Path(__file__).resolve().parents[2])
 
     @wraps(query)
@@ -151,6 +155,8 @@ def reachable(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         env = spark.sparkContext.environment
         if root not in env.get("PYTHONPATH", "").split(os.pathsep):
             env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+        if spark.conf.get(BATCH_SETTING, "1b") == "1b":
+            spark.conf.set(BATCH_SETTING, BATCH_BYTES)
         return query(spark, *args)
 
     return run
