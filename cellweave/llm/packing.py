@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import materialize, scratch_dir, session_of
+from cellweave.llm.common import lean, materialize, scratch_dir, session_of
 from cellweave.llm.tokens import END, cuts, default_path, encoded
 
 CAPACITY = 2048
@@ -196,7 +196,7 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity:
 
     kind = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return narrow.mapInArrow(run, f"__id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return narrow.mapInArrow(lean(run), f"__id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def best_fit_pack(docs: DataFrame, id_col: str, text_col: str, path: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
@@ -293,7 +293,7 @@ def packed_output(docs: DataFrame, id_col: str, text_col: str, path: str | None
             yield from flush()
 
     narrow = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return narrow.mapInArrow(run, f"sequence_id bigint, n_tokens int, doc_ids array<{kind}>, pieces array<int>, starts array<bigint>, cu_seqlens array<int>, input_ids binary, position_ids binary")
+    return narrow.mapInArrow(lean(run), f"sequence_id bigint, n_tokens int, doc_ids array<{kind}>, pieces array<int>, starts array<bigint>, cu_seqlens array<int>, input_ids binary, position_ids binary")
 
 
 def write_packed(packed: DataFrame, path: str) -> DataFrame:

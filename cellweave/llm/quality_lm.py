@@ -57,7 +57,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from cellweave.llm.common import discard, fresh, give_back, lean, materialize
+from cellweave.llm.common import discard, fresh, give_back, key_filter, lean, materialize, with_filter
 
 ORDER = 5
 PAD, NUL = 0x10FFFF, 0x10FFFE
@@ -73,8 +73,6 @@ FOLDS = 5
 QUANTILE, SMOOTHING, MIN_CALIBRATION = 0.995, 200, 50
 #: Perplexities are counted in bins of this width of their logarithm.
 BIN = 0.001
-#: Bits of the filter that labelled documents pass before they are joined with their labels: 8 MB.
-FILTER_BITS = 1 << 26
 #: Up to so many different characters, n-grams are packed into 64 bits as they are; of more, hashes are compared, and verified.
 PACKED = 1 << 12
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -447,19 +445,11 @@ def smoothed(nll: Column, n: Column, mean: Column) -> Column:
 
 
 def likely(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """The rows whose id is in ids, and few others: a filter of FILTER_BITS bits, whatever the number of ids, so that a join moves few texts."""
-    spot = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(FILTER_BITS))
-    words = ids.groupBy(F.shiftright(spot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(cast({id_col} as string)), 64) as int))")).alias("bits")).toArrow()
-    bits = np.zeros(FILTER_BITS >> 6, np.int64)
-    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
-    sent = rows.sparkSession.sparkContext.broadcast(bits)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = pc.fill_null(batch.column(batch.num_columns - 1), 0).to_numpy()
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(sent.value[at >> 6] >> (at & 63) & 1 == 1))
-
-    return rows.withColumn("spot", spot).mapInArrow(run, rows.schema)
+    """The rows whose id is in ids, and few others: a filter of fixed size, whatever the number of ids, so that a join moves few texts."""
+    (may,) = fresh(rows, "may")
+    hashed = F.xxhash64(F.col(id_col).cast("string"))
+    found = materialize(key_filter(ids.select(hashed.alias("h")), "h"), "filter")
+    return with_filter(rows, found, hashed, may).where(F.col(may)).drop(may)
 
 
 class Judge:

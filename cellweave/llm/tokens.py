@@ -27,7 +27,7 @@ import pyarrow as pa
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 #: Parts that a process keeps at most before it starts anew.
-KEPT_PARTS = 250_000
+KEPT_PARTS = 120_000
 #: FIXED: how a byte-level BPE tokenizer cuts text into pieces.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Anything but Latin letters, common signs and controls.
