@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -64,6 +64,53 @@ def as_of(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, rig
     return out.withColumn(value, F.when(fresh, F.col("__last.v"))).select(*left.columns, value)
 
 
+def as_of_by_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, right_time: str, value: str, bucket_seconds: int, direction: str = "previous", max_age_seconds: float | None = None) -> DataFrame:
+    """left with a value of right by time, for keys of any number of rows: previous (at or before), next (at or after) or nearest (of equals the earlier).
+
+    Rows are put into buckets of time, so a hot key is as many groups as it has buckets. Within a bucket one window finds the
+    neighbours on both sides; what lies before or after it is carried over by a second window, over one row a key and bucket.
+    max_age bounds both directions. Of values at one time the greatest stands. Rows of left without a time or key get no value.
+    """
+    if direction not in ("previous", "next", "nearest"):
+        raise ValueError(f"no direction {direction}")
+    kinds = dict(right.dtypes)
+    found = f"struct<t:timestamp,v:{kinds[value]}>"
+    left_keys = [F.col(k) for k in keys]
+
+    def bucket(t: Column) -> Column:
+        return F.floor(t.cast("timestamp").cast("double") / bucket_seconds).cast("bigint")
+
+    a = left.select(F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("__row"), *left_keys, F.col(time).cast("timestamp").alias("__t"), F.lit(None).cast(found).alias("__r"))
+    known = right.dropna(subset=[*keys, right_time, value])
+    one = known.groupBy(*keys, F.col(right_time).cast("timestamp").alias("__t")).agg(F.max(value).alias("__v"))
+    row_kind = a.schema["__row"].dataType
+    b = one.select(F.lit(None).cast(row_kind).alias("__row"), *left_keys, "__t", F.struct(F.col("__t").alias("t"), F.col("__v").alias("v")).cast(found).alias("__r"))
+    both = a.unionByName(b).withColumn("__b", bucket(F.col("__t")))
+    group = [*keys, "__b"]
+    near = Window.partitionBy(*group).orderBy("__t")
+    both = both.withColumn("__before", F.last("__r", ignorenulls=True).over(near.rangeBetween(Window.unboundedPreceding, 0)))
+    both = both.withColumn("__after", F.last("__r", ignorenulls=True).over(Window.partitionBy(*group).orderBy(F.col("__t").desc()).rangeBetween(Window.unboundedPreceding, 0)))
+    ends = a.select(*keys, bucket(F.col("__t")).alias("__b"), "__r").unionByName(b.select(*keys, bucket(F.col("__t")).alias("__b"), "__r"))
+    ends = ends.groupBy(*group).agg(F.max("__r").alias("__last"), F.min("__r").alias("__first"))
+    order = Window.partitionBy(*keys).orderBy("__b")
+    ends = ends.select(
+        *group,
+        F.last("__last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("__earlier"),
+        F.first("__first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("__later"),
+    )
+    out = both.where(F.col("__row").isNotNull()).join(ends, group, "left")
+    earlier, later = F.coalesce("__before", "__earlier"), F.coalesce("__after", "__later")
+
+    def age(r: Column) -> Column:
+        return F.abs(F.col("__t").cast("double") - r["t"].cast("double"))
+
+    if max_age_seconds is not None:
+        earlier, later = (F.when(age(r) <= max_age_seconds, r) for r in (earlier, later))
+    nearest = F.when(later.isNull() | (age(earlier) <= age(later)), earlier).otherwise(later)
+    picked = {"previous": earlier, "next": later, "nearest": nearest}[direction]
+    return out.select("__row.*", F.when(F.col("__t").isNotNull(), picked["v"]).alias(value))
+
+
 def overview(cells: DataFrame, level: int, value: str, categorical: bool) -> DataFrame:
     """A level of an overview: classes keep the cell at the middle of each block, numbers their mean."""
     f = 1 << level

@@ -278,6 +278,31 @@ def asof_previous(spark, d):
     return resample.as_of(e.where("event_type <> 'click'").select("user_id", "ts", "event_id"), clicks, ["user_id"], "ts", "ts", "last_click").select("event_id", "last_click")
 
 
+def _asof(name: str, direction: str, age: float | None) -> None:
+    """Users' purchases and their clicks, in buckets of six hours."""
+    def fresh(c: str) -> str:
+        return c if age is None else f"CASE WHEN abs(epoch(e.ts) - epoch({c}.ts)) <= {age} THEN {c} END"
+
+    sql = f"""WITH c AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'click' AND value IS NOT NULL GROUP BY 1, 2), e AS (SELECT user_id, ts, event_id FROM events WHERE event_type <> 'click'),
+p AS (SELECT e.event_id, e.ts, {fresh("c")} AS r FROM e ASOF LEFT JOIN c ON e.user_id = c.user_id AND e.ts >= c.ts), n AS (SELECT e.event_id, {fresh("c")} AS r FROM e ASOF LEFT JOIN c ON e.user_id = c.user_id AND e.ts <= c.ts),
+x AS (SELECT p.event_id, p.ts, CASE WHEN p.r.ts IS NOT NULL THEN p.r END AS a, CASE WHEN n.r.ts IS NOT NULL THEN n.r END AS b FROM p JOIN n USING (event_id))
+SELECT event_id, {dict(previous="a.value", next="b.value", nearest="CASE WHEN b IS NULL OR epoch(ts) - epoch(a.ts) <= epoch(b.ts) - epoch(ts) THEN a.value ELSE b.value END")[direction]} AS click FROM x"""
+
+    def run(spark, d):
+        e = table(spark, d, "events")
+        clicks = e.where("event_type = 'click'").select("user_id", F.col("ts").alias("at"), F.col("value").alias("click"))
+        other = e.where("event_type <> 'click'").select("user_id", "ts", "event_id")
+        return resample.as_of_by_buckets(other, clicks, ["user_id"], "ts", "at", "click", 21_600, direction, age).select("event_id", "click")
+
+    query(sql, name)(run)
+
+
+_asof("asof_bucketed", "previous", None)
+_asof("asof_next", "next", None)
+_asof("asof_nearest", "nearest", None)
+_asof("asof_nearest_max_age", "nearest", 43_200)
+
+
 # --- argmax, epochs, deliveries ------------------------------------------------------------------------------------------------
 
 _ARGMAX = SNAPS + "SELECT cell, epoch, oid, line, strftime(acquired, '%Y-%m-%d') AS day, score, cls FROM won"
@@ -299,51 +324,6 @@ def argmax_nan_excluded(spark, d):
     return resolve.winners(rows, KEYS, LOOK_ORDER, ["cls"]).select("cell", "epoch", "oid", "line", day("acquired"), "score", "cls")
 
 
-def _spans(spark, spans) -> DataFrame:
-    return spark.createDataFrame([(f"{s.start:%Y-%m-%d}", f"{s.end:%Y-%m-%d}") for s in spans], "start_day string, end_day string")
-
-
-@query("SELECT strftime(s, '%Y-%m-%d') AS start_day, strftime(s + INTERVAL 1 MONTH, '%Y-%m-%d') AS end_day FROM (SELECT DATE '1996-01-01' + (k * INTERVAL 1 MONTH) AS s FROM range(24) t(k))")
-def epochs_calendar(spark, d):
-    return _spans(spark, timeline.epochs(datetime(1996, 1, 1), datetime(1998, 1, 1), timeline.Duration.parse("P1M"), "calendar"))
-
-
-@query("SELECT strftime(s, '%Y-%m-%d') AS start_day, strftime(s + INTERVAL 1 MONTH, '%Y-%m-%d') AS end_day FROM (SELECT DATE '1996-01-01' + (k * INTERVAL 1 MONTH) AS s FROM range(24) t(k)) WHERE s >= DATE '1996-01-10' AND s + INTERVAL 1 MONTH <= DATE '1997-12-20'")
-def epochs_partial_dropped(spark, d):
-    return _spans(spark, timeline.epochs(datetime(1996, 1, 10), datetime(1997, 12, 20), timeline.Duration.parse("P1M"), "calendar"))
-
-
-#: A fixed span of P3M epochs from the first of the month before the start, the first one cut; and one cut at both ends.
-@query("SELECT * FROM (VALUES ('2023-02-10', '2023-05-01'), ('2023-05-01', '2023-08-01'), ('2023-08-01', '2023-11-01'), ('2023-11-01', '2024-01-01')) t(start_day, end_day)")
-def epochs_calendar_quarters(spark, d):
-    return _spans(spark, timeline.epochs(datetime(2023, 2, 10), datetime(2024, 1, 1), timeline.Duration.parse("P3M"), "calendar", partial=True))
-
-
-@query("SELECT * FROM (VALUES ('2023-01-15', '2023-02-01'), ('2023-02-01', '2023-03-01'), ('2023-03-01', '2023-03-10')) t(start_day, end_day)")
-def epochs_truncated(spark, d):
-    return _spans(spark, timeline.epochs(datetime(2023, 1, 15), datetime(2023, 3, 10), timeline.Duration.parse("P1M"), "calendar", partial=True))
-
-
-@query("SELECT * FROM (VALUES ('2023-01-31', '2023-02-28'), ('2023-02-28', '2023-03-31'), ('2023-03-31', '2023-04-30'), ('2023-04-30', '2023-05-31')) t(start_day, end_day)")
-def epochs_month_ends(spark, d):
-    return _spans(spark, timeline.epochs(datetime(2023, 1, 31), datetime(2023, 6, 1), timeline.Duration.parse("P1M")))
-
-
-def _periods(spark, out) -> DataFrame:
-    return spark.createDataFrame([(f"{p.start:%Y-%m-%d}", f"{p.end:%Y-%m-%d}", len(p.epochs), f"{p.epochs[0].start:%Y-%m-%d}", f"{p.epochs[-1].end:%Y-%m-%d}") for p in out], "period string, until string, epochs int, first_day string, last_day string")
-
-
-@query("SELECT * FROM (VALUES ('2022-08-01', '2023-08-01', 12, '2022-08-01', '2023-08-01'), ('2023-08-01', '2024-08-01', 12, '2023-08-01', '2024-08-01'), ('2024-08-01', '2025-08-01', 12, '2024-08-01', '2025-08-01'), ('2025-08-01', '2026-07-01', 11, '2025-08-01', '2026-07-01')) t(period, until, epochs, first_day, last_day)")
-def delivery_last_period_short(spark, d):
-    one_year = timeline.Duration.parse("P1Y")
-    return _periods(spark, timeline.deliveries(datetime(2022, 8, 1), datetime(2026, 7, 31), timeline.Duration.parse("P1M"), one_year, one_year))
-
-
-@query("SELECT * FROM (VALUES ('2025-01-01', '2025-12-31', 52, '2025-01-01', '2025-12-31')) t(period, until, epochs, first_day, last_day)")
-def delivery_weeks_in_a_year(spark, d):
-    return _periods(spark, timeline.deliveries(datetime(2025, 1, 1), datetime(2026, 1, 1), timeline.Duration.parse("P1W"), timeline.Duration.parse("P1Y")))
-
-
 def _delivered(align: str, before: int, after: int, window: str, every: int = 3, months: int = 24, name: str = ""):
     sql = f"""WITH m AS (SELECT k, DATE '1996-01-01' + (k * INTERVAL 1 MONTH) AS s FROM range({months}) t(k)), p AS (SELECT k FROM m WHERE k % {every} = 0),
 n AS (SELECT date_trunc('month', l_shipdate)::DATE AS s, count(*) AS n FROM lineitem GROUP BY 1)
@@ -676,9 +656,9 @@ def colour_map_categorical(spark, d):
 
 
 @query("""SELECT k::INT AS cls, round_even(255 * CASE i WHEN 0 THEN v WHEN 1 THEN q WHEN 2 THEN p WHEN 3 THEN p WHEN 4 THEN t ELSE v END, 0)::INT AS r, round_even(255 * CASE i WHEN 0 THEN t WHEN 1 THEN v WHEN 2 THEN v WHEN 3 THEN q ELSE p END, 0)::INT AS g, round_even(255 * CASE i WHEN 0 THEN p WHEN 1 THEN p WHEN 2 THEN t WHEN 3 THEN v WHEN 4 THEN v ELSE q END, 0)::INT AS b
-FROM (SELECT k, floor(h * 6)::INT AS i, 0.9::DOUBLE AS v, 0.9::DOUBLE * 0.35::DOUBLE AS p, 0.9::DOUBLE * (1 - 0.65::DOUBLE * (h * 6 - floor(h * 6))) AS q, 0.9::DOUBLE * (1 - 0.65::DOUBLE * (1 - h * 6 + floor(h * 6))) AS t FROM (SELECT k, k * 0.618033988749895::DOUBLE - floor(k * 0.618033988749895::DOUBLE) AS h FROM range(1, 400) r(k)))""")
+FROM (SELECT k, floor(h * 6)::INT AS i, 0.9::DOUBLE AS v, 0.9::DOUBLE * 0.35::DOUBLE AS p, 0.9::DOUBLE * (1 - 0.65::DOUBLE * (h * 6 - floor(h * 6))) AS q, 0.9::DOUBLE * (1 - 0.65::DOUBLE * (1 - h * 6 + floor(h * 6))) AS t FROM (SELECT k, k * 0.618033988749895::DOUBLE - floor(k * 0.618033988749895::DOUBLE) AS h FROM (SELECT DISTINCT p_partkey % 400 + 1 AS k FROM part)))""")
 def colour_palette(spark, d):
-    return spark.range(1, 400).select(F.col("id").cast("int").alias("cls")).select("cls", *[C.id_color(F.col("cls"))[k].alias(c) for k, c in enumerate("rgb")])
+    return table(spark, d, "part").select((F.col("p_partkey") % 400 + 1).cast("int").alias("cls")).distinct().select("cls", *[C.id_color(F.col("cls"))[k].alias(c) for k, c in enumerate("rgb")])
 
 
 @query(RASTER + ", s AS (SELECT row, col, (value - 900) / 200.0::DOUBLE AS t, value BETWEEN 900 - 0.0011 AND 1100 + 0.0011 AS shown FROM raster) SELECT row, col, CASE WHEN shown THEN round_even(255 * least(greatest(t, 0), 1), 0)::INT ELSE 0 END AS r, CASE WHEN shown THEN round_even(255 - 255 * least(greatest(t, 0), 1), 0)::INT ELSE 0 END AS g, CASE WHEN shown THEN 10 ELSE 0 END AS b, CASE WHEN shown THEN 255 ELSE 0 END AS a FROM s")
@@ -705,11 +685,11 @@ def stretch_p2_p98(spark, d):
     return publish.stretch(raster(spark, d), "value").select(F.round("lo", 4).alias("lo"), F.round("hi", 4).alias("hi"))
 
 
-@query("SELECT x, y, x / 16.0::DOUBLE * 360 - 180 AS west, round(degrees(atan(sinh(pi() * (1 - 2 * (y + 1) / 16.0::DOUBLE)))), 6) AS south, round(degrees(atan(sinh(pi() * (1 - 2 * y / 16.0::DOUBLE)))), 6) AS north FROM range(16) a(x), range(16) b(y)")
+@query("SELECT x, y, x / 16.0::DOUBLE * 360 - 180 AS west, round(degrees(atan(sinh(pi() * (1 - 2 * (y + 1) / 16.0::DOUBLE)))), 6) AS south, round(degrees(atan(sinh(pi() * (1 - 2 * y / 16.0::DOUBLE)))), 6) AS north FROM (SELECT DISTINCT c_custkey % 16 AS x, c_custkey // 16 % 16 AS y FROM customer)")
 def tile_bounds_mercator(spark, d):
-    x, y = F.floor(F.col("id") / 16), F.col("id") % 16
-    b = C.mercator_tile(F.lit(4), x, y)
-    return spark.range(256).select(x.alias("x"), y.alias("y"), b["west"].alias("west"), F.round(b["south"], 6).alias("south"), F.round(b["north"], 6).alias("north"))
+    tiles = table(spark, d, "customer").select((F.col("c_custkey") % 16).alias("x"), F.floor(F.col("c_custkey") / 16 % 16).alias("y")).distinct()
+    b = C.mercator_tile(F.lit(4), F.col("x"), F.col("y"))
+    return tiles.select("x", "y", b["west"].alias("west"), F.round(b["south"], 6).alias("south"), F.round(b["north"], 6).alias("north"))
 
 
 # --- streaming extensions ------------------------------------------------------------------------------------------------------

@@ -68,27 +68,22 @@ class _Grey:
         return {c: level for c in "rgb"} | {"a": F.lit(255)}
 
 
-plugins.register("scorer", "steep", _Steep)
-plugins.register("reducer", "range", _Range)
-plugins.register("mapper", "grey", _Grey)
-
-
 @query(f"""WITH {LOOKS_SQL} SELECT cell, epoch, oid, line, round(score - vz / 10, 7) AS score, round(vz / 10, 7) AS tilt FROM looks WHERE score IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY cell, epoch ORDER BY round(score - vz / 10, 9) DESC, acquired, oid, line) = 1""")
 def plugin_scorer(spark, d):
-    scored = plugins.apply_scorer(looks(spark, d), plugins.resolve("scorer", "steep")).withColumn("score", F.round("score", 9))
+    scored = plugins.apply_scorer(looks(spark, d), plugins.resolve("scorer", f"{__name__}:_Steep")).withColumn("score", F.round("score", 9))
     out = resolve.winners(scored, ["cell", "epoch"], LOOK_ORDER, ["scorer_tilt"])
     return out.select("cell", "epoch", "oid", "line", F.round("score", 7).alias("score"), F.round("scorer_tilt", 7).alias("tilt"))
 
 
 @query(f"WITH {LOOKS_SQL} SELECT cell, round(max(value) - min(value), 4)::DOUBLE AS width, count(value) AS n FROM looks GROUP BY cell")
 def plugin_reducer(spark, d):
-    return plugins.apply_reducer(looks(spark, d), ["cell"], plugins.resolve("reducer", "range")).withColumn("width", F.round("width", 4))
+    return plugins.apply_reducer(looks(spark, d), ["cell"], plugins.resolve("reducer", f"{__name__}:_Range")).withColumn("width", F.round("width", 4))
 
 
 @query(f"WITH {RASTER_SQL} SELECT row, col, least(floor(value / 10), 255)::INT AS r, least(floor(value / 10), 255)::INT AS g, least(floor(value / 10), 255)::INT AS b, 255 AS a FROM raster")
 def plugin_mapper(spark, d):
-    return plugins.apply_mapper(raster(spark, d), plugins.resolve("mapper", "grey")).select("row", "col", *"rgba")
+    return plugins.apply_mapper(raster(spark, d), plugins.resolve("mapper", f"{__name__}:_Grey")).select("row", "col", *"rgba")
 
 
 _AT = "(-10.003 + col * 0.07) AS lon, (40.001 - row * 0.05) AS lat"

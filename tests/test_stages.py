@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
 from datetime import datetime
 
 import pytest
@@ -142,8 +144,15 @@ def test_plugins_are_checked(spark):
             plugins.apply_reducer(rows if isinstance(wrong, Wrong) else rows.drop("value"), ["cell"], wrong)
     with pytest.raises(ValueError):
         plugins.apply_scorer(rows, Other())
+    plugins.register("reducer", "own mean", Mean)
+    assert isinstance(plugins.resolve("reducer", "own mean"), Mean)
     with pytest.raises(ValueError):
-        plugins.register("reducer", "range", Mean)
+        plugins.register("reducer", "own mean", Twice)
+
+
+def test_importing_the_queries_registers_nothing():
+    said = subprocess.run([sys.executable, "-c", "from cellweave.plans import catalogue, plugins; print(plugins.registered())"], capture_output=True, text=True, check=True)
+    assert said.stdout.strip() == "[]"
 
 
 def test_command_line(spark, tmp_path):
