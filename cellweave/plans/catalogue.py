@@ -717,6 +717,47 @@ def stream_running_argmax(spark, d):
     return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "user_id", "value", "event_id")
 
 
+# An event arrives as many hours after its time as its value says; a batch is four days of arrivals, the delay 36 hours.
+_ARRIVALS_SQL = """a AS (SELECT *, date_trunc('day', ts) AS day, date_diff('day', DATE '2020-01-01', (ts + to_microseconds((value * 3600000000)::BIGINT))::DATE) // 4 AS arrived FROM events WHERE ts IS NOT NULL AND value IS NOT NULL),
+b AS (SELECT arrived, epoch_ms(max(ts)) - 129600000 AS m FROM a GROUP BY 1),
+w AS (SELECT arrived, max(m) OVER (ORDER BY arrived ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM b),
+t AS (SELECT a.*, coalesce(epoch_ms(day + INTERVAL 1 DAY) <= mark, false) AS late, epoch_ms(day + INTERVAL 1 DAY) < (SELECT max(m) FROM b) AS ended FROM a JOIN w USING (arrived))"""
+_USER, _EVENT = ["user_id"], ["event_id"]
+
+
+def _late_run(spark, d) -> DataFrame:
+    from cellweave.streaming import late
+
+    events = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_id", "value").where("ts IS NOT NULL AND value IS NOT NULL")
+    at = F.timestamp_micros(F.unix_micros("ts") + F.round(F.col("value") * 3_600_000_000).cast("bigint"))
+    root = late.scratch(spark, "late")
+    stream = late.replay(events.withColumn("arrived", F.floor(F.datediff(at, F.lit("2020-01-01").cast("date")) / 4).cast("int")), "arrived", f"{root}/arrivals", 8)
+    return late.run(late.best_or_late(stream, "ts", 1, "36 hours", _USER, _EVENT, "value", salts=2), f"{root}/out", f"{root}/checkpoint")
+
+
+def _micros_day(c: str):
+    return F.date_format(F.timestamp_micros(c), "yyyy-MM-dd").alias("day")
+
+
+@query(f"WITH {_ARRIVALS_SQL} SELECT strftime(day, '%Y-%m-%d') AS day, count(*) FILTER (NOT late) AS kept, count(*) FILTER (late) AS late, count(DISTINCT user_id) FILTER (NOT late) AS expired FROM t WHERE late OR ended GROUP BY 1")
+def stream_late_counts(spark, d):
+    """Looks kept, looks that came late, and states that timers closed, by day."""
+    out = _late_run(spark, d)
+    final = F.col("kind") == "final"
+    counts = [F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).alias(k) for k, c in (("kept", final), ("late", ~final))]
+    return out.groupBy(_micros_day("epoch_us")).agg(*counts, F.countDistinct(F.when(final, F.col("user_id"))).alias("expired"))
+
+
+@query(f"WITH {_ARRIVALS_SQL} SELECT strftime(day, '%Y-%m-%d') AS day, user_id, max(value) AS value, arg_min(event_id, {{'v': -value, 'e': event_id}}) AS event_id, count(*) AS n FROM t WHERE late OR ended GROUP BY 1, 2")
+def stream_late_upsert(spark, d):
+    """The best look of each user and ended day after late looks were merged into the delivered ones."""
+    from cellweave.streaming import late
+
+    out = _late_run(spark, d)
+    merged = late.with_late(late.closed(out, _USER, _EVENT), out.where("kind = 'late'"), _USER, _EVENT)
+    return merged.select(_micros_day("epoch_us"), "user_id", F.col("score").alias("value"), "event_id", "n")
+
+
 @query(f"""WITH {LOOKS_SQL}, a AS (SELECT *, CASE WHEN epoch < 1998 THEN '1996-01-01' ELSE '1998-01-01' END AS period FROM looks WHERE acquired >= TIMESTAMP '1996-01-01' AND acquired < TIMESTAMP '2000-01-01'),
 w AS (SELECT * FROM a WHERE valid QUALIFY row_number() OVER (PARTITION BY cell, epoch ORDER BY score DESC, acquired, oid, line) = 1),
 o AS (SELECT cell, period, count(DISTINCT epoch) AS n_observed FROM a GROUP BY 1, 2)
