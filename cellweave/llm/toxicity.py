@@ -16,10 +16,16 @@ composed into one machine:
     weights    what each of these is worth
 
 The machine reads each clause once; the weight of its path, with the strength
-of each word on it, is the clause's score, and a clause matches from MATCH on.
-Only matched clauses count: their scores, how many are direct, insults or
-threats, and their share of all clauses give a document's probability by a
-logistic function. A weak, negated or reported word by itself matches nothing.
+of each word on it (MOST_STRENGTH at most), is the clause's score. A clause
+matches from MATCH on, and only by a pattern of two elements: an abusive word
+or verb of harm with a target or an intention, or two abusive or weak words
+that are neither negated nor reported. Clauses with one abusive word each
+match together, as a tirade, if a text has TIRADE different such words. A word
+by itself matches nothing, however strong or often repeated it is, and neither
+do negated or reported ones. Only matched
+clauses count: their scores, how many are direct, insults or threats, and
+their share of all clauses give a document's probability by a logistic
+function.
 
 Words come from FIXED lists below and from labelled rows: words and word
 stems that documents labelled toxic have far more often than others. The
@@ -34,6 +40,7 @@ Defined results
   no labels      fixed words and default weights
   repeated rows  each is reported
   empty table    no rows
+  long texts     read whole by one task, in time and memory in proportion to the text
   other columns  ignored, whatever their names
 """
 
@@ -60,6 +67,8 @@ STEMS = range(3, 9)
 LEAST_DOCS, LEAST_SHARE, STRONG, WEAK = 3, 0.004, 3.0, 1.5
 #: The score from which a clause matches.
 MATCH = 1.0
+#: A word counts for no more than this, so that no word outweighs a pattern.
+MOST_STRENGTH = 5.0
 
 # FIXED: words of the grammar, in English, German, French and Spanish.
 INSULT_WORDS = "idiot moron stupid loser scum trash worthless pathetic disgusting imbecile"
@@ -78,7 +87,11 @@ DIRECT_INSULT, INSULT_THEN_TARGET, DIRECT_THREAT, THREAT_THEN_TARGET, HARM_TO_TA
 #: The worth of each.
 WORTH = {DIRECT_INSULT: 1.6, INSULT: 1.0, INSULT_THEN_TARGET: 0.6, DIRECT_THREAT: 2.0, THREAT: 1.2, THREAT_THEN_TARGET: 0.8, HARM_TO_TARGET: 0.4, HARM: 0.2, WEAK_WORD: 0.35, NEGATED: 0.1, REPORTED: 0.15}
 DIRECT, INSULTS, THREATS = set("IdHD"), set("iId"), set("THD")
-DEFAULT = np.array([-4.0, 1.4, 0.8, 1.0, 0.4, 0.6, 0.5, 0.0])
+#: So many different abusive words, each alone in its clause, are a tirade.
+TIRADE = 2
+#: Events that are a pattern by themselves, and those of which it takes two.
+PATTERNS, HALVES = set("IdHDTg"), set("iw")
+DEFAULT = np.array([-4.0, 1.4, 0.8, 1.0, 0.4, 0.6, 0.5])
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n]|[\"“”«»„]")
 _ENDS, _QUOTES = set(".!?;:\n"), set("\"“”«»„")
@@ -190,11 +203,16 @@ def fixed_words() -> dict[str, str]:
     return {w: s for s, words in lists for w in words.split()}
 
 
-def summary(clauses: list[tuple[float, set[str]]], n_clauses: int, n_words: int) -> np.ndarray:
+def matches(score: float, events: list[str]) -> bool:
+    """Whether a clause's events are a pattern that weighs enough."""
+    return score >= MATCH and (not PATTERNS.isdisjoint(events) or sum(e in HALVES for e in events) >= 2)
+
+
+def summary(clauses: list[tuple[float, list[str]]], n_clauses: int) -> np.ndarray:
     """Features of a document from its matched clauses (score, events)."""
     scores = [x for x, _ in clauses]
-    kinds = [sum(1 for _, events in clauses if events & kind) for kind in (DIRECT, INSULTS, THREATS)]
-    return np.array([1.0, math.log1p(sum(scores)), math.log1p(max(scores, default=0.0)), *map(math.log1p, kinds), len(clauses) / max(1, n_clauses), math.log1p(n_words) / 10])
+    kinds = [sum(1 for _, events in clauses if not kind.isdisjoint(events)) for kind in (DIRECT, INSULTS, THREATS)]
+    return np.array([1.0, math.log1p(sum(scores)), math.log1p(max(scores, default=0.0)), *map(math.log1p, kinds), len(clauses) / max(1, n_clauses)])
 
 
 class Scorer:
@@ -215,19 +233,25 @@ class Scorer:
         read = [kept[t] for t in tokens]
         clauses, ends = [], 1 + sum(s == END for s, _ in read)
         if any(s in "awv" for s, _ in read):
-            arcs, state, score, events = self.machine.arcs, self.machine.start, 0.0, set()
-            for s, strength in read:
+            arcs, state, score, events, words = self.machine.arcs, self.machine.start, 0.0, [], []
+            lone: list[tuple[float, list[str]]] = []
+            abuse: set[str] = set()
+            for token, (s, strength) in zip([*tokens, "."], [*read, (END, 0.0)], strict=True):
                 state, out, w = arcs[state, s]
                 if w:
-                    score += w * max(strength, 1.0)
-                    events.add(out)
-                elif s == END and score:
-                    if score >= MATCH:
+                    score += w * min(max(strength, 1.0), MOST_STRENGTH)
+                    events.append(out)
+                    words.append(token)
+                elif s == END and events:
+                    if matches(score, events):
                         clauses.append((score, events))
-                    score, events = 0.0, set()
-            if score >= MATCH:
-                clauses.append((score, events))
-        return summary(clauses, ends, len(tokens))
+                    elif score >= MATCH and INSULT in events:
+                        lone.append((score, events))
+                        abuse.update(t for t, e in zip(words, events, strict=True) if e == INSULT)
+                    score, events, words = 0.0, [], []
+            if len(abuse) >= TIRADE:
+                clauses += lone
+        return summary(clauses, ends)
 
 
 def terms_of(word: str) -> Iterator[str]:
