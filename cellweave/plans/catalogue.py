@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import columns as C
 from cellweave.functions import scorers, spectra, timeline
-from cellweave.operators import catalog, classes, lattice, moments, publish, rank, reduce, resample, resolve
+from cellweave.operators import catalog, classes, lattice, moments, publish, rank, reduce, resample, resolve, worklist
 from cellweave.plans import gated_cases, lattice_cases, stage_cases
 from cellweave.sources.tables import INDEX_SQL, LOOK_ORDER, LOOKS_SQL, RASTER_SQL, index, looks, raster, table
 
@@ -692,6 +692,35 @@ def tile_bounds_mercator(spark, d):
     return tiles.select("x", "y", b["west"].alias("west"), F.round(b["south"], 6).alias("south"), F.round(b["north"], 6).alias("north"))
 
 
+# --- work lists ----------------------------------------------------------------------------------------------------------------
+
+_WORK_SQL = f"""WITH {INDEX_SQL}, g AS (SELECT *, unnest(generate_series(floor((west + 180) / 5)::BIGINT, (ceil((east + 180) / 5) - 1)::BIGINT)) AS tx FROM idx),
+h AS (SELECT *, unnest(generate_series(floor((south + 90) / 5)::BIGINT, (ceil((north + 90) / 5) - 1)::BIGINT)) AS ty FROM g),
+work AS (SELECT granule_id, tx, ty, round((least(east, tx * 5 - 175) - greatest(west, tx * 5 - 180)) * (least(north, ty * 5 - 85) - greatest(south, ty * 5 - 90)) / 4 * 1000)::BIGINT AS cost FROM h),
+costs AS (SELECT tx, ty, count(*) AS granules, sum(cost)::BIGINT AS cost, max(cost) AS longest FROM work GROUP BY 1, 2)"""
+
+
+def _work(spark, d) -> DataFrame:
+    return worklist.work_list(index(spark, d).select("granule_id", "west", "south", "east", "north"), 5, weight=1000)
+
+
+@query(_WORK_SQL + " SELECT granule_id, tx, ty, cost FROM work")
+def work_list(spark, d):
+    return _work(spark, d).select("granule_id", "tx", "ty", "cost")
+
+
+@query(_WORK_SQL + " SELECT count(*) AS tiles, sum(granules)::BIGINT AS items, sum(cost)::BIGINT AS cost, max(cost) AS heaviest, max(longest) AS longest, max(granules) * 250000 * 6 AS peak_bytes FROM costs")
+def work_estimate(spark, d):
+    return worklist.estimate(worklist.tile_costs(_work(spark, d)), 250_000, 6)
+
+
+@query(_WORK_SQL + """ SELECT tx, ty, granules, cost, greatest(ceil(cost / 4000), 1)::BIGINT AS parts,
+CASE WHEN cost <= 4000 THEN floor(coalesce(sum(CASE WHEN cost <= 4000 THEN cost ELSE 0 END) OVER (PARTITION BY tx // 16, ty // 16 ORDER BY ty, tx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 4000)::BIGINT END AS bundle FROM costs""")
+def work_layout(spark, d):
+    """Heavy tiles split, light ones bundled."""
+    return worklist.lay_out(worklist.tile_costs(_work(spark, d)), 4000).select("tx", "ty", "granules", "cost", "parts", "bundle")
+
+
 # --- streaming extensions ------------------------------------------------------------------------------------------------------
 
 
