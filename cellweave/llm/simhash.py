@@ -15,6 +15,14 @@ fingerprint, however large a group of near copies is. Links are joined to
 components by rounds of large-star and small-star; copies with one
 fingerprint take part once.
 
+Fingerprints within a few bits of each other share a block whatever bits it
+has. A block with too many variants is dealt to several tasks by a code of the
+variant, its parities over fixed random sets of bits. The code of a variant
+is the code of the fingerprint XOR that of the flipped bits, so each part makes
+just its own variants, and all copies of one variant meet in one part. A part
+sorts its variants in turns by more bits of the code, and folds the links of a
+turn into its forest before the next.
+
 Defined results
   null text      an empty text: no words, fingerprint zero, linked like any other
   few words      fewer words than a shingle: the whole sequence is the shingle
@@ -44,6 +52,10 @@ SHINGLE, RADIUS, SEED = 4, 4, 42
 SORTED_AT_ONCE = 4_000_000
 #: Fingerprints a block should get at most, on average.
 BLOCK_ROWS = 3_000
+#: Variants of one task: a block of more is dealt by their code.
+PART_VARIANTS = 32_000_000
+#: Bits that the parities of a code are taken over.
+CODE_SETS = np.array([xxhash.xxh64_intdigest(bytes([k]), SEED) for k in range(24)], np.uint64)
 
 
 def shingle_hashes(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -109,43 +121,54 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _collisions(prints: np.ndarray, spent: np.ndarray, bits: int, half: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links among prints that share a variant of which they have the leading bits; spent: bits that each already flipped there."""
-    low = np.uint64((1 << bits) - 1)
+def codes(values: np.ndarray, bits: int) -> np.ndarray:
+    """Parities over so many of CODE_SETS, one bit each: the code of x XOR y is the code of x XOR the code of y."""
+    out = np.zeros(len(values), np.int64)
+    for k in range(bits):
+        out |= (np.bitwise_count(values & CODE_SETS[k]) & 1).astype(np.int64) << k
+    return out
+
+
+def _turn_variants(prints: np.ndarray, spent: np.ndarray, own: np.ndarray, masks: list, mask_codes: list, want: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The variants of a code and the places of their fingerprints. own: codes of prints; masks in the order of mask_codes, by bits that are spent."""
+    keys, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for k in range(len(masks)):
+        at = np.flatnonzero(spent == k)
+        at = at[np.argsort(own[at], kind="stable")]
+        told = own[at]
+        heads = np.append(np.flatnonzero(np.diff(told, prepend=-1)), len(at))
+        for a, b in zip(heads[:-1], heads[1:], strict=True):
+            code = want ^ int(told[a])
+            lo, hi = np.searchsorted(mask_codes[k], (code, code + 1)) if width else (0, len(masks[k]))
+            keys.append((prints[at[a:b]][:, None] ^ masks[k][lo:hi][None, :]).ravel())
+            owners.append(np.repeat(at[a:b], hi - lo))
+    return np.concatenate(keys), np.concatenate(owners)
+
+
+def _linked(prints: np.ndarray, spent: np.ndarray, bits: int, radius: int, part: int = 0, part_bits: int = 0) -> np.ndarray:
+    """The least member of each one's component, by shared variants whose code begins with part; prints share the leading bits of variants, spent: bits flipped there."""
+    half, low = radius // 2, np.uint64((1 << bits) - 1)
     masks = [flips(bits, half - k) for k in range(half + 1)]
-    total = sum(int((spent == k).sum()) * len(masks[k]) for k in range(half + 1))
-    turns = 1 << max(0, (total // SORTED_AT_ONCE).bit_length())
-    first, second = [], []
-    for turn in range(turns):
-        keys, owners = [], []
-        for k in range(half + 1):
-            own = np.flatnonzero(spent == k)
-            if not len(own):
-                continue
-            step = max(1, SORTED_AT_ONCE // len(masks[k]))
-            for at in range(0, len(own), step):
-                part = own[at : at + step]
-                made = ((prints[part] & low)[:, None] ^ masks[k][None, :]).ravel()
-                who = np.repeat(part, len(masks[k]))
-                if turns > 1:
-                    here = (made * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - turns.bit_length() + 1) == turn
-                    made, who = made[here], who[here]
-                keys.append(made)
-                owners.append(who)
-        if not keys:
-            continue
-        key, who = np.concatenate(keys), np.concatenate(owners)
+    total = sum(int((spent == k).sum()) * len(masks[k]) for k in range(half + 1)) >> part_bits
+    width = min(len(CODE_SETS), part_bits + (total // SORTED_AT_ONCE).bit_length())
+    mask_codes = [codes(m, width) for m in masks]
+    orders = [np.argsort(c, kind="stable") for c in mask_codes]
+    masks, mask_codes = ([x[o] for x, o in zip(xs, orders, strict=True)] for xs in (masks, mask_codes))
+    own = codes(prints & low, width)
+    label = np.arange(len(prints))
+    for turn in range(1 << (width - part_bits)):
+        key, who = _turn_variants(prints & low, spent, own, masks, mask_codes, part | turn << part_bits, width)
         order = np.argsort(key, kind="stable")
         key, who = key[order], who[order]
         same = np.flatnonzero(key[1:] == key[:-1]) + 1
-        if len(same):
-            begins = np.maximum.accumulate(np.where(np.concatenate(([True], key[1:] != key[:-1])), np.arange(len(key)), 0))
-            pairs = np.unique(np.stack([who[begins[same]], who[same]], axis=1), axis=0)
-            first.append(pairs[:, 0])
-            second.append(pairs[:, 1])
-    if not first:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(first), np.concatenate(second)
+        if not len(same):
+            continue
+        begins = np.maximum.accumulate(np.where(np.concatenate(([True], key[1:] != key[:-1])), np.arange(len(key)), 0))
+        a, b = who[begins[same]], who[same]
+        near = (np.bitwise_count(prints[a] ^ prints[b]) <= radius) & (label[a] != label[b])  # verified, though a shared variant allows nothing else
+        tree = np.flatnonzero(label != np.arange(len(label)))
+        label = forest(len(prints), np.concatenate((tree, a[near])), np.concatenate((label[tree], b[near])))
+    return label
 
 
 @lean
@@ -153,9 +176,7 @@ def _block_links(block: pa.Table, prefix_bits: int, radius: int) -> pa.Table:
     prints = np.unique(block["__print"].to_numpy().view(np.uint64))
     prefix, bits = int(block["__block"][0].as_py()), BITS - prefix_bits
     away = (prints >> np.uint64(bits)) ^ np.uint64(prefix) if prefix_bits else np.zeros(len(prints), np.uint64)
-    a, b = _collisions(prints, np.bitwise_count(away).astype(np.int64), bits, radius // 2)
-    near = np.bitwise_count(prints[a] ^ prints[b]) <= radius  # verified, though a shared variant allows nothing else
-    label = forest(len(prints), a[near], b[near])
+    label = _linked(prints, np.bitwise_count(away).astype(np.int64), bits, radius, block["__part"][0].as_py(), block["__dealt"][0].as_py())
     linked = np.flatnonzero(label != np.arange(len(prints)))
     return pa.table({"u": prints[linked].view(np.int64), "v": prints[label[linked]].view(np.int64)})
 
@@ -174,11 +195,19 @@ def links(prints: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
     lead = F.shiftrightunsigned("__print", BITS - prefix_bits) if prefix_bits else F.lit(0).cast("bigint")
     masks = F.array(*[F.lit(int(m)) for m in flips(prefix_bits, half)])
     sent = prints.select("__print", F.explode(F.transform(masks, lambda m: lead.bitwiseXOR(m))).alias("__block"))
+    made = F.element_at(F.array(*[F.lit(len(flips(BITS - prefix_bits, half - k))) for k in range(half + 1)]), F.bit_count(lead.bitwiseXOR(F.col("__block"))) + 1)
+    sizes = sent.groupBy(F.col("__block").alias("__hot")).agg(F.sum(made).alias("__made")).where(F.col("__made") > PART_VARIANTS)
+    dealt = F.least(F.lit(12), F.ceil(F.log2(F.col("__made") / PART_VARIANTS))).cast("int")
+    sizes = sizes.select("__hot", F.greatest(dealt, F.lit(1)).alias("__dealt"))
+    # blocks above the limit are few and their number is checked by Spark, which broadcasts small tables only
+    met = sent.join(sizes, F.col("__block") == F.col("__hot"), "left").select("__print", "__block", F.coalesce("__dealt", F.lit(0)).alias("__dealt"))
+    parts = F.explode(F.expr("sequence(0, shiftleft(1, __dealt) - 1)")).alias("__part")
+    sent = met.select("__print", "__block", "__dealt", parts)
 
     def block(rows: pa.Table) -> pa.Table:
         return _block_links(rows, prefix_bits, radius)
 
-    return sent.groupBy("__block").applyInArrow(block, "u bigint, v bigint")
+    return sent.groupBy("__block", "__part").applyInArrow(block, "u bigint, v bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -79,12 +82,71 @@ def test_links_find_every_pair_and_only_those(spark, monkeypatch):
     assert all(len(s) == 1 for s in sets.values()) and len(set().union(*sets.values())) == len(sets)
 
 
-def test_turns_of_the_sort_agree(monkeypatch):
-    prints = np.unique(np.random.default_rng(1).integers(0, 2**64, 300, dtype=np.uint64) & np.uint64(0xFFF))
-    spent = np.zeros(len(prints), np.int64)
-    whole = simhash.forest(len(prints), *simhash._collisions(prints, spent, 64, 2))
-    monkeypatch.setattr(simhash, "SORTED_AT_ONCE", 50_000)
-    assert (whole == simhash.forest(len(prints), *simhash._collisions(prints, spent, 64, 2))).all()
+def whole(prints: np.ndarray, radius: int) -> np.ndarray:
+    """Components by all pairs."""
+    pairs = [(i, j) for i in range(len(prints)) for j in range(i) if (int(prints[i]) ^ int(prints[j])).bit_count() <= radius]
+    return simhash.forest(len(prints), *(np.array([p[k] for p in pairs], np.int64) for k in (0, 1)))
+
+
+@pytest.mark.parametrize("radius", [0, 2, 4])
+def test_turns_of_the_sort_agree(monkeypatch, radius):
+    rng = np.random.default_rng(1)
+    close = rng.integers(0, 2**64, 260, dtype=np.uint64) & np.uint64(0xFFF)
+    prints = np.unique(np.concatenate((close, rng.integers(0, 2**64, 40, dtype=np.uint64))))
+    spent, want = np.zeros(len(prints), np.int64), whole(prints, radius)
+    assert (simhash._linked(prints, spent, 64, radius) == want).all()
+    monkeypatch.setattr(simhash, "SORTED_AT_ONCE", 20_000)
+    assert (simhash._linked(prints, spent, 64, radius) == want).all()
+
+
+def test_parts_of_a_block_make_each_variant_once():
+    prints = np.unique(np.random.default_rng(2).integers(0, 2**64, 50, dtype=np.uint64))
+    masks, spent = simhash.flips(64, 2), np.zeros(50, np.int64)
+    want = sorted((int(p ^ m), k) for k, p in enumerate(prints) for m in masks)
+    told = simhash.codes(masks, 5)
+    order = np.argsort(told, kind="stable")
+    got = []
+    for code in range(32):
+        key, who = simhash._turn_variants(prints, spent, simhash.codes(prints, 5), [masks[order]], [told[order]], code, 5)
+        assert (simhash.codes(key, 5) == code).all() and len(key) < len(want) / 8
+        got += zip(key.tolist(), who.tolist(), strict=True)
+    assert sorted(got) == want
+
+
+def test_a_hot_block_is_dealt_to_several_tasks(spark, monkeypatch):
+    """500 prints near one value and 60 elsewhere: the same components, from several groups of the hot block."""
+    rng = np.random.default_rng(3)
+    centre = 0x0123456789ABCDEF
+    near = [centre ^ sum(1 << int(f) for f in rng.choice(64, size=4, replace=False)) for _ in range(500)]
+    prints = np.unique(np.array(near + [int(x) for x in rng.integers(0, 2**64, 60, dtype=np.uint64)], np.uint64))
+    want = whole(prints, 4)
+    monkeypatch.setattr(simhash, "PART_VARIANTS", 60_000)
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 200)
+    df = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "__print bigint")
+    found = simhash.links(df, len(prints))
+    tree = found.collect()
+    at = {p: k for k, p in enumerate(prints.view(np.int64).tolist())}
+    got = simhash.forest(len(prints), *(np.array([at[r[k]] for r in tree], np.int64) for k in (0, 1)))
+    assert (got == want).all() and len(set(want.tolist())) > 2
+    assert len(tree) > len(prints) - len(set(want.tolist()))  # parts give a tree each
+
+
+def test_memory_of_many_prints_near_one_value():
+    """100,000 prints within 4 bits of one value, one part of the eight that the block is dealt to: under 1 GB."""
+    code = """
+import resource
+import numpy as np
+from cellweave.llm import simhash
+rng = np.random.default_rng(1)
+flip = np.uint64(1) << rng.integers(0, 64, (102_000, 4)).astype(np.uint64)
+prints = np.unique(np.bitwise_xor.reduce(flip, axis=1))[:100_000]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+label = simhash._linked(prints, np.zeros(len(prints), np.int64), 64, 4, 5, 3)
+assert (label != np.arange(len(label))).mean() > 0.9
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    root = Path(simhash.__file__).resolve().parents[2]
+    assert int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=root).stdout) < 1000
 
 
 def test_odd_radii_are_refused(spark):
