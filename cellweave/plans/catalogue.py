@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellweave.functions import columns as C
 from cellweave.functions import scorers, spectra, timeline
 from cellweave.operators import catalog, classes, lattice, moments, publish, rank, reduce, resample, resolve, worklist
-from cellweave.plans import gated_cases, lattice_cases, picture_cases, stage_cases
+from cellweave.plans import gated_cases, lattice_cases, picture_cases, record_cases, stage_cases
 from cellweave.sources.tables import INDEX_SQL, LOOK_ORDER, LOOKS_SQL, RASTER_SQL, index, looks, raster, table
 
 QUERIES: dict = {}
@@ -520,8 +520,8 @@ def lexical_rank(spark, d):
     return rank.lexical_rank(looks(spark, d), KEYS, [F.col("soil").desc(), F.col("vz").asc()]).select("cell", "epoch", "oid", "line", "lexical_rank")
 
 
-QUERIES |= gated_cases.QUERIES | stage_cases.QUERIES | lattice_cases.QUERIES | picture_cases.QUERIES
-ORACLE_SQL |= gated_cases.ORACLE_SQL | stage_cases.ORACLE_SQL | lattice_cases.ORACLE_SQL | picture_cases.ORACLE_SQL
+QUERIES |= gated_cases.QUERIES | stage_cases.QUERIES | lattice_cases.QUERIES | picture_cases.QUERIES | record_cases.QUERIES
+ORACLE_SQL |= gated_cases.ORACLE_SQL | stage_cases.ORACLE_SQL | lattice_cases.ORACLE_SQL | picture_cases.ORACLE_SQL | record_cases.ORACLE_SQL
 
 
 @query(f"WITH a AS ({_vote_sql(tie='highest_score', ignore=(0,), min_count=3)}), b AS ({_vote_sql(tie='highest_score', ignore=(0,), min_count=3, col='cls2')}) SELECT cell, CASE WHEN a.winner <> 65535 THEN a.winner WHEN b.winner <> 65535 THEN b.winner ELSE 65535 END AS winner, CASE WHEN a.winner <> 65535 THEN 2 WHEN b.winner <> 65535 THEN 1 ELSE 0 END AS source, round(CASE WHEN a.winner <> 65535 THEN a.agreement WHEN b.winner <> 65535 THEN b.agreement END, 6) AS agreement FROM a JOIN b USING (cell)")
