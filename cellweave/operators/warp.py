@@ -16,7 +16,7 @@ from math import ceil, floor
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -95,11 +95,13 @@ def _covered(axis: str, a: int, b: int) -> Column:
     return F.transform(at, lambda k: F.struct(k.cast("bigint").alias("at"), (F.least(high, (k + 1) * b) - F.greatest(low, k * b)).cast("bigint").alias("units")))
 
 
-def to_lattice(role: DataFrame, a: int, b: int, means: Sequence[str] = (), kinds: Sequence[str] = (), keys: Sequence[str] = ("granule",), valid: str = "valid") -> DataFrame:
+def to_lattice(role: DataFrame, a: int, b: int, means: Sequence[str] = (), kinds: Sequence[str] = (), keys: Sequence[str] = ("granule",), valid: str = "valid", tasks: int | None = None) -> DataFrame:
     """(keys, row, col, bands, units, valid) of the cells of a lattice of which b units make a cell, from a role of which a units do.
 
     Means are weighted by the units that each valid cell covers; kinds are the class that covers most units, the least of equals.
-    A target cell is valid if valid cells cover all its b x b units: one hole invalidates it.
+    A target cell is valid if valid cells cover all its b x b units: one hole invalidates it. tasks: how many share the cells, by
+    place; Spark's own number if not given. The bands come from one pass, so nothing is joined, and nothing sent to all tasks by a
+    guess of its size from before cells were multiplied.
     """
     if a < 1 or b < 1:
         raise ValueError("cells are a positive number of units wide")
@@ -109,14 +111,19 @@ def to_lattice(role: DataFrame, a: int, b: int, means: Sequence[str] = (), kinds
         sure = sure & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
     for c in kinds:
         sure = sure & F.col(c).isNotNull()
-    own = role.where(sure).select(*keys, *means, *kinds, F.explode(_covered("row", a, b)).alias("__y"), F.col("col"))
+    deal = (tasks,) if tasks else ()
+    own = role.where(sure).select(*at, *means, *kinds).repartition(*deal, *at)
+    own = own.select(*keys, *means, *kinds, F.explode(_covered("row", a, b)).alias("__y"), F.col("col"))
     own = own.select(*keys, *means, *kinds, "__y", F.explode(_covered("col", a, b)).alias("__x"))
     own = own.select(*keys, *means, *kinds, F.col("__y.at").alias("row"), F.col("__x.at").alias("col"), (F.col("__y.units") * F.col("__x.units")).alias("__u"))
-    out = own.groupBy(*at).agg(F.sum("__u").alias("units"), *[(F.sum(F.col(c).cast("double") * F.col("__u")) / F.sum("__u")).alias(c) for c in means])
-    for c in kinds:
-        most = own.groupBy(*at, c).agg(F.sum("__u").alias("__n")).groupBy(*at).agg(F.max_by(F.col(c), F.struct("__n", (-F.col(c)).alias("k"))).alias(c))
-        out = out.join(most, at)
-    return out.withColumn("valid", F.col("units") == b * b)
+    own = own.repartition(*deal, *at)
+    sums = [F.sum(F.col(c).cast("double") * F.col("__u")).alias(f"__s{k}") for k, c in enumerate(means)]
+    own = own.groupBy(*at, *kinds).agg(F.sum("__u").alias("__u"), *sums)
+    for k, c in enumerate(kinds):
+        own = own.withColumn(f"__n{k}", F.col("__u") if len(kinds) == 1 else F.sum("__u").over(Window.partitionBy(*at, c)))
+    found = [(F.sum(f"__s{k}") / F.sum("__u")).alias(c) for k, c in enumerate(means)]
+    found += [F.max_by(F.col(c), F.struct(f"__n{k}", (-F.col(c)).alias("k"))).alias(c) for k, c in enumerate(kinds)]
+    return own.groupBy(*at).agg(F.sum("__u").alias("units"), *found).withColumn("valid", F.col("units") == b * b)
 
 
 def join_roles(cells: DataFrame, roles: Mapping[str, DataFrame], keys: Sequence[str] = ("granule",)) -> DataFrame:

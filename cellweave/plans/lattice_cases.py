@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellweave.operators import warp
-from cellweave.sources.tables import RASTER_SQL, raster
+from cellweave.sources.tables import RASTER_SQL, raster, tasks
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -44,7 +44,7 @@ _warped("cubic", 32)
 
 
 def _role(spark, d):
-    return raster(spark, d).select(F.lit("g").alias("granule"), "row", "col", F.col("value").cast("double").alias("depth"), (F.col("cls") % 5).alias("kind"), F.expr(_HOLES).alias("valid"))
+    return raster(spark, d).select("row", "col", F.col("value").cast("double").alias("depth"), (F.col("cls") % 5).alias("kind"), F.expr(_HOLES).alias("valid"))
 
 
 def _role_sql(name: str, a: int, b: int) -> str:
@@ -54,9 +54,14 @@ def _role_sql(name: str, a: int, b: int) -> str:
 {name} AS (SELECT row, col, avg(value) AS depth, {name}k.kind AS kind, count(*) = {b * b} AS whole FROM {name}u JOIN {name}k USING (row, col) GROUP BY row, col, {name}k.kind)"""
 
 
+def _to(spark, d, role, a: int, b: int, means, kinds=()):
+    """A role's cell covers a / b target cells along an axis, and one more where their edges don't meet."""
+    return warp.to_lattice(role, a, b, means, kinds, keys=(), tasks=tasks(spark, d, "part", (a / b + (a % b > 0)) ** 2))
+
+
 def _lattice(a: int, b: int, name: str) -> None:
     def run(spark, d):
-        out = warp.to_lattice(_role(spark, d), a, b, ["depth"], ["kind"])
+        out = _to(spark, d, _role(spark, d), a, b, ["depth"], ["kind"])
         return out.select("row", "col", F.round("depth", 5).alias("depth"), "kind", "valid")
 
     _add(name, f"WITH {RASTER_SQL}, {_role_sql('x', a, b)} SELECT row, col, round(depth, 5) AS depth, kind, whole AS valid FROM x", run)
@@ -70,9 +75,9 @@ _lattice(1, 4, "role_to_coarser_cells")
 def role_join(spark, d):
     """Three roles at 2, 3 and 5 units a cell meet on the lattice of the second."""
     role = _role(spark, d)
-    fine = warp.to_lattice(role, 2, 3, ["depth"])
-    coarse = warp.to_lattice(role, 5, 3, ["depth"], ["kind"])
-    out = warp.join_roles(role.select("granule", "row", "col", "valid"), {"fine": fine, "coarse": coarse})
+    fine = _to(spark, d, role, 2, 3, ["depth"])
+    coarse = _to(spark, d, role, 5, 3, ["depth"], ["kind"])
+    out = warp.join_roles(role.select("row", "col", "valid"), {"fine": fine, "coarse": coarse}, keys=())
     return out.select("row", "col", F.round("fine_depth", 5).alias("fine_depth"), F.round("coarse_depth", 5).alias("coarse_depth"), "coarse_kind", "valid")
 
 

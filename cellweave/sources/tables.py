@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a table that one task takes where rows are dealt by their keys.
+ROWS_A_TASK = 65_536
+
+
+def tasks(spark: SparkSession, sf_dir: str, name: str, times: float = 1) -> int:
+    """Tasks for the rows of a table, each making `times` rows: as many more as there are more rows, so that a task's share keeps its size."""
+    return max(1, ceil(table(spark, sf_dir, name).count() * times / ROWS_A_TASK))
+
+
 def looks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a look: the part is the cell, the ship date the acquisition, the quantity the score, missing where the discount is high."""
     t = table(spark, sf_dir, "lineitem")

@@ -108,3 +108,14 @@ def test_one_hole_in_a_role_invalidates(spark):
     assert out[5, 5].coarse_v == 22.0 and out[2, 2].fine_v == 1.0
     with pytest.raises(ValueError, match="fine_v"):
         warp.join_roles(base.withColumnRenamed("valid", "fine_v").withColumnRenamed("fine_v", "valid").selectExpr("*", "1 AS fine_v"), {"fine": fine})
+
+
+def test_bands_come_from_one_pass(spark):
+    """Nothing is joined: a table of cells, guessed small from before they were multiplied, went to all tasks through the driver."""
+    role = spark.range(400).selectExpr("concat('g', id DIV 400) AS granule", "id DIV 20 AS row", "id % 20 AS col", "CAST(id AS double) AS v", "id % 3 AS k", "id % 4 AS k2", "true AS valid")
+    for kinds in (["k"], ["k", "k2"]):
+        out = warp.to_lattice(role, 3, 2, ["v"], kinds, tasks=7)
+        assert "Join" not in out._jdf.queryExecution().executedPlan().toString() and out.rdd.getNumPartitions() == 7
+    got = {(r.row, r.col): (r.k, r.k2) for r in out.collect()}
+    alone = [{(r.row, r.col): r[k] for r in warp.to_lattice(role, 3, 2, [], [k]).collect()} for k in ("k", "k2")]
+    assert len(got) == 900 and got == {p: (alone[0][p], alone[1][p]) for p in alone[0]}
