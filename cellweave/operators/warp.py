@@ -126,14 +126,19 @@ def to_lattice(role: DataFrame, a: int, b: int, means: Sequence[str] = (), kinds
     return own.groupBy(*at).agg(F.sum("__u").alias("units"), *found).withColumn("valid", F.col("units") == b * b)
 
 
-def join_roles(cells: DataFrame, roles: Mapping[str, DataFrame], keys: Sequence[str] = ("granule",)) -> DataFrame:
-    """cells (keys, row, col, valid) with the bands of each role, named role_band, and valid only where all roles are. roles: of to_lattice()."""
+def join_roles(cells: DataFrame, roles: Mapping[str, DataFrame], keys: Sequence[str] = ("granule",), tasks: int | None = None) -> DataFrame:
+    """cells (keys, row, col, valid) with the bands of each role, named role_band, and valid only where all roles are. roles: of to_lattice().
+
+    All sides are dealt by place to as many tasks and merged in order: no side is sent whole to all tasks.
+    """
     at = [*keys, "row", "col"]
-    out, sure = cells, F.coalesce(F.col("valid"), F.lit(False))
+    deal = (tasks,) if tasks else ()
+    out, sure = cells.repartition(*deal, *at), F.coalesce(F.col("valid"), F.lit(False))
     for name, role in roles.items():
         bands = [c for c in role.columns if c not in (*at, "units", "valid")]
         if taken := [c for c in (f"{name}_{b}" for b in bands) if c in out.columns]:
             raise ValueError(f"there is a column {taken[0]} already")
-        out = out.join(role.select(*at, *[F.col(b).alias(f"{name}_{b}") for b in bands], F.col("valid").alias(f"__{name}")), at, "left")
+        role = role.select(*at, *[F.col(b).alias(f"{name}_{b}") for b in bands], F.col("valid").alias(f"__{name}")).repartition(*deal, *at)
+        out = out.join(role.hint("merge"), at, "left")
         sure = sure & F.coalesce(F.col(f"__{name}"), F.lit(False))
     return out.withColumn("valid", sure).drop(*[f"__{name}" for name in roles])

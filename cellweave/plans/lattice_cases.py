@@ -77,7 +77,7 @@ def role_join(spark, d):
     role = _role(spark, d)
     fine = _to(spark, d, role, 2, 3, ["depth"])
     coarse = _to(spark, d, role, 5, 3, ["depth"], ["kind"])
-    out = warp.join_roles(role.select("row", "col", "valid"), {"fine": fine, "coarse": coarse}, keys=())
+    out = warp.join_roles(role.select("row", "col", "valid"), {"fine": fine, "coarse": coarse}, keys=(), tasks=tasks(spark, d, "part"))
     return out.select("row", "col", F.round("fine_depth", 5).alias("fine_depth"), F.round("coarse_depth", 5).alias("coarse_depth"), "coarse_kind", "valid")
 
 

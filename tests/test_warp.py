@@ -119,3 +119,11 @@ def test_bands_come_from_one_pass(spark):
     got = {(r.row, r.col): (r.k, r.k2) for r in out.collect()}
     alone = [{(r.row, r.col): r[k] for r in warp.to_lattice(role, 3, 2, [], [k]).collect()} for k in ("k", "k2")]
     assert len(got) == 900 and got == {p: (alone[0][p], alone[1][p]) for p in alone[0]}
+
+
+def test_roles_are_merged_in_order(spark):
+    cells = spark.range(40).selectExpr("concat('g', id DIV 40) AS granule", "id DIV 8 AS row", "id % 8 AS col", "CAST(id AS double) AS v", "true AS valid")
+    out = warp.join_roles(cells.drop("v"), {"a": warp.to_lattice(cells, 1, 1, ["v"], tasks=3), "b": warp.to_lattice(cells, 2, 1, ["v"], tasks=3)}, tasks=3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
+    assert sorted((r.row, r.col, r.a_v, r.b_v, r.valid) for r in out.collect()) == sorted((k // 8, k % 8, float(k), float(k // 16 * 8 + k % 8 // 2), True) for k in range(40))
