@@ -11,7 +11,7 @@ from cellweave.functions import columns as C
 from cellweave.functions import scorers, spectra, timeline
 from cellweave.operators import catalog, classes, lattice, moments, publish, rank, reduce, resample, resolve, worklist
 from cellweave.plans import gated_cases, lattice_cases, picture_cases, record_cases, stage_cases
-from cellweave.sources.tables import INDEX_SQL, LOOK_ORDER, LOOKS_SQL, RASTER_SQL, index, looks, raster, table
+from cellweave.sources.tables import INDEX_SQL, LOOK_ORDER, LOOKS_SQL, RASTER_SQL, index, looks, raster, table, tasks
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -761,7 +761,8 @@ def _late_run(spark, d) -> DataFrame:
     at = F.timestamp_micros(F.unix_micros("ts") + F.round(F.col("value") * 3_600_000_000).cast("bigint"))
     root = late.scratch(spark, "late")
     stream = late.replay(events.withColumn("arrived", F.floor(F.datediff(at, F.lit("2020-01-01").cast("date")) / 4).cast("int")), "arrived", f"{root}/arrivals", 8)
-    return late.run(late.best_or_late(stream, "ts", 1, "36 hours", _USER, _EVENT, "value", salts=2), f"{root}/out", f"{root}/checkpoint")
+    n = tasks(spark, d, "events", 1 / 4)  # a task has a few thousand of a batch's rows
+    return late.run(late.best_or_late(stream, "ts", 1, "36 hours", _USER, _EVENT, "value", salts=2, parts=2 * n), f"{root}/out", f"{root}/checkpoint", n)
 
 
 def _micros_day(c: str):

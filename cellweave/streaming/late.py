@@ -1,8 +1,10 @@
 """The best look of each epoch from a stream in which looks come late.
 
-State is one row a key, epoch and salt: the best look so far and how many it
-stands for. A timer at the epoch's end gives it out and clears it, so state
-holds open epochs only. A look whose epoch had ended by the watermark isn't
+State is the best look so far of a key, epoch and salt, and how many it stands
+for. Keys of an epoch are dealt into parts; a part's bests are one value of the
+state, folded with a batch's looks as a table, so a batch costs calls by parts
+and not by keys. A timer at the epoch's end gives them out and clears them, so
+state holds open epochs only. A look whose epoch had ended by the watermark isn't
 dropped: it is given out as late, goes to a table of its own, and `with_late`
 merges it into what was delivered, touching the epochs that it belongs to.
 
@@ -13,7 +15,7 @@ watermark, so that late looks reach it; Spark still keeps the watermark.
 Defined results
   null time or score  no candidate, neither kept nor late
   equal scores        the least order columns win
-  null keys           a key like any other
+  null keys           a key like any other, of every type without parts of its own
   hot keys            salts split a key's looks over tasks; `closed` joins them
   open epochs         stay in the state until the watermark passes their end
   restarts            a batch that is run again replaces its own folder
@@ -26,6 +28,7 @@ import tempfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -44,83 +47,110 @@ def scratch(spark: SparkSession, name: str) -> str:
     return tempfile.mkdtemp(prefix=f"{name}-")
 
 
-def _result(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> StructType:
-    return StructType([*StructType.fromDDL("kind string, epoch_us bigint, score double, n bigint").fields, *[StructField(c, rows.schema[c].dataType) for c in (*keys, *order)]])
+def _result(rows: DataFrame, columns: Sequence[str]) -> StructType:
+    return StructType([*StructType.fromDDL("kind string, epoch_us bigint, score double, n bigint").fields, *[StructField(c, rows.schema[c].dataType) for c in columns]])
 
 
-def best_or_late(stream: DataFrame, time: str, epoch_days: int, delay: str, keys: Sequence[str], order: Sequence[str], score: str, salts: int = 1) -> DataFrame:
+def _to_bytes(rows: pd.DataFrame) -> bytes:
+    table, sink = pa.Table.from_pandas(rows, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _from_bytes(held: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(held).read_all().to_pandas()
+
+
+def fold(rows: pd.DataFrame, keys: Sequence[str], order: Sequence[str]) -> pd.DataFrame:
+    """(keys, score, order, n) of each key's best row, with its rows' n summed."""
+    rows = rows.sort_values(["score", *order], ascending=[False, *[True] * len(order)], kind="stable")
+    total = rows.groupby(list(keys), sort=False, dropna=False)["n"].transform("sum") if len(keys) else rows["n"].sum()
+    made = rows.assign(n=total)
+    return made.drop_duplicates(list(keys)) if len(keys) else made.head(1)
+
+
+def best_or_late(stream: DataFrame, time: str, epoch_days: int, delay: str, keys: Sequence[str], order: Sequence[str], score: str, salts: int = 1, parts: int = 16) -> DataFrame:
     """(kind, epoch_us, score, n, keys, order): final rows as epochs end, late looks as they come. Append mode.
 
-    A batch's looks of one group come as Arrow batches and are folded one after another.
+    A batch's looks of one part come as Arrow batches and are folded one after another. parts should grow with the keys of an
+    epoch: a part's bests are held in memory while it is folded.
     """
     width = epoch_days * 86_400_000_000
     rows = stream.where(F.col(time).isNotNull() & F.col(score).isNotNull()).withWatermark(time, delay)
     epoch = (F.floor(F.unix_micros(time) / width) * width).cast("bigint")
     salt = F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int")
-    narrow = rows.select(epoch.alias("epoch_us"), salt.alias("salt"), F.col(score).cast("double").alias("score"), *keys, *order)
-    by, out, names = ["epoch_us", "salt", *keys], _result(narrow, keys, order), list(order)
-    kept = StructType([*StructType.fromDDL("n bigint, score double").fields, *[narrow.schema[c] for c in order]])
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int") if keys else F.lit(0)
+    kinds, nulls = dict(stream.dtypes), [f"null_{c}" for c in keys]
+    # pandas has no integers that may be missing: a flag stands for the null, so that keys stay exact
+    filled = [F.coalesce(F.col(c), F.lit("1970-01-01" if kinds[c].startswith(("date", "timestamp")) else "0").cast(kinds[c])).alias(c) for c in keys]
+    flags = [F.col(c).isNull().alias(x) for c, x in zip(keys, nulls, strict=True)]
+    narrow = rows.select(epoch.alias("epoch_us"), part.alias("part"), salt.alias("salt"), F.col(score).cast("double").alias("score"), *filled, *flags, *order)
+    by, names = [*keys, *nulls], list(order)
+    out = _result(narrow, [*by, *order])
+    columns = [*by, "score", *names, "n"]
 
     class Best(StatefulProcessor):
         def init(self, handle) -> None:
-            self.handle, self.best = handle, handle.getValueState("best", kept)
+            self.handle, self.best = handle, handle.getValueState("best", "held binary")
 
         def _given(self, key, kind: str, found: pd.DataFrame) -> pd.DataFrame:
-            made = pd.DataFrame({"kind": kind, "epoch_us": int(key[0]), "score": found["score"], "n": found["n"]})
-            for c, v in zip(keys, key[2:], strict=True):
-                made[c] = v
-            for c in names:
-                made[c] = found[c]
-            return made
+            return found.assign(kind=kind, epoch_us=int(key[0]))[out.fieldNames()]
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             end_ms = (int(key[0]) + width) // 1000
             if end_ms <= timerValues.getCurrentWatermarkInMs():
-                for part in rows:
-                    yield self._given(key, LATE, part.assign(n=1))
+                for some in rows:
+                    yield self._given(key, LATE, some.assign(n=1))
                 return
-            old = self.best.get() if self.best.exists() else None
-            n, best = (old[0], tuple(old[1:])) if old else (0, None)
-            for part in rows:
-                top = part.sort_values(["score", *names], ascending=[False, *[True] * len(names)], kind="stable").iloc[[0]]
-                found = tuple(top[c].tolist()[0] for c in ("score", *names))
-                n += len(part)
-                if best is None or (-found[0], *found[1:]) < (-best[0], *best[1:]):
-                    best = found
-            self.best.update((n, *best))
+            old = self.best.exists()
+            held = _from_bytes(bytes(self.best.get()[0])) if old else None
+            for some in rows:
+                now = some.assign(n=1)[columns]
+                held = fold(now if held is None else pd.concat([held, now], ignore_index=True), by, names)
+            self.best.update((_to_bytes(held),))
             if not old:
                 self.handle.registerTimer(end_ms)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            yield self._given(key, FINAL, pd.DataFrame([tuple(self.best.get())], columns=["n", "score", *names]))
+            yield self._given(key, FINAL, _from_bytes(bytes(self.best.get()[0])))
             self.best.clear()
 
         def close(self) -> None:
             pass
 
-    return narrow.groupBy(*by).transformWithStateInPandas(Best(), out, "append", "EventTime")
+    made = narrow.groupBy("epoch_us", "part", "salt").transformWithStateInPandas(Best(), out, "append", "EventTime")
+    shown = [F.when(~F.col(x), F.col(c)).alias(c) for c, x in zip(keys, nulls, strict=True)]
+    return made.select("kind", "epoch_us", "score", "n", *shown, *order)
 
 
 #: State of timers and of many keys lies on disk, not in the executors' heap.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def run(given: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """All that has arrived, written by batch under path; returns (best_or_late's columns, batch)."""
-    conf, name = given.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+def run(given: DataFrame, path: str, checkpoint: str, tasks: int | None = None) -> DataFrame:
+    """All that has arrived, written by batch under path; returns (best_or_late's columns, batch).
+
+    tasks: how many hold the state, Spark's shuffle partitions if not given. Each opens its store and a Python worker in every
+    batch, so there should be no more than the looks need. A checkpoint keeps the number it began with.
+    """
+    conf = given.sparkSession.conf
+    wanted = {"spark.sql.streaming.stateStore.providerClass": STORE} | ({"spark.sql.shuffle.partitions": str(tasks)} if tasks else {})
 
     def write(rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
     folder = given.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(given.sparkSession._jsc.hadoopConfiguration()).mkdirs(folder)  # there, even if nothing arrives
-    before = conf.get(name)
-    conf.set(name, STORE)
+    before = {k: conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        conf.set(k, v)
     try:
         query = given.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        conf.set(name, before)
+        for k, v in before.items():
+            conf.set(k, v)
     return given.sparkSession.read.schema(StructType([*given.schema.fields, StructField("batch", IntegerType())])).option("basePath", path).parquet(path)
 
 

@@ -93,3 +93,14 @@ def test_nothing_arrives(spark, tmp_path):
     stream = spark.readStream.schema("ts timestamp, cell string, oid bigint, score double").parquet(f"{tmp_path}/none")
     out = late.run(late.best_or_late(stream, "ts", 1, "1 hour", KEYS, ORDER, "score"), f"{tmp_path}/out", f"{tmp_path}/cp")
     assert out.collect() == [] and late.closed(out, KEYS, ORDER).collect() == []
+
+
+def test_keys_share_states_by_parts(spark, tmp_path):
+    """Thousands of keys, some beyond what a double holds and one null, in a few values of state."""
+    rng, big = random.Random(3), 2**53 + 1
+    rows = [((k % 6 + 1) * DAY // 2 + k, None if k % 97 == 0 else big + rng.randrange(2000), k, float(rng.randrange(9)), k % 6 + rng.choice([0, 0, 0, 3])) for k in range(6000)]
+    final, gone = walk(rows, DAY // 2)
+    made = spark.createDataFrame(rows, SCHEMA.replace("cell string", "cell bigint")).selectExpr("timestamp_micros(us) AS ts", "cell", "oid", "score", "arrived")
+    stream = late.replay(made, "arrived", f"{tmp_path}/arrivals", 2)
+    out = late.run(late.best_or_late(stream, "ts", 1, "12 hours", KEYS, ORDER, "score", parts=3), f"{tmp_path}/out", f"{tmp_path}/checkpoint", 2)
+    assert found(out) == (final, sorted((e, str(c), o, s) for e, c, o, s in gone)) and len(final) > 1000 and len(gone) > 20
