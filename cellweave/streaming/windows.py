@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.streaming.late import scratch
+
 
 def tumbling(stream: DataFrame, time: str, length: str, late: str, keys: Sequence[str], value: str) -> DataFrame:
     """(window_start, keys, n, total) of fixed windows; rows later than `late` are dropped, which also bounds the state."""
@@ -28,7 +30,20 @@ def running_best(stream: DataFrame, time: str, epoch: str, late: str, keys: Sequ
 
 
 def drain(df: DataFrame, name: str, mode: str) -> DataFrame:
-    """Run a stream over all that is there and return the result as a table, for tests and small checks."""
-    query = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+    """Run a stream over all that is there and return the result as a table: written by the tasks, no row passes the driver.
+
+    In complete mode a batch holds the whole result, so two folders take turns and the last one written is read.
+    """
+    spark = df.sparkSession
+    path, written = scratch(spark, name), {}
+
+    def write(rows: DataFrame, batch: int) -> None:
+        folder = f"{path}/{f'turn-{batch % 2}' if mode == 'complete' else f'batch-{batch}'}"
+        rows.write.mode("overwrite").parquet(folder)
+        written[batch] = folder
+
+    query = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return df.sparkSession.table(name)
+    if not written:
+        return spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).parquet(*([written[max(written)]] if mode == "complete" else written.values()))

@@ -104,3 +104,17 @@ def test_keys_share_states_by_parts(spark, tmp_path):
     stream = late.replay(made, "arrived", f"{tmp_path}/arrivals", 2)
     out = late.run(late.best_or_late(stream, "ts", 1, "12 hours", KEYS, ORDER, "score", parts=3), f"{tmp_path}/out", f"{tmp_path}/checkpoint", 2)
     assert found(out) == (final, sorted((e, str(c), o, s) for e, c, o, s in gone)) and len(final) > 1000 and len(gone) > 20
+
+
+@pytest.mark.parametrize("mode", ["complete", "append"])
+def test_a_drained_stream_lies_in_files(spark, tmp_path, mode):
+    """No row of the result passes the driver, and in complete mode only the last batch counts."""
+    from cellweave.streaming import windows
+
+    rows = [(k * DAY // 2, "ab"[k % 2], k, float(k), k // 4) for k in range(12)]
+    stream = late.replay(spark.createDataFrame(rows, SCHEMA).selectExpr("timestamp_micros(us) AS ts", "cell", "oid", "score", "arrived"), "arrived", f"{tmp_path}/arrivals", 2)
+    out = windows.drain(windows.running_best(stream, "ts", "3 days", "1 hour", ["cell"], ["oid"], "score"), f"drained_{mode}", mode)
+    assert len(out.inputFiles()) > 0 and not spark.catalog.tableExists(f"drained_{mode}")
+    got = sorted((r.window_start.day, r.cell, r.score, r.oid) for r in out.collect())
+    want = sorted((1 + w * 3, c, float(w * 6 + 4 + k), w * 6 + 4 + k) for w in (0, 1) for k, c in enumerate("ab"))
+    assert got == (want if mode == "complete" else want[:2])
