@@ -8,25 +8,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _by(order: Column, keys: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(order.asc_nulls_last())
+
+
+def _all(order: Column, keys: Sequence[str]):
+    """All looks of the keys, as a frame of the window that ranks them: one sort does for both."""
+    return _by(order, keys).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def average_rank(order: Column, keys: Sequence[str]) -> Column:
-    """0-based rank in ascending order; equals share the mean of their places."""
-    w = Window.partitionBy(*keys).orderBy(order.asc_nulls_last())
-    same = Window.partitionBy(*keys, order)
-    return F.rank().over(w) - 1 + (F.count("*").over(same) - 1) / 2
+    """0-based rank in ascending order; equals share the mean of their places: the first's is rank, the last's the count up to it."""
+    w = _by(order, keys)
+    return (F.rank().over(w) + F.count("*").over(w)) / 2 - 1
 
 
 def rank_penalty(looks: DataFrame, keys: Sequence[str], value: str, lower_is_better: bool = True) -> DataFrame:
-    """Adds penalty: 0 for the best, 1 for the last or for no value, 0 for a lone look."""
+    """Adds penalty: 0 for the best, 1 for the last or for no value, 0 for a lone look. Looks dealt by keys stay where they are, sorted once."""
     c = F.col(value) if lower_is_better else -F.col(value)
-    n = F.count(F.col(value)).over(Window.partitionBy(*keys))
+    n = F.count(F.col(value)).over(_all(c, keys))
     share = average_rank(c, keys) / F.greatest(n - 1, F.lit(1))
     return looks.withColumn("penalty", F.when(F.col(value).isNull(), 1.0).when(n <= 1, 0.0).otherwise(share))
 
 
 def borda(looks: DataFrame, keys: Sequence[str], ballots: Sequence[str]) -> DataFrame:
-    """Adds borda: over ballots (lower is better), the number of looks less 1 less the average rank."""
-    n = F.count("*").over(Window.partitionBy(*keys))
-    points = sum((n - 1 - average_rank(F.col(b), keys) for b in ballots), F.lit(0.0))
+    """Adds borda: over ballots (lower is better), the number of looks less 1 less the average rank. Looks are sorted once a ballot."""
+    points = sum((F.count("*").over(_all(F.col(b), keys)) - 1 - average_rank(F.col(b), keys) for b in ballots), F.lit(0.0))
     return looks.withColumn("borda", points)
 
 

@@ -11,7 +11,7 @@ from cellweave.functions import columns as C
 from cellweave.functions import scorers, spectra, timeline
 from cellweave.operators import catalog, classes, lattice, moments, publish, rank, reduce, resample, resolve, worklist
 from cellweave.plans import gated_cases, lattice_cases, picture_cases, record_cases, stage_cases
-from cellweave.sources.tables import INDEX_SQL, LOOK_ORDER, LOOKS_SQL, RASTER_SQL, index, looks, raster, table, tasks
+from cellweave.sources.tables import INDEX_SQL, LOOK_ORDER, LOOKS_SQL, RASTER_SQL, dealt_looks, index, looks, raster, table, tasks
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -498,12 +498,12 @@ _AVG = "(rank() OVER (PARTITION BY cell, epoch ORDER BY {c}) - 1 + (count(*) OVE
 
 @query(LOOKS + f"SELECT cell, epoch, oid, line, round(CASE WHEN count(*) OVER (PARTITION BY cell, epoch) = 1 THEN 0 ELSE {_AVG.format(c='vz')} / (count(*) OVER (PARTITION BY cell, epoch) - 1) END, 6) AS penalty FROM looks")
 def rank_penalty(spark, d):
-    return rank.rank_penalty(looks(spark, d), KEYS, "vz").select("cell", "epoch", "oid", "line", F.round("penalty", 6).alias("penalty"))
+    return rank.rank_penalty(dealt_looks(spark, d, *KEYS), KEYS, "vz").select("cell", "epoch", "oid", "line", F.round("penalty", 6).alias("penalty"))
 
 
 @query(LOOKS + f"SELECT cell, epoch, oid, line, 2.0 * (count(*) OVER (PARTITION BY cell, epoch) - 1) - {_AVG.format(c='vz')} - {_AVG.format(c='sz')} AS borda FROM looks")
 def borda(spark, d):
-    return rank.borda(looks(spark, d), KEYS, ["vz", "sz"]).select("cell", "epoch", "oid", "line", "borda")
+    return rank.borda(dealt_looks(spark, d, *KEYS), KEYS, ["vz", "sz"]).select("cell", "epoch", "oid", "line", "borda")
 
 
 @query(LOOKS + """, n AS (SELECT *, row_number() OVER (PARTITION BY cell, epoch ORDER BY acquired, oid, line, value) AS look FROM looks),
@@ -511,13 +511,13 @@ p AS (SELECT a.cell, a.epoch, a.look, CASE WHEN b.look IS NULL THEN 0.0 WHEN sig
   FROM n a LEFT JOIN n b ON a.cell = b.cell AND a.epoch = b.epoch AND a.look <> b.look)
 SELECT cell, epoch, look, sum(w) AS copeland FROM p GROUP BY 1, 2, 3""")
 def copeland(spark, d):
-    n = looks(spark, d).withColumn("look", F.row_number().over(Window.partitionBy(*KEYS).orderBy(*LOOK_ORDER, "value")))
+    n = dealt_looks(spark, d, *KEYS).withColumn("look", F.row_number().over(Window.partitionBy(*KEYS).orderBy(*LOOK_ORDER, "value")))
     return rank.copeland(n, KEYS, "look", ["vz", "sz", "unc"])
 
 
 @query(LOOKS + "SELECT cell, epoch, oid, line, dense_rank() OVER (PARTITION BY cell, epoch ORDER BY soil DESC, vz) AS lexical_rank FROM looks")
 def lexical_rank(spark, d):
-    return rank.lexical_rank(looks(spark, d), KEYS, [F.col("soil").desc(), F.col("vz").asc()]).select("cell", "epoch", "oid", "line", "lexical_rank")
+    return rank.lexical_rank(dealt_looks(spark, d, *KEYS), KEYS, [F.col("soil").desc(), F.col("vz").asc()]).select("cell", "epoch", "oid", "line", "lexical_rank")
 
 
 QUERIES |= gated_cases.QUERIES | stage_cases.QUERIES | lattice_cases.QUERIES | picture_cases.QUERIES | record_cases.QUERIES

@@ -211,3 +211,11 @@ def test_the_driver_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0 and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_ranks_sort_once_a_ballot(spark):
+    """Looks dealt by their keys beforehand aren't dealt again, and each ballot takes one sort."""
+    df = spark.range(60).selectExpr("id % 5 AS cell", "id AS look", "CAST(id * 7 % 11 AS double) AS p", "CAST(id % 4 AS double) AS q").repartition(3, "cell")
+    for out, sorts in ((rank.rank_penalty(df, ["cell"], "p"), 1), (rank.borda(df, ["cell"], ["p", "q"]), 2)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Sort [") == sorts and plan.count("Exchange hashpartitioning") == 1
