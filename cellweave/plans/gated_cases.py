@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellweave.operators.gated import METRICS, ModeGate, select_gated
-from cellweave.sources.tables import LOOK_ORDER, LOOKS_SQL, looks
+from cellweave.sources.tables import LOOK_ORDER, LOOKS_SQL, dealt_looks
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -44,7 +44,7 @@ SELECT cell, epoch, oid, line, round(p, 6) AS penalty, n_valid, mode_1, mode_2,
     spec = ModeGate(layers=("cls", "cls2"), key=key, gate=gate, min_count=2, weights=only(vza=3.0, sza=2.0), aliases={"vza": ["vz"], "sza": ["sz"]})
 
     def run(spark, d):
-        out = select_gated(looks(spark, d), ["cell", "epoch"], LOOK_ORDER, spec)
+        out = select_gated(dealt_looks(spark, d, "cell", "epoch"), ["cell", "epoch"], LOOK_ORDER, spec)
         return out.select("cell", "epoch", "oid", "line", F.round("selection_penalty", 6).alias("penalty"), "n_valid", "mode_1", "mode_2", "mode_count", F.round("mode_votes", 6).alias("mode_votes"), F.round("agreement", 6).alias("agreement"))
 
     QUERIES[name], ORACLE_SQL[name] = run, sql
