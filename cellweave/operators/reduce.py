@@ -161,12 +161,14 @@ def joint_vote(snaps: DataFrame, keys: Sequence[str], prefer: str, fallback: str
     )
 
 
-def abundance(snaps: DataFrame, fractions: DataFrame, keys: Sequence[str], depth: str, cls: str = "cls", epoch: str = "epoch", valid: str = "valid", method: str = "median", min_epochs: int = 1) -> DataFrame:
+def abundance(snaps: DataFrame, fractions: DataFrame, keys: Sequence[str], depth: str, cls: str = "cls", epoch: str = "epoch", valid: str = "valid", method: str = "median", min_epochs: int = 1, tasks: int | None = None) -> DataFrame:
     """(keys, output, abundance, n): depth times the class's fraction of each output, by epoch, then over epochs where it is above 0.
 
-    fractions: (class_id, output, fraction), a table of the classes' definition, one row a class and output.
+    fractions: (class_id, output, fraction), a table of the classes' definition, one row a class and output. A cell's snapshots
+    are dealt once, to as many tasks, and both groupings find them there.
     """
-    parts = snaps.where(F.col(valid)).join(fractions, F.col(cls) == F.col("class_id"))
+    dealt = snaps.where(F.col(valid)).repartition(*((tasks,) if tasks else ()), *keys)
+    parts = dealt.join(F.broadcast(fractions), F.col(cls) == F.col("class_id"))
     each = parts.where(F.col("fraction") > 0).groupBy(*keys, epoch, "output").agg(F.sum(F.col(depth) * F.col("fraction")).alias("x"))
     how = {"median": F.median, "mean": F.avg, "max": F.max, "sum": F.sum}[method]
     return each.groupBy(*keys, "output").agg(how("x").alias("abundance"), F.count("*").alias("n")).where(F.col("n") >= min_epochs)

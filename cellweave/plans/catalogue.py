@@ -36,8 +36,8 @@ def query(sql: str | None = None, name: str | None = None):
     return add
 
 
-def snaps(spark, d) -> DataFrame:
-    return resolve.snapshots(looks(spark, d), KEYS, LOOK_ORDER, KEEP)
+def snaps(spark, d, keep=KEEP) -> DataFrame:
+    return resolve.snapshots(looks(spark, d), KEYS, LOOK_ORDER, keep)
 
 
 def day(c: str):
@@ -535,7 +535,7 @@ _FRACTIONS = [(1, "clay", 0.7), (1, "iron", 0.3), (2, "iron", 1.0), (3, "clay",
 @query(SNAPS + f", f(class_id, output, fraction) AS (VALUES {', '.join(f'({a}, {b!r}, {c}::DOUBLE)' for a, b, c in _FRACTIONS)}), e AS (SELECT cell, epoch, output, sum(soil * fraction) AS x FROM snaps JOIN f ON cls = class_id WHERE valid GROUP BY 1, 2, 3) SELECT cell, output, round(median(x), 4) AS abundance, count(*) AS n FROM e GROUP BY 1, 2 HAVING count(*) >= 2")
 def abundance(spark, d):
     f = spark.createDataFrame(_FRACTIONS, "class_id int, output string, fraction double")
-    return reduce.abundance(snaps(spark, d), f, ["cell"], "soil", min_epochs=2).withColumn("abundance", F.round("abundance", 4))
+    return reduce.abundance(snaps(spark, d, ("cls", "soil")), f, ["cell"], "soil", min_epochs=2, tasks=tasks(spark, d, "lineitem")).withColumn("abundance", F.round("abundance", 4))
 
 
 @query(SNAPS + """, v AS (SELECT cell, count(*) FILTER (valid) AS nv FROM snaps GROUP BY 1),

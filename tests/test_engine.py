@@ -219,3 +219,13 @@ def test_ranks_sort_once_a_ballot(spark):
     for out, sorts in ((rank.rank_penalty(df, ["cell"], "p"), 1), (rank.borda(df, ["cell"], ["p", "q"]), 2)):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Sort [") == sorts and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_abundance_deals_a_cell_once(spark):
+    from cellweave.operators import reduce
+
+    snaps = spark.range(40).selectExpr("id % 4 AS cell", "id DIV 4 AS epoch", "CAST(id % 2 + 1 AS int) AS cls", "1.0D AS soil", "true AS valid")
+    f = spark.createDataFrame([(1, "a", 0.5), (2, "a", 1.0)], "class_id int, output string, fraction double")
+    out = reduce.abundance(snaps, f, ["cell"], "soil", tasks=3)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted((r.cell, r.abundance, r.n) for r in out.collect()) == [(0, 0.5, 10), (1, 1.0, 10), (2, 0.5, 10), (3, 1.0, 10)]
